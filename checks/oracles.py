@@ -266,6 +266,6 @@ def all_oracles() -> dict[str, str]:
             SELECT user_id, churned,
               CAST('0x' || substr(digest, 1, 8) AS bigint) < 0.2 * 4294967296 AS is_test FROM ranks""",
         "stratified_folds": f"WITH {SPLIT} SELECT user_id, churned, CAST((r - 1) % 3 AS int) AS fold FROM ranks",
-        "binary_metrics": f"WITH {RULES} SELECT * FROM scored",
+        "binary_metrics_of_rules": f"WITH {RULES} SELECT * FROM scored",
         "best_rule": f"WITH {RULES} SELECT * FROM scored ORDER BY recall DESC, model LIMIT 1",
     }

@@ -9,7 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import JobConfig
-from tidemark.operators import gamemix, matrix, prep, sessions, subscriptions, variety
+from tidemark.ml import grid, search, split
+from tidemark.ml.adaboost import AdaBoostClassifier
+from tidemark.ml.metrics import best_model, binary_metrics
+from tidemark.operators import gamemix, prep, sessions, subscriptions, variety
+from tidemark.operators.matrix import feature_columns
 from tidemark.operators.quantiles import impute_median
 from tidemark.plans.jobs import FeatureTables
 from tidemark.sources import samples
@@ -276,5 +280,116 @@ def tsv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return read_back(spark, path, rows.schema)
 
 
+# --- splits and metrics ---------------------------------------------------
+
+
+def _labels(spark: SparkSession, folder: str) -> DataFrame:
+    return churn_label(spark, folder).select("user_id", "churned")
+
+
+@query
+def stratified_split(spark: SparkSession, folder: str) -> DataFrame:
+    return split.stratified_split(_labels(spark, folder), "churned")
+
+
+@query
+def stratified_folds(spark: SparkSession, folder: str) -> DataFrame:
+    return split.stratified_folds(_labels(spark, folder), "churned")
+
+
+@query
+def hash_split(spark: SparkSession, folder: str) -> DataFrame:
+    return split.hash_split(_labels(spark, folder))
+
+
+def _rule_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """Three rules as models: few orders, always, never."""
+    rows = samples.subscriptions(spark, folder)
+    orders = rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("orders"))
+    facts = _labels(spark, folder).join(orders, "user_id")
+    rules = F.array(
+        F.struct(F.lit("few_orders").alias("model"), (F.col("orders") < 9).cast("int").alias("prediction")),
+        F.struct(F.lit("always").alias("model"), F.lit(1).alias("prediction")),
+        F.struct(F.lit("never").alias("model"), F.lit(0).alias("prediction")),
+    )
+    return facts.select(F.col("churned").alias("label"), F.inline(rules))
+
+
+_SCORES = ("precision", "recall", "accuracy", "auc", "mse")
+
+
+@query
+def binary_metrics_of_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(binary_metrics(_rule_predictions(spark, folder)), *_SCORES)
+
+
+@query
+def best_rule(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(best_model(binary_metrics(_rule_predictions(spark, folder)), "recall"), *_SCORES)
+
+
+# --- models on the matrix -------------------------------------------------
+
+
+def _small_search() -> list[grid.Search]:
+    """A few settings per classifier, to keep the checks short."""
+    return [
+        grid.gradient_boosting({"maxDepth": [2], "maxIter": [3, 6], "stepSize": [0.5]}),
+        grid.adaboost({"maxDepth": [2], "maxIter": [3], "learningRate": [1.0]}),
+        grid.random_forest({"numTrees": [5, 10]}, max_depth=4),
+    ]
+
+
+def _split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    rows = features(spark, folder).matrix()
+    train, test = search.split_matrix(rows)
+    return train, test, feature_columns(rows)
+
+
+def _scored(spark: SparkSession, folder: str, name: str, estimator) -> DataFrame:
+    train, test, _ = _split(spark, folder)
+    return rounded(search.predict_and_score({name: estimator.fit(train)}, test), *_SCORES)
+
+
+@query
+def gbt_scores(spark: SparkSession, folder: str) -> DataFrame:
+    chosen = grid.gradient_boosting().estimator.copy().setMaxIter(5).setMaxDepth(2)
+    return _scored(spark, folder, "gradient_boosting", chosen)
+
+
+@query
+def rf_scores(spark: SparkSession, folder: str) -> DataFrame:
+    chosen = grid.random_forest(max_depth=6).estimator.copy().setNumTrees(20)
+    return _scored(spark, folder, "random_forest", chosen)
+
+
+@query
+def adaboost_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return _scored(spark, folder, "adaboost", AdaBoostClassifier(maxIter=5, maxDepth=2))
+
+
+@query
+def logit_report(spark: SparkSession, folder: str) -> DataFrame:
+    train, test, names = _split(spark, folder)
+    return rounded(search.logistic_report(spark, train, test, names), "value")
+
+
+@query
+def grid_report(spark: SparkSession, folder: str) -> DataFrame:
+    train, _, _ = _split(spark, folder)
+    results = search.fit_grid_search(train, _small_search())
+    report = search.grid_report(spark, results)
+    settings = F.array_sort(F.transform(F.map_entries("params"), lambda e: F.concat_ws("=", e["key"], e["value"])))
+    return rounded(report.withColumn("params", F.array_join(settings, " ")), "avg_score")
+
+
+@query
+def best_model_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole training job; its best model's scores on the test users."""
+    rows = features(spark, folder).matrix()
+    outcome = search.train_and_evaluate(spark, rows, _small_search())
+    return rounded(outcome.scores.where(F.col("model") == outcome.best_name), *_SCORES)
+
+
 def all_queries() -> dict[str, Query]:
     return dict(_QUERIES)
