@@ -1,9 +1,10 @@
 """Ordered per-key sequences that do not put one key on one task.
 
 A plain ``Window.partitionBy(user)`` sends all rows of a user to one task. Here
-the rows of a key are cut into consecutive slices of bounded size, the window
-runs inside a slice, and what a slice needs from the one before it (its last
-row and the number of rows so far) comes from a table with one row per slice.
+the rows of a heavy key are cut into consecutive slices of bounded size, the
+window runs inside a slice, and what a slice needs from the one before it (its
+last row and the number of rows so far) comes from a table with one row per
+slice.
 """
 
 from __future__ import annotations
@@ -17,41 +18,54 @@ from pyspark.sql import functions as F
 MAX_SLICE_ROWS = 1_000_000
 
 
-def slice_heavy_groups(
-    df: DataFrame, group: Sequence[str], axis: Column, max_rows: int = MAX_SLICE_ROWS
-) -> DataFrame:
-    """Add ``_slice``: 0, or the row's range along `axis` in a heavy group.
+def heavy_keys(df: DataFrame, key: Sequence[str], max_rows: int) -> DataFrame:
+    """Keys with more than `max_rows` rows: at most rows/max_rows of them.
 
-    Groups of up to `max_rows` rows stay whole. A larger one is cut into
-    count/max_rows equal ranges of `axis`, a numeric expression that never
-    decreases along the sequence, so slices are consecutive.
-
-    The broadcast side has one row per heavy group, hence at most
-    rows/max_rows of them (about 40 bytes each): 10^12 rows give at most 10^6.
+    That bound is what allows broadcasting them: 10^12 rows and a limit of 10^6
+    give at most 10^6 keys.
     """
-    axis = axis.cast("double")
-    heavy = (
-        df.groupBy(*group)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(axis).alias("_lo"), F.max(axis).alias("_hi"))
-        .where(F.col("_n") > max_rows)
-        .select(
-            *group,
-            "_lo",
-            ((F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / F.lit(max_rows))).alias("_width"),
-        )
+    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") > max_rows).select(*key)
+
+
+def _cuts(df: DataFrame, group: Sequence[str], axis: Column, max_rows: int) -> DataFrame:
+    """For groups above `max_rows`, the start and width of equal ranges of `axis`."""
+    sizes = df.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(axis).alias("_lo"), F.max(axis).alias("_hi")
     )
+    width = (F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / F.lit(max_rows))
+    return sizes.where(F.col("_n") > max_rows).select(*group, "_lo", width.alias("_width"))
+
+
+def _with_slice(df: DataFrame, cuts: DataFrame, group: Sequence[str], axis: Column) -> DataFrame:
     position = F.floor(F.try_divide(axis - F.col("_lo"), F.col("_width")))
     return (
-        df.join(F.broadcast(heavy), list(group), "left")
+        df.join(F.broadcast(cuts), list(group), "left")
         .withColumn("_slice", F.coalesce(position, F.lit(0).cast("bigint")))
         .drop("_lo", "_width")
     )
 
 
+def slice_heavy_groups(
+    df: DataFrame, key: Sequence[str], block: Sequence[str], axis: Column, max_rows: int = MAX_SLICE_ROWS
+) -> DataFrame:
+    """Add ``_slice``: 0, or the row's range along `axis` in a heavy group.
+
+    A group is one value of `key` and `block` together. Groups of up to
+    `max_rows` rows stay whole; a larger one is cut into count/max_rows equal
+    ranges of the numeric `axis`. Only keys that are heavy as a whole can have
+    a heavy group, so the others are not counted by group.
+    """
+    axis = axis.cast("double")
+    group = [*key, *block]
+    suspects = df.join(F.broadcast(heavy_keys(df, key, max_rows)), list(key), "left_semi")
+    return _with_slice(df, _cuts(suspects, group, axis, max_rows), group, axis)
+
+
 def sequence(
     df: DataFrame,
     key: Sequence[str],
-    block: Column | None,
+    block: Column,
     order: Sequence[str],
     axis: Column,
     carry: Sequence[str] = (),
@@ -61,17 +75,19 @@ def sequence(
 
     `block` is the leading, non-null part of the order (a day); `order` orders
     rows completely; `axis` is numeric and non-decreasing along `order` within
-    a block. The slice table has one row per key, block and slice, so a key's
-    part of it grows with its days, not with its rows.
+    a block.
+
+    Keys of up to `max_rows` rows are one window group. Those above are cut at
+    block borders, and blocks still too large along `axis`. The slice table
+    covers the heavy keys only, with one row per block or slice of them.
     """
-    group = list(key)
-    blocks: list[str] = []
-    if block is not None:
-        df = df.withColumn("_block", block)
-        blocks = ["_block"]
-    group += blocks
-    rows = slice_heavy_groups(df, group, axis, max_rows).repartition(*group, "_slice")
+    axis = axis.cast("double")
+    group = [*key, "_block"]
     parts = [*group, "_slice"]
+    heavy = heavy_keys(df, key, max_rows).withColumn("_heavy", F.lit(True))
+    marked = df.join(F.broadcast(heavy), list(key), "left").withColumn("_block", F.when(F.col("_heavy"), block))
+    in_heavy = F.col("_block").isNotNull()
+    rows = _with_slice(marked, _cuts(marked.where(in_heavy), group, axis, max_rows), group, axis)
 
     inside = W.partitionBy(*parts).orderBy(*order)
     numbered = rows.select(
@@ -81,24 +97,26 @@ def sequence(
     )
 
     last = F.struct(*order)
-    across = W.partitionBy(*key).orderBy(*blocks, "_slice")
+    across = W.partitionBy(*key).orderBy("_block", "_slice")
     before = across.rowsBetween(W.unboundedPreceding, -1)
     edges = (
-        rows.groupBy(*parts)
+        rows.where(in_heavy)
+        .groupBy(*parts)
         .agg(
             F.count(F.lit(1)).alias("_n"),
             *[F.max_by(c, last).alias(f"_last_{c}") for c in carry],
         )
         .select(
             *parts,
-            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+            F.sum("_n").over(before).alias("_before"),
             *[F.lag(f"_last_{c}").over(across).alias(f"_edge_{c}") for c in carry],
         )
     )
+    # Light keys have no block and match no edge: their window is already whole.
     starts_slice = F.col("_rn") == 1
-    return numbered.join(edges, parts).select(
-        *[c for c in df.columns if c != "_block"],
-        (F.col("_before") + F.col("_rn")).alias("pos"),
+    return numbered.join(edges, parts, "left").select(
+        *df.columns,
+        (F.coalesce("_before", F.lit(0)) + F.col("_rn")).alias("pos"),
         *[
             F.when(starts_slice, F.col(f"_edge_{c}")).otherwise(F.col(f"_lag_{c}")).alias(f"prev_{c}")
             for c in carry

@@ -61,13 +61,19 @@ def play_sessions(
         F.get_json_object("props", "$.k").alias("g"),
         second.alias("second"),
     )
-    sliced = slice_heavy_groups(events, ["user_id", "date"], F.col("second"), max_events)
-    return sliced.groupBy("user_id", "date", "_slice").agg(
-        F.min("event_id").alias("rid"),
-        F.avg("value").alias("lpi"),
-        F.expr("listagg(h, ',') WITHIN GROUP (ORDER BY ts, event_id)").alias("hour"),
-        F.expr("listagg(g, ',') WITHIN GROUP (ORDER BY ts, event_id)").alias("gameId"),
-    ).drop("_slice")
+    sliced = slice_heavy_groups(events, ["user_id"], ["date"], F.col("second"), max_events)
+    played = F.array_sort(F.collect_list(F.struct("ts", "event_id", "h", "g")))
+    days = sliced.groupBy("user_id", "date", "_slice").agg(
+        F.min("event_id").alias("rid"), F.avg("value").alias("lpi"), played.alias("played")
+    )
+    return days.select(
+        "user_id",
+        "date",
+        "rid",
+        "lpi",
+        F.array_join("played.h", ",").alias("hour"),
+        F.array_join("played.g", ",").alias("gameId"),
+    )
 
 
 def variety(spark: SparkSession, folder: str) -> DataFrame:
