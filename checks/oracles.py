@@ -154,6 +154,10 @@ def _round(*names: str) -> str:
 _GV = ("gv_max", "gv_avg", "gv_std_dev")
 _SESSION_COLUMNS = ("first_recorded_lpi", *_SLOTS, "length_of_session_avgs", "hour_avg", "hour_std")
 
+_FEATURES = ("workout_day", "gameplay_day", "prior_churn_count", *_SESSION_COLUMNS, *_GV, "age", "is_male")
+_MATRIX_ROWS = f"""WITH {MATRIX} SELECT user_id, churned, prior_churn_count, age, is_male,
+  {_round('workout_day', 'gameplay_day', *_SESSION_COLUMNS, *_GV)} FROM m3"""
+
 # Hash rank of users within their label, as in the stratified split.
 SPLIT = f"""{SUBS},
 {CHURN},
@@ -213,6 +217,9 @@ def all_oracles() -> dict[str, str]:
         "subs_features": f"WITH {SUBS}, {CHURN}, {SUBS_FEATURES} SELECT * FROM subs_features",
         "lpi_first": f"WITH {HISTORY}, {FIRST} SELECT * FROM first_lpi",
         "lpi_delta": f"WITH {HISTORY}, {DELTAS} SELECT user_id, rid, {_round('delta')} FROM deltas",
+        "lpi_last5_list": f"""WITH {HISTORY}, {DELTAS}
+            SELECT user_id, string_agg(coalesce(CAST(CAST(round(delta * 100) AS bigint) AS varchar), '-'), ' ' ORDER BY rn) AS cents
+            FROM deltas WHERE rn > n - 5 GROUP BY user_id""",
         "lpi_last5_left": f"WITH {HISTORY}, {_last5('left')} SELECT user_id, {_round(*_SLOTS)} FROM last5",
         "lpi_last5_right": f"WITH {HISTORY}, {_last5('right')} SELECT user_id, {_round(*_SLOTS)} FROM last5",
         "lpi_impute_median": f"""WITH {HISTORY}, med AS (SELECT median(lpi) m FROM sess)
@@ -257,8 +264,10 @@ def all_oracles() -> dict[str, str]:
             UNION ALL SELECT 3, 'matrix', count(DISTINCT user_id) FROM m2
             UNION ALL SELECT 3, 'demographics', count(DISTINCT user_id) FROM demo
             UNION ALL SELECT 4, 'matrix', count(DISTINCT user_id) FROM m3""",
-        "data_matrix": f"""WITH {MATRIX} SELECT user_id, churned, prior_churn_count, age, is_male,
-            {_round('workout_day', 'gameplay_day', *_SESSION_COLUMNS, *_GV)} FROM m3""",
+        "data_matrix": _MATRIX_ROWS,
+        "matrix_from_files": _MATRIX_ROWS,
+        "assembled_matrix": f"""WITH {MATRIX} SELECT user_id, churned AS label, 17 AS n,
+            round({' + '.join(_FEATURES)}, 4) AS total FROM m3""",
         "tsv_roundtrip": f"WITH {SUBS} SELECT * FROM subs",
         "stratified_split": f"""WITH {SPLIT}
             SELECT user_id, churned, CAST(r AS bigint) AS label_rank, r <= round(0.2 * n) AS is_test FROM ranks""",

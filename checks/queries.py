@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,13 +13,13 @@ from tidemark.config import JobConfig
 from tidemark.ml import grid, search, split
 from tidemark.ml.adaboost import AdaBoostClassifier
 from tidemark.ml.metrics import best_model, binary_metrics
-from tidemark.operators import gamemix, prep, sessions, subscriptions, variety
+from tidemark.operators import gamemix, matrix, prep, sessions, subscriptions, variety
 from tidemark.operators.matrix import feature_columns
 from tidemark.operators.quantiles import impute_median
-from tidemark.plans.jobs import FeatureTables
+from tidemark.plans.jobs import FeatureTables, matrix_job
 from tidemark.sources import samples
-from tidemark.sources.tables import read_back, write_table
-from tidemark.storage import fresh_path
+from tidemark.sources.tables import Dataset, read_back, write_table
+from tidemark.storage import fresh_path, materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,7 +92,7 @@ def impute_median_subs(spark: SparkSession, folder: str) -> DataFrame:
     rows = samples.subscriptions(spark, folder)
     columns = ["workout_day", "gameplay_day", "day_gap"]
     kept = subscriptions.churn_summary(rows, CONFIG.churn_threshold, columns[:2])
-    return impute_median(kept.select("user_id", *columns), columns)
+    return impute_median(materialize(kept.select("user_id", *columns), "kept-rows"), columns)
 
 
 @query
@@ -119,6 +120,14 @@ def lpi_delta(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(rows.select("user_id", "rid", "delta"), "delta")
 
 
+@query
+def lpi_last5_list(spark: SparkSession, folder: str) -> DataFrame:
+    """The list in cents, as text for comparison; '-' is a missing change."""
+    rows = sessions.last_five_list(samples.history_sessions(spark, folder))
+    cents = F.transform("last_5_deltas", lambda d: F.round(d * 100).cast("bigint").cast("string"))
+    return rows.select("user_id", F.array_join(cents, " ", "-").alias("cents"))
+
+
 @query
 def lpi_last5_left(spark: SparkSession, folder: str) -> DataFrame:
     rows = sessions.last_five_changes(samples.history_sessions(spark, folder), "left")
@@ -265,11 +274,25 @@ def join_funnel(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def data_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    rows = features(spark, folder).matrix()
+    return _rounded_matrix(features(spark, folder).matrix())
+
+
+def _rounded_matrix(rows: DataFrame) -> DataFrame:
     exact = {"user_id", "churned", "prior_churn_count", "age", "is_male"}
     return rounded(rows, *[c for c in rows.columns if c not in exact])
 
 
+@query
+def assembled_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    """Label and feature vector, the vector as its length and sum."""
+    rows = matrix.assemble(features(spark, folder).matrix())
+    values = vector_to_array("features")
+    total = F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+    return rows.select(
+        "user_id", F.col("label").cast("int").alias("label"), F.size(values).alias("n"), F.round(total, 4).alias("total")
+    )
+
+
 # --- files ----------------------------------------------------------------
 
 
@@ -280,6 +303,23 @@ def tsv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return read_back(spark, path, rows.schema)
 
 
+@query
+def matrix_from_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole matrix job from tab-separated files, with its intermediates written."""
+    tables = {
+        "demographics": samples.demographics(spark, folder),
+        "sessions": samples.play_sessions(spark, folder),
+        "variety": samples.variety(spark, folder).withColumn("lpi", F.lit(None).cast("double")),
+        "subscriptions": samples.subscriptions(spark, folder),
+    }
+    registry = {
+        name: Dataset(write_table(df, fresh_path(spark, name)), separator="\t", row_id="rid" if "rid" in df.columns else None)
+        for name, df in tables.items()
+    }
+    config = JobConfig(churn_threshold=samples.SAMPLE_THRESHOLD, intermediates=fresh_path(spark, "intermediates"))
+    return _rounded_matrix(matrix_job(spark, registry, config))
+
+
 # --- splits and metrics ---------------------------------------------------
 
 

@@ -40,6 +40,26 @@ def test_empty_column_has_no_median(spark):
     assert [r.x for r in filled] == [None, None]
 
 
+@pytest.mark.parametrize("broadcast_groups", [0, 10])
+def test_median_by_skewed_group(spark, broadcast_groups):
+    """Half the rows are in one group, and half of those are copies of one value."""
+    df = spark.range(4000).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN 0 ELSE id % 9 END AS g",
+        "CASE WHEN id % 4 = 0 THEN 7.25D ELSE cast(pmod(xxhash64(id), 1000) AS double) / 3 END AS x",
+    )
+    want = df.toPandas().groupby("g")["x"].median().to_dict()
+    got = {r.g: r.x for r in exact_medians(df, ["x"], "g", broadcast_groups).collect()}
+    assert got == pytest.approx(want)
+    filled = impute_median(df, ["x"], "g", broadcast_groups)
+    assert filled.count() == 4000
+
+
+def test_integers_over_their_whole_range(spark):
+    values = [-(2**31), -70_000, -1, 0, 3, 65_536, 2**31 - 1, 2**31 - 1]
+    df = spark.createDataFrame([(v,) for v in values], "x int")
+    assert exact_medians(df, ["x"]).first().x == 1.5
+
+
 def test_fill_by_group(spark):
     rows = [("a", 1), ("a", 3), ("a", None), ("b", 10), ("b", None), ("c", None)]
     df = spark.createDataFrame(rows, "g string, x int")

@@ -45,6 +45,11 @@ def test_last_five(spark, align, second):
     assert got[3] == got[4] == (0, 0, 0, 0, 0)
 
 
+def test_last_five_list_keeps_missing_changes(spark):
+    got = by_user(sessions.last_five_list(play(spark, FIXTURE)), "last_5_deltas")
+    assert got == {1: ([10, -5, 15, 10, -5],), 2: ([None, 10],), 3: ([None] * 3,), 4: ([None],)}
+
+
 def test_unknown_alignment_is_refused(spark):
     with pytest.raises(ValueError):
         sessions.last_five_changes(play(spark, FIXTURE), "middle")

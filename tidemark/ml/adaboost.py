@@ -107,8 +107,12 @@ class AdaBoostClassifier(Estimator, _AdaBoostParams):
         rows = dataset.select(self.getFeaturesCol(), self.getLabelCol())
         data = materialize(rows.withColumn(_WEIGHT, F.lit(1.0)), "boost-rows")
         trees, factors = [], []
+        previous = None
         for round_no in range(self.getMaxIter()):
             tree = self._tree(round_no).fit(data)
+            if previous is not None:
+                # The fit has filled the cache of `data`, so its parent can go.
+                previous.unpersist()
             voted = tree.transform(data).withColumn(_SCORE, _vote(variant))
             wrong = (F.col(_SCORE) > 0) != (label == 1)
             stats = voted.agg(
@@ -140,9 +144,7 @@ class AdaBoostClassifier(Estimator, _AdaBoostParams):
                 following = materialize(grown, "boost-rows")
             else:
                 following = grown.persist(StorageLevel.MEMORY_AND_DISK)
-                following.count()
-            data.unpersist()
-            data = following
+            previous, data = data, following
         return self._copyValues(AdaBoostModel(trees, factors))
 
 

@@ -121,12 +121,13 @@ def split_matrix(
     matrix: DataFrame, features: Sequence[str] | None = None, label: str = LABEL, exact: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """Assembled (train, test), 80/20. `exact` splits each label exactly; else by hash alone."""
-    vectors = assemble(matrix, features, label)
+    # Written before and after the split: the matrix is a long plan that the
+    # ranking would run twice, and both sides of the split are read many times.
+    vectors = materialize(assemble(matrix, features, label), "vectors")
     if exact:
         parted = stratified_split(vectors, "label").drop("label_rank")
     else:
         parted = hash_split(vectors)
-    # Written once: the matrix behind it is a long plan that both sides would repeat.
     parted = materialize(parted, "split")
     return parted.where("not is_test").drop("is_test"), parted.where("is_test").drop("is_test")
 

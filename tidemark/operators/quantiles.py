@@ -3,7 +3,9 @@
 Each pass counts values per bucket (combined before the shuffle), finds the
 bucket holding the wanted rank and narrows to it: first by magnitude, then by
 equal ranges inside that magnitude. The last pass orders only the distinct
-values left in one small bucket.
+values left in one small bucket. 32-bit integers need no second pass.
+
+The input is read once per pass; materialize a table that is costly to compute.
 """
 
 from __future__ import annotations
@@ -13,9 +15,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _STEPS_PER_OCTAVE = 16
 _RANGES = 65_536
+_SALTS = 64
+
+# Up to this many groups the targets (two rows per group and column) are broadcast.
+BROADCAST_GROUPS = 50_000
 
 
 def _magnitude(v: Column) -> Column:
@@ -25,82 +32,106 @@ def _magnitude(v: Column) -> Column:
     return F.when(v == 0, F.lit(0)).otherwise(F.signum(v).cast("bigint") * bounded)
 
 
-def _pick(counts: DataFrame, key: Sequence[str], bucket: str, keep: Sequence[str]) -> DataFrame:
-    """Rows of `counts` whose running total covers ``_rank``, with the rank inside them."""
+def _count(rows: DataFrame, key: Sequence[str], bucket: str) -> DataFrame:
+    return rows.groupBy(*key, bucket).agg(
+        F.sum("_c").alias("_n"), F.min("v").alias("_lo"), F.max("v").alias("_hi")
+    )
+
+
+def _pick(counts: DataFrame, key: Sequence[str], bucket: str) -> DataFrame:
+    """Bounds of the bucket whose running total covers ``_rank``, and the rank inside it."""
     running = F.sum("_n").over(W.partitionBy(*key).orderBy(bucket).rowsBetween(W.unboundedPreceding, 0))
     return (
         counts.withColumn("_cum", running)
         .where((F.col("_rank") < F.col("_cum")) & (F.col("_rank") >= F.col("_cum") - F.col("_n")))
-        .select(*key, (F.col("_rank") - (F.col("_cum") - F.col("_n"))).alias("_rank"), *keep)
+        .select(*key, (F.col("_rank") - (F.col("_cum") - F.col("_n"))).alias("_rank"), "_lo", "_hi")
     )
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], by: str | None = None) -> DataFrame:
+def _inside(values: DataFrame, target: DataFrame, key: Sequence[str], small: bool) -> DataFrame:
+    """Values between the target bounds of their key.
+
+    Too many targets for a broadcast are joined by key and a salt of the
+    value, so that one group's values spread over tasks.
+    """
+    join_key = list(key)
+    if small:
+        target = F.broadcast(target)
+    else:
+        values = values.withColumn("_salt", F.pmod(F.xxhash64("v"), F.lit(_SALTS)))
+        salts = F.sequence(F.lit(0).cast("bigint"), F.lit(_SALTS - 1).cast("bigint"))
+        target = target.withColumn("_salt", F.explode(salts))
+        join_key.append("_salt")
+    return values.join(target, join_key).where(F.col("v").between(F.col("_lo"), F.col("_hi")))
+
+
+def exact_medians(
+    df: DataFrame, columns: Sequence[str], by: str | None = None, broadcast_groups: int = BROADCAST_GROUPS
+) -> DataFrame:
     """One row (per `by` value) with the interpolated median of each column.
 
     NULL and NaN do not count. Windows run over at most 70,000 magnitude or
     65,536 range buckets, and at the end over the distinct values of one range.
+    With `by`, the number of groups is counted first.
     """
     group = [by] if by else []
+    key = [*group, "name"]
     pairs = F.array(
         *[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v")) for c in columns]
     )
     values = (
         df.select(*group, F.explode(pairs).alias("p"))
-        .select(*group, "p.name", F.col("p.v").alias("v"))
+        .select(*group, "p.name", F.col("p.v").alias("v"), F.lit(1).cast("bigint").alias("_c"))
         .where(F.col("v").isNotNull() & ~F.isnan("v"))
     )
-    key = [*group, "name"]
-
-    first = (
-        values.withColumn("_b", _magnitude(F.col("v")))
-        .groupBy(*key, "_b")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("v").alias("_lo"), F.max("v").alias("_hi"))
-    )
+    small = not by or few_groups(df, by, broadcast_groups)
+    if not small:
+        # Copies of a value become one row, so the salt can spread any group.
+        values = values.groupBy(*key, "v").agg(F.sum("_c").alias("_c"))
+
+    whole = (T.IntegerType, T.ShortType, T.ByteType)
+    integers = all(isinstance(df.schema[c].dataType, whole) for c in columns)
+    # 32-bit integers: at most 65,536 buckets of 65,536 values.
+    bucket = F.floor(F.col("v") / _RANGES) if integers else _magnitude(F.col("v"))
+    first = _count(values.withColumn("_b", bucket), key, "_b")
     total = F.sum("_n").over(W.partitionBy(*key))
     # Two ranks around the middle; equal for an odd count.
     ranks = F.array(
-        F.struct(F.lit(0).alias("side"), F.floor((F.col("_total") - 1) / 2).alias("r")),
-        F.struct(F.lit(1).alias("side"), F.floor(F.col("_total") / 2).alias("r")),
-    )
-    first = (
-        first.withColumn("_total", total)
-        .withColumn("_w", F.explode(ranks))
-        .select("*", F.col("_w.side").alias("_side"), F.col("_w.r").alias("_rank"))
+        F.struct(F.lit(0).alias("_side"), F.floor((F.col("_total") - 1) / 2).alias("_rank")),
+        F.struct(F.lit(1).alias("_side"), F.floor(F.col("_total") / 2).alias("_rank")),
     )
     sided = [*key, "_side"]
-    target = _pick(first, sided, "_b", ["_lo", "_hi"])
-
-    share = F.try_divide(F.col("v") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
-    second = (
-        _inside(values, target, key)
-        .withColumn("_b", F.coalesce(F.floor(share * _RANGES), F.lit(0).cast("bigint")))
-        .groupBy(*sided, "_rank", "_b")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("v").alias("_lo"), F.max("v").alias("_hi"))
-    )
-    target = _pick(second, sided, "_b", ["_lo", "_hi"])
+    first = first.withColumn("_total", total).select("*", F.inline(ranks))
+    target = _pick(first, sided, "_b")
+
+    if not integers:
+        share = F.try_divide(F.col("v") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
+        ranged = F.coalesce(F.floor(share * _RANGES), F.lit(0).cast("bigint"))
+        second = _count(_inside(values, target, key, small).withColumn("_b", ranged), [*sided, "_rank"], "_b")
+        target = _pick(second, sided, "_b")
 
-    third = _inside(values, target, key).groupBy(*sided, "_rank", "v").agg(F.count(F.lit(1)).alias("_n"))
-    middle = _pick(third, sided, "v", ["v"])
+    last = _count(_inside(values, target, key, small).withColumn("_b", F.col("v")), [*sided, "_rank"], "_b")
+    middle = _pick(last, sided, "_b")
     return middle.groupBy(*group).agg(
-        *[F.avg(F.when(F.col("name") == c, F.col("v"))).alias(c) for c in columns]
+        *[F.avg(F.when(F.col("name") == c, F.col("_lo"))).alias(c) for c in columns]
     )
 
 
-def _inside(values: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Values in the target ranges. Without groups the target has two rows per column."""
-    t = target.withColumnsRenamed({k: f"_t_{k}" for k in key})
-    hint = F.broadcast(t) if len(key) == 1 else t
-    match = F.col("v").between(F.col("_lo"), F.col("_hi"))
-    for k in key:
-        match = match & (F.col(k) == F.col(f"_t_{k}"))
-    return values.join(hint, match).drop(*[f"_t_{k}" for k in key])
+def few_groups(df: DataFrame, by: str, limit: int) -> bool:
+    return df.select(by).distinct().limit(limit + 1).count() <= limit
 
 
-def impute_median(df: DataFrame, columns: Sequence[str], by: str | None = None) -> DataFrame:
+def impute_median(
+    df: DataFrame, columns: Sequence[str], by: str | None = None, broadcast_groups: int = BROADCAST_GROUPS
+) -> DataFrame:
     """Fill NULLs with the exact median, global or per `by` value; results are doubles."""
     renamed = {c: f"_median_{c}" for c in columns}
-    medians = exact_medians(df, columns, by).withColumnsRenamed(renamed)
-    joined = df.join(medians, by, "left") if by else df.crossJoin(F.broadcast(medians))
+    medians = exact_medians(df, columns, by, broadcast_groups).withColumnsRenamed(renamed)
+    if not by:
+        joined = df.crossJoin(F.broadcast(medians))
+    elif few_groups(df, by, broadcast_groups):
+        joined = df.join(F.broadcast(medians), by, "left")
+    else:
+        joined = df.join(medians, by, "left")
     filled = {c: F.coalesce(F.col(c).cast("double"), F.col(f"_median_{c}")) for c in columns}
     return joined.withColumns(filled).select(*df.columns)

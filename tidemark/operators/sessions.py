@@ -46,15 +46,13 @@ def lpi_deltas(df: DataFrame, max_rows: int = MAX_SLICE_ROWS) -> DataFrame:
     return rows.select(*columns, (F.col("lpi") - F.col("prev_lpi")).alias("delta"))
 
 
-def last_five_changes(df: DataFrame, align: str = "left") -> DataFrame:
-    """The last five lpi changes of each user, missing ones 0.
+def last_five_list(df: DataFrame) -> DataFrame:
+    """``last_5_deltas``: the lpi changes of a user's last five rows, oldest first.
 
+    The change of a user's first row is NULL, as is one next to a missing lpi.
     Five changes need the last six rows. That limit is applied before the
-    shuffle, so a user sends at most six rows per input task. With n < 5 rows,
-    'left' puts the n changes into the oldest slots, 'right' into the newest.
+    shuffle, so a user sends at most six rows per input task.
     """
-    if align not in ("left", "right"):
-        raise ValueError(f"align must be 'left' or 'right', not {align!r}")
     newest_first = W.partitionBy("user_id").orderBy(F.desc("date"), F.desc("rid"))
     recent = (
         _known_users(df)
@@ -63,18 +61,27 @@ def last_five_changes(df: DataFrame, align: str = "left") -> DataFrame:
         .where("_rn <= 6")
         .groupBy("user_id")
         .agg(
-            F.count(F.lit(1)).alias("_n"),
+            F.least(F.count(F.lit(1)), F.lit(5)).cast("int").alias("_n"),
             *[F.max(F.when(F.col("_rn") == i, F.col("lpi"))).alias(f"_v{i}") for i in range(1, 7)],
         )
     )
     changes = F.array(*[F.col(f"_v{i}") - F.col(f"_v{i + 1}") for i in range(5, 0, -1)])
-    shift = F.lit(5) - F.least(F.col("_n"), F.lit(5)) if align == "left" else F.lit(0)
-    return recent.select(
+    return recent.select("user_id", F.slice(changes, 6 - F.col("_n"), F.col("_n")).alias("last_5_deltas"))
+
+
+def last_five_changes(df: DataFrame, align: str = "left") -> DataFrame:
+    """The last five lpi changes of each user as columns, missing ones 0.
+
+    With n < 5 rows, 'left' puts the n changes into the oldest slots, 'right'
+    into the newest.
+    """
+    if align not in ("left", "right"):
+        raise ValueError(f"align must be 'left' or 'right', not {align!r}")
+    deltas = F.col("last_5_deltas")
+    gap = F.lit(0) if align == "left" else F.lit(5) - F.size(deltas)
+    return last_five_list(df).select(
         "user_id",
-        *[
-            F.coalesce(F.get(changes, (shift + i).cast("int")), F.lit(0.0)).alias(name)
-            for i, name in enumerate(CHANGE_COLUMNS)
-        ],
+        *[F.coalesce(F.get(deltas, F.lit(i) - gap), F.lit(0.0)).alias(name) for i, name in enumerate(CHANGE_COLUMNS)],
     )
 
 
