@@ -16,15 +16,14 @@ HISTORY = """sess AS (
 
 PLAY = """ev AS (
   SELECT user_id, CAST(ts AS date) AS date, ts, event_id, event_type, value,
-    CAST(hour(ts) AS int) AS h, json_extract_string(props, '$.k') AS g,
-    hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS sec
+    CAST(hour(ts) AS int) AS h, json_extract_string(props, '$.k') AS g
   FROM events),
 evn AS (
-  SELECT *, count(*) OVER p AS n, min(sec) OVER p AS lo, max(sec) OVER p AS hi
+  SELECT *, count(*) OVER p AS n, min(event_id) OVER p AS lo, max(event_id) OVER p AS hi
   FROM ev WINDOW p AS (PARTITION BY user_id, date)),
 evs AS (
   SELECT *, CASE WHEN n > 10000 AND hi > lo
-    THEN CAST(floor((sec - lo) / ((hi - lo) / ceil(n / 10000.0))) AS bigint) ELSE 0 END AS part
+    THEN CAST(floor((event_id - lo) / ((hi - lo) / ceil(n / 10000.0))) AS bigint) ELSE 0 END AS part
   FROM evn),
 sess AS (
   SELECT user_id, date, min(event_id) AS rid,

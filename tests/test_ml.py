@@ -7,7 +7,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tidemark.ml import grid, search, split
-from tidemark.ml.adaboost import AdaBoostClassifier
+from tidemark.ml.adaboost import AdaBoostClassifier, AdaBoostModel
 from tidemark.ml.metrics import best_model, binary_metrics
 
 
@@ -100,8 +100,8 @@ def test_boosting_follows_its_definition(spark, rows, variant):
             numTrees=1, bootstrap=False, subsamplingRate=1.0, maxDepth=2, featureSubsetStrategy="sqrt", weightCol="w", seed=42 + i
         ).fit(rows.join(weights, "user_id"))
         ours = again.transform(rows).orderBy("user_id").select(vector_to_array("probability")[1].alias("p")).toPandas()["p"].to_numpy()
-        output = tree.copy().setProbabilityCol("p").setPredictionCol("c")
-        theirs = output.transform(rows).orderBy("user_id").select(vector_to_array("p")[1].alias("q")).toPandas()["q"].to_numpy()
+        theirs = tree.copy().setProbabilityCol("p").setPredictionCol("c").setRawPredictionCol("r").setLeafCol("")
+        theirs = theirs.transform(rows).orderBy("user_id").select(vector_to_array("p")[1].alias("q")).toPandas()["q"].to_numpy()
         np.testing.assert_allclose(theirs, ours, atol=1e-9)
         if variant == "SAMME":
             vote = np.where(ours > 0.5, 1.0, -1.0)
@@ -120,6 +120,20 @@ def test_boosting_follows_its_definition(spark, rows, variant):
     assert (scored["prediction"].to_numpy() == y).mean() > max(y.mean(), 1 - y.mean())
 
 
+def test_boosting_repeats_itself(rows):
+    fits = [AdaBoostClassifier(maxIter=2, maxDepth=3).fit(rows.repartition(2, "user_id")) for _ in range(2)]
+    assert fits[0].votes == fits[1].votes
+    assert [t.toDebugString.split("\n")[1:] for t in fits[0].trees] == [t.toDebugString.split("\n")[1:] for t in fits[1].trees]
+
+
+def test_many_trees_predict_in_one_flat_plan(rows):
+    small = AdaBoostClassifier(maxIter=2, maxDepth=2).fit(rows)
+    large = AdaBoostModel(small.trees * 250, small.factors * 250, small.votes * 250)
+    scored = small.transform(rows).withColumnRenamed("rawScore", "one").drop("prediction")
+    wrong = large.transform(scored).where("abs(rawScore - 250 * one) > 1e-6")
+    assert wrong.count() == 0
+
+
 def test_boosting_stops_at_a_perfect_tree(spark):
     df = spark.range(40).select(
         F.col("id").alias("user_id"),

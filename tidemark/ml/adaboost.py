@@ -8,14 +8,22 @@ Spark tree on all rows; the row weights are a column.
 
 from __future__ import annotations
 
+import json
 import math
+import uuid
+from collections.abc import Sequence
 
-from pyspark import StorageLevel, keyword_only
+from pyspark import SparkContext, StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import (
+    DecisionTreeClassificationModel,
+    RandomForestClassificationModel,
+    RandomForestClassifier,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasMaxIter, HasPredictionCol, HasSeed
+from pyspark.ml.wrapper import JavaWrapper
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +31,7 @@ from tidemark.storage import materialize
 
 _WEIGHT = "_boost_weight"
 _OUTPUT = "_boost_output"
+_LEAF = "_boost_leaf"
 _SCORE = "_boost_score"
 _TINY = 1e-12
 
@@ -54,11 +63,12 @@ class _AdaBoostParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasMaxIter,
 
 
 def _vote(variant: str) -> Column:
-    """A tree's signed vote from its raw output column: +1/-1, or half the log odds."""
+    """A tree's signed vote from its class probabilities: +1/-1, or half the log odds."""
+    p = vector_to_array(F.col(_OUTPUT))[1]
     if variant == "SAMME":
-        return 2 * F.col(_OUTPUT) - 1
-    p = F.least(F.greatest(vector_to_array(F.col(_OUTPUT))[1], F.lit(_TINY)), F.lit(1 - _TINY))
-    return (F.log(p) - F.log(1 - p)) / 2
+        return F.when(p > 0.5, 1.0).otherwise(-1.0)
+    inner = F.least(F.greatest(p, F.lit(_TINY)), F.lit(1 - _TINY))
+    return (F.log(inner) - F.log(1 - inner)) / 2
 
 
 class AdaBoostClassifier(Estimator, _AdaBoostParams):
@@ -81,7 +91,6 @@ class AdaBoostClassifier(Estimator, _AdaBoostParams):
         self._set(**self._input_kwargs)
 
     def _tree(self, round_no: int) -> RandomForestClassifier:
-        hard = self.getOrDefault("variant") == "SAMME"
         return RandomForestClassifier(
             numTrees=1,
             bootstrap=False,
@@ -92,9 +101,10 @@ class AdaBoostClassifier(Estimator, _AdaBoostParams):
             labelCol=self.getLabelCol(),
             weightCol=_WEIGHT,
             seed=self.getSeed() + round_no,
-            predictionCol=_OUTPUT if hard else "",
-            probabilityCol="" if hard else _OUTPUT,
+            predictionCol="",
             rawPredictionCol="",
+            probabilityCol=_OUTPUT,
+            leafCol=_LEAF,
         )
 
     def _fit(self, dataset: DataFrame) -> AdaBoostModel:
@@ -106,7 +116,7 @@ class AdaBoostClassifier(Estimator, _AdaBoostParams):
         label = F.col(self.getLabelCol())
         rows = dataset.select(self.getFeaturesCol(), self.getLabelCol())
         data = materialize(rows.withColumn(_WEIGHT, F.lit(1.0)), "boost-rows")
-        trees, factors = [], []
+        trees, factors, votes = [], [], []
         previous = None
         for round_no in range(self.getMaxIter()):
             tree = self._tree(round_no).fit(data)
@@ -115,12 +125,20 @@ class AdaBoostClassifier(Estimator, _AdaBoostParams):
                 previous.unpersist()
             voted = tree.transform(data).withColumn(_SCORE, _vote(variant))
             wrong = (F.col(_SCORE) > 0) != (label == 1)
-            stats = voted.agg(
-                F.count(F.lit(1)).alias("rows"),
-                F.sum(_WEIGHT).alias("total"),
-                F.sum(F.when(wrong, F.col(_WEIGHT)).otherwise(0.0)).alias("wrong"),
-            ).first()
-            error = stats["wrong"] / stats["total"]
+            # One row per leaf, at most 2^maxDepth: all the driver sees of a round.
+            leaves = (
+                voted.groupBy(vector_to_array(F.col(_LEAF))[0].cast("int").alias("leaf"))
+                .agg(
+                    F.max(_SCORE).alias("vote"),
+                    F.count(F.lit(1)).alias("rows"),
+                    F.sum(_WEIGHT).alias("total"),
+                    F.sum(F.when(wrong, F.col(_WEIGHT)).otherwise(0.0)).alias("wrong"),
+                )
+                .orderBy("leaf")
+                .collect()
+            )
+            n, total = sum(r["rows"] for r in leaves), sum(r["total"] for r in leaves)
+            error = sum(r["wrong"] for r in leaves) / total
             hopeless = variant == "SAMME" and error >= 0.5
             if hopeless and trees:
                 data.unpersist()
@@ -128,8 +146,12 @@ class AdaBoostClassifier(Estimator, _AdaBoostParams):
             factor = 1.0
             if variant == "SAMME" and 0 < error < 0.5:
                 factor = rate * math.log((1 - error) / error)
-            trees.append(tree)
+            trees.append(tree.trees[0])
             factors.append(factor)
+            table = [0.0] * (max(r["leaf"] for r in leaves) + 1)
+            for r in leaves:
+                table[r["leaf"]] = factor * r["vote"]
+            votes.append(table)
             if hopeless or error <= 0 or round_no == self.getMaxIter() - 1:
                 data.unpersist()
                 break
@@ -138,28 +160,48 @@ class AdaBoostClassifier(Estimator, _AdaBoostParams):
             else:
                 growth = F.exp(F.lit(-rate) * F.col(_SCORE) * (2 * label - 1))
             # Weights of this round are scaled to mean 1: trees do not change, numbers stay in range.
-            scaled = F.col(_WEIGHT) * growth * F.lit(stats["rows"] / stats["total"])
+            scaled = F.col(_WEIGHT) * growth * F.lit(n / total)
             grown = voted.select(self.getFeaturesCol(), self.getLabelCol(), scaled.alias(_WEIGHT))
             if (round_no + 1) % interval == 0:
                 following = materialize(grown, "boost-rows")
             else:
                 following = grown.persist(StorageLevel.MEMORY_AND_DISK)
             previous, data = data, following
-        return self._copyValues(AdaBoostModel(trees, factors))
+        return self._copyValues(AdaBoostModel(trees, factors, votes))
+
+
+def _forest(trees: Sequence[DecisionTreeClassificationModel]) -> RandomForestClassificationModel:
+    """The trees as one Spark model, which finds all leaves of a row in one step."""
+    kind = "org.apache.spark.ml.classification.RandomForestClassificationModel"
+    tree_class = SparkContext._gateway.jvm.org.apache.spark.ml.classification.DecisionTreeClassificationModel
+    array = JavaWrapper._new_java_array([t._java_obj for t in trees], tree_class)
+    uid = f"boosted_{uuid.uuid4().hex[:12]}"
+    java = JavaWrapper._new_java_obj(kind, uid, array, trees[0].numFeatures, 2)
+    return RandomForestClassificationModel(java)
 
 
 class AdaBoostModel(Model, _AdaBoostParams):
-    """The fitted trees and their factors; ``rawScore`` is the weighted vote, positive for label 1."""
+    """The fitted trees; ``rawScore`` is their weighted vote, positive for label 1.
+
+    `votes` holds each tree's vote by leaf, times the tree's factor. The plan
+    of a prediction has the same size for any number of trees.
+    """
 
-    def __init__(self, trees=(), factors=()):
+    def __init__(self, trees=(), factors=(), votes=()):
         super().__init__()
         self.trees = list(trees)
         self.factors = list(factors)
+        self.votes = [list(v) for v in votes]
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        vote = _vote(self.getOrDefault("variant"))
-        scored = dataset.withColumn("rawScore", F.lit(0.0))
-        for tree, factor in zip(self.trees, self.factors):
-            voted = tree.transform(scored)
-            scored = voted.withColumn("rawScore", F.col("rawScore") + F.lit(factor) * vote).drop(_OUTPUT)
+        forest = _forest(self.trees)
+        for unset in ("prediction", "probability", "rawPrediction"):
+            forest.set(forest.getParam(f"{unset}Col"), "")
+        forest.setFeaturesCol(self.getFeaturesCol()).setLeafCol(_LEAF)
+        # Folded to a constant by the optimizer.
+        tables = F.from_json(F.lit(json.dumps(self.votes)), "array<array<double>>")
+        leaves = vector_to_array(F.col(_LEAF))
+        each = F.zip_with(leaves, tables, lambda leaf, table: F.get(table, leaf.cast("int")))
+        score = F.aggregate(each, F.lit(0.0), lambda total, vote: total + vote)
+        scored = forest.transform(dataset).withColumn("rawScore", score).drop(_LEAF)
         return scored.withColumn(self.getPredictionCol(), (F.col("rawScore") > 0).cast("double"))

@@ -49,8 +49,10 @@ def history_sessions(spark: SparkSession, folder: str) -> DataFrame:
 def play_sessions(
     spark: SparkSession, folder: str, max_events: int = MAX_SESSION_EVENTS
 ) -> DataFrame:
-    """One session per user and day; a day above `max_events` is cut by time of day."""
-    second = F.hour("ts") * 3600 + F.minute("ts") * 60 + F.floor(F.second("ts"))
+    """One session per user and day; a day above `max_events` is cut by event number.
+
+    Event numbers are unique, so even events of one instant can be told apart.
+    """
     events = _read(spark, folder, "events").select(
         "user_id",
         F.to_date("ts").alias("date"),
@@ -59,9 +61,8 @@ def play_sessions(
         F.when(F.col("event_type") != "error", F.col("value")).alias("value"),
         F.hour("ts").cast("string").alias("h"),
         F.get_json_object("props", "$.k").alias("g"),
-        second.alias("second"),
     )
-    sliced = slice_heavy_groups(events, ["user_id"], ["date"], F.col("second"), max_events)
+    sliced = slice_heavy_groups(events, ["user_id"], ["date"], F.col("event_id"), max_events)
     played = F.array_sort(F.collect_list(F.struct("ts", "event_id", "h", "g")))
     days = sliced.groupBy("user_id", "date", "_slice").agg(
         F.min("event_id").alias("rid"), F.avg("value").alias("lpi"), played.alias("played")
