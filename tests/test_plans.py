@@ -8,6 +8,7 @@ from checks.queries import all_queries
 from tests.conftest import SAMPLES
 from tidemark.operators import prep, sessions, subscriptions
 from tidemark.sources import samples
+from tidemark.sources.tables import Dataset, read_table
 
 FOLDER = f"{SAMPLES}/sf0.001"
 
@@ -44,7 +45,8 @@ def test_churn_summary_shuffles_days_then_users(spark):
 def test_age_filter_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "demographics")
     samples.demographics(spark, FOLDER).write.parquet(path)
-    text = plan(prep.demographic_features(spark.read.parquet(path)))
+    rows = read_table(spark, "demographics", Dataset(path, format="parquet"))
+    text = plan(prep.demographic_features(rows))
     pushed = re.search(r"PushedFilters: \[(.*?)\]", text).group(1)
     assert "LessThan(age,117)" in pushed and "GreaterThan(age,4)" in pushed
     assert "language" not in text.split("ReadSchema")[1]

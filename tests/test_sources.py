@@ -34,6 +34,17 @@ def test_nan_text_becomes_missing(spark, tmp_path):
     assert (row.lpi, row.gameVariety) == (None, None)
 
 
+def test_parquet_types_are_aligned(spark, tmp_path):
+    path = str(tmp_path / "v")
+    spark.sql(
+        "SELECT 1 AS userId, 3L AS weekOfYear, cast('NaN' AS double) AS lpi, 4 AS gameVariety"
+    ).write.parquet(path)
+    df = read_table(spark, "variety", Dataset(path, format="parquet"))
+    assert df.schema["user_id"].dataType.simpleString() == "bigint"
+    assert [f.dataType.simpleString() for f in df.schema][1:] == ["int", "double", "double"]
+    assert tuple(df.first()) == (1, 3, None, 4.0)
+
+
 def test_named_row_id(spark, tmp_path):
     path = put(tmp_path, "s.csv", "user_id,date,state,workout_day,gameplay_day,seq\n1,2020-01-02,subs,1,2,55\n")
     df = read_table(spark, "subscriptions", Dataset(path, row_id="seq"))

@@ -70,17 +70,22 @@ def standard_user_key(df: DataFrame) -> DataFrame:
     return df.withColumnRenamed("userId", "user_id")
 
 
-def _typed(name: str, kind: T.DataType) -> Column:
-    c = F.col(name)
-    if isinstance(kind, T.IntegerType):
-        # Integer columns with gaps are often written as 3.0.
-        return c.cast("double").cast(kind).alias(name)
+def _typed(field: T.StructField, source: T.DataType) -> Column:
+    """Cast by name. Columns that already fit stay bare, so filters on them reach the scan."""
+    c, kind = F.col(field.name), field.dataType
     if isinstance(kind, T.DoubleType):
         number = c.cast(kind)
-        return F.when(~F.isnan(number), number).alias(name)
-    if isinstance(kind, T.DateType):
-        return F.to_date(c.cast("timestamp_ntz")).alias(name)
-    return c.cast(kind).alias(name)
+        c = F.when(~F.isnan(number), number)
+    elif source == kind:
+        return c
+    elif isinstance(kind, T.IntegerType) and isinstance(source, T.StringType):
+        # Integer columns with gaps are often written as 3.0.
+        c = c.cast("double").cast(kind)
+    elif isinstance(kind, T.DateType):
+        c = F.to_date(c.cast("timestamp_ntz"))
+    else:
+        c = c.cast(kind)
+    return c.alias(field.name)
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
@@ -91,7 +96,7 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     if missing:
         raise ValueError(f"table {table!r} lacks columns {missing}")
     extra = [c for c in df.columns if c not in schema.fieldNames()]
-    return df.select(*[_typed(f.name, f.dataType) for f in schema], *extra)
+    return df.select(*[_typed(f, df.schema[f.name].dataType) for f in schema], *extra)
 
 
 def with_row_id(df: DataFrame, row_id: str | None) -> DataFrame:
