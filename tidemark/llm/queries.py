@@ -7,13 +7,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import simhash
+from tidemark.llm import decontaminate, langid, oracles, simhash
+from tidemark.llm.common import fold
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.leaks(
+        _table(spark, folder, "documents"), _table(spark, folder, "benchmark"), window=10
+    )
+    items = F.array_sort(F.col("matches.item_id"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    held_out = fold(3) == 1
+    net = langid.train(docs.where(~held_out))
+    marked = docs.withColumn("held_out", held_out)
+    return langid.predict(marked, net, keep=["doc_id", "held_out"])
+
+
 def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_copies(_table(spark, folder, "documents"), shingle_words=3, max_bits=2)
     return found.select(
@@ -22,9 +46,9 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op10_simhash_near_dedup]
+    found = [op3_benchmark_decontamination, op9_language_id, op10_simhash_near_dedup]
     return {f.__name__: f for f in found}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op3_benchmark_decontamination": oracles.LEAKS}
