@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, oracles, simhash
+from tidemark.llm import decontaminate, langid, oracles, packing, simhash, tokencount
 from tidemark.llm.common import fold
 
 
@@ -30,6 +31,17 @@ def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     )
 
 
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return tokencount.count_tokens(_table(spark, folder, "documents"), model, limit=4096)
+
+
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    model = public_tokenizers.path("word_bpe_49k.json")
+    pieces = packing.pack(_table(spark, folder, "documents"), model, end_id=2, length=4096)
+    return packing.with_digest(pieces)
+
+
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     held_out = fold(3) == 1
@@ -46,7 +58,7 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op3_benchmark_decontamination, op9_language_id, op10_simhash_near_dedup]
+    found = [op3_benchmark_decontamination, op6_token_counts, op8_packing, op9_language_id, op10_simhash_near_dedup]
     return {f.__name__: f for f in found}
 
 
