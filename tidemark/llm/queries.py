@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, oracles, packing, simhash, tokencount
+from tidemark.llm import decontaminate, langid, oracles, packing, personal, simhash, tokencount
 from tidemark.llm.common import fold
 
 
@@ -31,6 +32,18 @@ def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     )
 
 
+def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = personal.personal_data(_table(spark, folder, "documents"))
+    counts = [personal.count_kind(F.col("base"), k).alias(f"n_{k}") for k in personal.KINDS]
+    digest = F.sha2(personal.span_list(F.col("base")).cast("binary"), 256)
+    return found.select(
+        "doc_id",
+        *counts,
+        digest.alias("base_sha256"),
+        personal.span_list(F.col("spans")).alias("spans"),
+    )
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return tokencount.count_tokens(_table(spark, folder, "documents"), model, limit=4096)
@@ -57,8 +70,20 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op3_benchmark_decontamination, op6_token_counts, op8_packing, op9_language_id, op10_simhash_near_dedup]
+    found = [
+        op3_benchmark_decontamination,
+        op4_personal_data,
+        op6_token_counts,
+        op8_packing,
+        op9_language_id,
+        op10_simhash_near_dedup,
+        pipeline,
+    ]
     return {f.__name__: f for f in found}
 
 
