@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, oracles, packing, personal, simhash, tokencount
+from tidemark.llm import decontaminate, langid, oracles, packing, personal, simhash, tokencount, toxicity
 from tidemark.llm.common import fold
 
 
@@ -17,6 +17,13 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    held_out = fold(5) == 0
+    machine = toxicity.train(docs, _table(spark, folder, "labels").where(~held_out))
+    return toxicity.judge(docs.withColumn("held_out", held_out), machine, ["doc_id", "held_out"])
+
+
 def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.leaks(
         _table(spark, folder, "documents"), _table(spark, folder, "benchmark"), window=10
@@ -76,6 +83,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
+        op1_toxicity,
         op3_benchmark_decontamination,
         op4_personal_data,
         op6_token_counts,
