@@ -16,9 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tidemark.llm.common import map_slices, raw_texts, slices, texts
+from tidemark.llm.common import map_slices, raw_texts, slices, stratified, texts
 
 WINDOW = 64
 #: Windows that run side by side.
@@ -125,16 +124,14 @@ def document_probabilities(net: Network, docs: list[bytes]) -> np.ndarray:
 def sample(docs: DataFrame, per_language: int, chars: int) -> DataFrame:
     """(lang, text): up to `per_language` rows per language, `chars` characters of each.
 
-    Rows are taken in the order of a hash of their id, the passage starts at a place
-    that the hash names. Ranks are cut in each task before rows move.
+    Rows are taken by a hash of their id, the passage starts at a place that the hash
+    names.
     """
     order = F.xxhash64("doc_id")
     start = F.lit(1) + F.pmod(order, F.greatest(F.lit(1), F.length("text") - F.lit(chars))).cast("int")
-    rows = docs.where("lang is not null and text is not null").select(
-        "lang", order.alias("_order"), F.call_function("substring", "text", start, F.lit(chars)).alias("text")
-    )
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_order", "text"))
-    return rows.withColumn("_rank", rank).where(F.col("_rank") <= per_language).select("lang", "text")
+    rows = docs.where("text is not null").select("lang", "doc_id", "text")
+    passage = F.call_function("substring", "text", start, F.lit(chars)).alias("text")
+    return stratified(rows, "lang", order, per_language).select("lang", passage)
 
 
 def _cell_backward(cell: Cell, grid: np.ndarray, d_out: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
