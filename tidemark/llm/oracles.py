@@ -34,3 +34,24 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIG
   coalesce(hit.n, 0) > 0 AS contaminated
 FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+
+def url_rules(rules: list[tuple[str, str, str]]) -> str:
+    listed = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in rules)
+    return f"""
+WITH rule(verdict, h, p) AS (VALUES {listed}),
+cut AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+),
+url AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut
+),
+fit AS (
+  SELECT page_id, max_by(h || p, length(h || p)) AS rule, max_by(verdict, length(h || p)) AS verdict
+  FROM url JOIN rule ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM url LEFT JOIN fit USING (page_id)
+"""

@@ -9,7 +9,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, oracles, packing, personal, simhash, tokencount, toxicity
+from tidemark.llm import (
+    decontaminate,
+    langid,
+    oracles,
+    packing,
+    personal,
+    simhash,
+    tokencount,
+    toxicity,
+    urls,
+)
 from tidemark.llm.common import fold
 
 
@@ -24,6 +34,20 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.judge(docs.withColumn("held_out", held_out), machine, ["doc_id", "held_out"])
 
 
+#: The rules of the url query: verdict, host, path.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+def op2_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge_urls(_table(spark, folder, "pages"), URL_RULES)
+
+
 def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.leaks(
         _table(spark, folder, "documents"), _table(spark, folder, "benchmark"), window=10
@@ -84,6 +108,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_toxicity,
+        op2_url_filters,
         op3_benchmark_decontamination,
         op4_personal_data,
         op6_token_counts,
@@ -96,4 +121,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op3_benchmark_decontamination": oracles.LEAKS}
+    return {
+        "op2_url_filters": oracles.url_rules(URL_RULES),
+        "op3_benchmark_decontamination": oracles.LEAKS,
+    }
