@@ -55,3 +55,23 @@ fit AS (
 )
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM url LEFT JOIN fit USING (page_id)
 """
+
+
+#: Base 32 of a hex digest: five hex digits are twenty bits, four characters.
+CAPTURES = """
+WITH page AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+),
+first AS (SELECT h, min(page_id) AS first FROM page GROUP BY h),
+quad AS (
+  SELECT h, g, CAST('0x' || substr(h, CAST(5 * g + 1 AS BIGINT), 5) AS BIGINT) AS n FROM first, range(8) AS r(g)
+),
+named AS (
+  SELECT h, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (n // (32 ** (3 - c))::BIGINT) % 32 + 1, 1), '' ORDER BY g, c) AS digest
+  FROM quad, range(4) AS s(c) GROUP BY h
+)
+SELECT page_id, payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM page JOIN first USING (h) JOIN named USING (h)
+"""

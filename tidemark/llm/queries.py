@@ -19,6 +19,7 @@ from tidemark.llm import (
     tokencount,
     toxicity,
     urls,
+    warc,
 )
 from tidemark.llm.common import fold
 
@@ -80,6 +81,11 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokencount.count_tokens(_table(spark, folder, "documents"), model, limit=4096)
 
 
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.capture_history(_table(spark, folder, "pages"), min_bytes=0)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     model = public_tokenizers.path("word_bpe_49k.json")
     pieces = packing.pack(_table(spark, folder, "documents"), model, end_id=2, length=4096)
@@ -112,6 +118,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op3_benchmark_decontamination,
         op4_personal_data,
         op6_token_counts,
+        op7_warc,
         op8_packing,
         op9_language_id,
         op10_simhash_near_dedup,
@@ -124,4 +131,5 @@ def llm_oracles() -> dict[str, str]:
     return {
         "op2_url_filters": oracles.url_rules(URL_RULES),
         "op3_benchmark_decontamination": oracles.LEAKS,
+        "op7_warc": oracles.CAPTURES,
     }
