@@ -9,8 +9,10 @@ sorted or moved between tasks.
 from __future__ import annotations
 
 import os
+import string
+from array import array
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -21,40 +23,92 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import map_slices, raw_texts
 from tidemark.storage import materialize
 
-#: Bytes of words and ids that a worker remembers; beyond, it keeps those of one slice.
-CACHE_BYTES = 96 << 20
+#: Bytes of words and ids that a worker remembers.
+CACHE_BYTES = 160 << 20
+#: Words that the tokenizer gets at a time.
+BATCH_WORDS = 2000
+#: What a remembered word takes besides its own bytes.
+ENTRY_BYTES = 180
+ALNUM = (string.ascii_letters + string.digits).encode()
 
 
 class WordEncoder:
     """Ids of a tokenizer that never joins what white space parts.
 
     Texts are split at ASCII white space and each different word is encoded once; a
-    memory of bounded size holds the words' ids between texts.
+    memory of bounded size holds the words' ids between texts. Where the tokenizer lower-
+    cases anyway, words are remembered in lower case; where it parts a final full stop or
+    comma from letters and digits, as the word and its sign.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.tokenizer = tool = Tokenizer.from_file(path)
+        self.code = "H" if tool.get_vocab_size() <= 1 << 16 else "I"
+        self.width = array(self.code).itemsize
+        # Words of this generation and of the one before; a generation is half the memory.
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.held = 0
+        special = [(i, t.content) for i, t in tool.get_added_tokens_decoder().items()]
+        self.marks = [content.lower().encode() for _, content in special]
+        # Put between words, a special token parts them and shows in the ids.
+        self.part_id, self.part = special[0] if special else (None, "")
+        norm, parts = tool.normalizer, tool.pre_tokenizer
+        self.lowers = bool(norm) and norm.normalize_str(string.ascii_uppercase) == string.ascii_lowercase
+        self.loose = bytes(
+            sign for sign in b".,"
+            if parts and all(len(parts.pre_tokenize_str(bytes([c, sign]).decode())) == 2 for c in ALNUM)
+        )
+
+    def _words(self, text: bytes) -> list[bytes]:
+        low = text.lower()
+        # Special strings are told by their case.
+        special = any(m in low for m in self.marks)
+        return (low if self.lowers and not special else text).split()
+
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        """Ids of each word."""
+        if self.part_id is None or any(self.part in w for w in words):
+            found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+            return [array(self.code, x.ids).tobytes() for x in found]
+        ids = self.tokenizer.encode(self.part.join(words), add_special_tokens=False).ids
+        raw = array(self.code, ids)
+        cuts = (np.flatnonzero(np.frombuffer(raw, raw.typecode) == self.part_id) * self.width).tolist()
+        whole = raw.tobytes()
+        begins = [0, *(c + self.width for c in cuts)]
+        return [whole[a:b] for a, b in zip(begins, [*cuts, len(whole)], strict=True)]
+
+    def _learn(self, words: set[bytes]) -> None:
+        known, older = self.known, self.older
+        for word in words.intersection(older):
+            known[word] = older[word]
+        fresh = words.difference(older)
+        loose = [w for w in fresh if len(w) > 1 and w[-1] in self.loose and w[-2] in ALNUM]
+        bases = {w[:-1] for w in loose} | {w[-1:] for w in loose}
+        whole = [w for w in bases.union(fresh).difference(loose) if w not in known]
+        for at in range(0, len(whole), BATCH_WORDS):
+            batch = whole[at : at + BATCH_WORDS]
+            known.update(zip(batch, self._encoded([w.decode() for w in batch]), strict=True))
+        for word in loose:
+            known[word] = known[word[:-1]] + known[word[-1:]]
+        self.held += sum(ENTRY_BYTES + 2 * len(w) for w in chain(words, bases))
 
     def encode(self, docs: list[bytes], end_id: int) -> list[bytes]:
-        """Little-endian ids of each document, `end_id` last."""
-        end = np.array([end_id], self.kind).tobytes()
-        words = [d.split() for d in docs]
-        used = set().union(*words)
-        if self.held > CACHE_BYTES:
-            self.known = {w: self.known[w] for w in used.intersection(self.known)}
-            self.held = sum(200 + len(w) + len(ids) for w, ids in self.known.items())
-        fresh = list(used.difference(self.known))
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
-        for word, each in zip(fresh, found, strict=True):
-            self.known[word] = ids = np.array(each.ids, self.kind).tobytes()
-            self.held += 200 + len(word) + len(ids)
-        return [b"".join(map(self.known.__getitem__, w)) + end for w in words]
+        """Little-endian ids of each document, `end_id` last, `width` bytes each."""
+        words = [self._words(d) for d in docs]
+        flat = list(chain.from_iterable(words))
+        if self.held > CACHE_BYTES // 2:
+            self.known, self.older, self.held = {}, self.known, 0
+        ids = list(map(self.known.get, flat))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        self._learn({flat[i] for i in missing})
+        for i in missing:
+            ids[i] = self.known[flat[i]]
+        end, edges = array(self.code, [end_id]).tobytes(), accumulate(map(len, words), initial=0)
+        return [b"".join(ids[a:b]) + end for a, b in pairwise(edges)]
 
 
 @lru_cache(maxsize=2)
@@ -76,7 +130,7 @@ def token_rows(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         def work(piece: pa.RecordBatch):
             nonlocal total
             ids = tool.encode(raw_texts(piece), end_id)
-            width = tool.kind.itemsize
+            width = tool.width
             sizes = [len(x) // width for x in ids]
             before = list(accumulate(sizes, initial=total))
             total = before.pop()
