@@ -9,7 +9,6 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.sql.window import Window
 
 #: Text bytes a Python worker handles at a time; a longer text is a slice of its own.
 SLICE_BYTES = 2 << 20
@@ -88,25 +87,18 @@ MAX_STRATA = 1000
 
 
 def stratified(rows: DataFrame, stratum: str, order: Column, per: int) -> DataFrame:
-    """Up to `per` rows of each value of `stratum`, those with the lowest remainder of `order`.
+    """About `per` rows of each value of `stratum`, or all where there are fewer.
 
-    `order` is a hash. Its remainder first thins out each stratum to about twice `per`
-    rows by the stratum's count, so that the ranking moves few rows whatever the table's
-    size and however its rows are spread. Rows with no stratum take no part.
+    `order` is a hash; a row is taken if its remainder is low enough for the count of its
+    stratum. So nothing is ranked or moved, whatever the table's size and however its
+    rows are spread. Rows with no stratum take no part.
     """
     spark, wide = rows.sparkSession, 1 << 30
     rows = rows.where(F.col(stratum).isNotNull())
     counts = rows.groupBy(stratum).count().orderBy(F.desc("count"), stratum).limit(MAX_STRATA).collect()
-    if not counts:
-        return rows
     kind = rows.schema[stratum].dataType.simpleString()
     shares = spark.createDataFrame(
-        [(c[0], min(wide, 2 * per * wide // c[1] + 1)) for c in counts], f"{stratum} {kind}, _share bigint"
+        [(c[0], min(wide, per * wide // c[1] + 1)) for c in counts], f"{stratum} {kind}, _share bigint"
     )
-    thin = (
-        rows.withColumn("_order", F.pmod(order, F.lit(wide)))
-        .join(F.broadcast(shares), stratum)
-        .where("_order < _share")
-    )
-    rank = F.row_number().over(Window.partitionBy(stratum).orderBy("_order"))
-    return thin.withColumn("_rank", rank).where(F.col("_rank") <= per).select(*rows.columns)
+    low = F.pmod(order, F.lit(wide))
+    return rows.join(F.broadcast(shares), stratum).where(low < F.col("_share")).select(*rows.columns)

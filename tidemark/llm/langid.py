@@ -122,7 +122,7 @@ def document_probabilities(net: Network, docs: list[bytes]) -> np.ndarray:
 
 
 def sample(docs: DataFrame, per_language: int, chars: int) -> DataFrame:
-    """(lang, text): up to `per_language` rows per language, `chars` characters of each.
+    """(lang, text): about `per_language` rows per language, `chars` characters of each.
 
     Rows are taken by a hash of their id, the passage starts at a place that the hash
     names.
@@ -218,7 +218,7 @@ def fit(
 def train(docs: DataFrame, per_language: int = 300, chars: int = 1000) -> Network | None:
     """A network fitted on a sample of the labelled rows of `docs`; None without any.
 
-    At most `per_language` rows of each language, and `chars` characters of each, reach
+    About `per_language` rows of each language, and `chars` characters of each, reach
     the driver.
     """
     rows = [(r["lang"], r["text"].encode()) for r in sample(docs, per_language, chars).collect()]

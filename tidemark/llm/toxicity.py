@@ -112,7 +112,7 @@ def fit(
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 6000) -> Machine | None:
     """A machine fitted on a sample of labelled rows; None if a class has no row.
 
-    At most `per_class` rows of either class reach the driver, as hash buckets, and both
+    About `per_class` rows of either class reach the driver, as hash buckets, and both
     classes weigh alike. Rows without text or label take no part.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", label).distinct()
