@@ -75,3 +75,85 @@ SELECT page_id, payload_bytes, digest AS payload_digest,
   CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
 FROM page JOIN first USING (h) JOIN named USING (h)
 """
+
+
+def quality_rules(common: list[str], max_char: float, max_word: float, min_chars: int, min_words: int) -> str:
+    listed = ", ".join(f"'{w}'" for w in common)
+    kept = {
+        "symbol": "[^#*$%&|<>]+",
+        "upper": "[^A-Z]+",
+        "digit": "[^0-9]+",
+        "mark": r"[^!-/:-@\[-`{-~]+",
+        "beyond": r"[\x00-\x7F]+",
+        "space": r"[^\x20\x09-\x0D]+",
+    }
+    counts = ", ".join(f"length(regexp_replace(t, '{p}', '', 'g')) AS {c}" for c, p in kept.items())
+
+    def distance(histogram: str) -> str:
+        part = "CASE WHEN {0} > 0 THEN {0} * log2(2 * {0} / ({0} + {1})) ELSE 0 END"
+        both = part.format("p", "q") + " + " + part.format("q", "p")
+        return f"""
+          SELECT doc_id, sqrt(greatest(sum({both}) / 2, 0)) AS distance FROM (
+            SELECT d.doc_id, d.n / greatest(d.total, 1) AS p, r.n / greatest(r.total, 1) AS q
+            FROM (SELECT *, sum(n) OVER (PARTITION BY doc_id) AS total FROM {histogram}) AS d
+            JOIN (SELECT *, sum(n) OVER (PARTITION BY lang) AS total FROM {histogram}_ref) AS r USING (lang, class)
+          ) GROUP BY doc_id
+        """
+
+    return f"""
+WITH doc AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS t FROM documents),
+cut AS (
+  SELECT doc_id, lang, t, length(t) AS n_chars, {counts},
+    list_filter(string_split_regex(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,
+    list_filter(string_split_regex(lower(t), '[^\\pL]+'), lambda x: x IN ({listed})) AS known,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM doc
+),
+win AS (
+  SELECT doc_id, p, array_to_string(w[p:p + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS p FROM cut)
+),
+twice AS (SELECT doc_id, s FROM win GROUP BY 1, 2 HAVING count(*) > 1),
+repeats AS (
+  SELECT doc_id, count(DISTINCT q) AS n
+  FROM (SELECT doc_id, unnest(range(p, p + 5)) AS q FROM win JOIN twice USING (doc_id, s)) GROUP BY 1
+),
+base AS (
+  SELECT cut.*, CAST(len(w) AS BIGINT) AS n_words, n_chars - space AS word_chars, symbol AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+  FROM cut LEFT JOIN repeats USING (doc_id)
+),
+chars AS (
+  UNPIVOT (
+    SELECT doc_id, lang, n_chars - space - upper - digit - mark - beyond AS lower, upper, digit,
+      mark - symbol AS plain, symbol, space, beyond FROM base
+  ) ON lower, upper, digit, plain, symbol, space, beyond INTO NAME class VALUE n
+),
+chars_ref AS (SELECT lang, class, sum(n) AS n FROM chars GROUP BY 1, 2),
+listed AS (
+  SELECT doc_id, lang, class, CAST(len(list_filter(known, lambda x: x = class)) AS BIGINT) AS n
+  FROM base, (SELECT unnest([{listed}]) AS class)
+),
+known AS (SELECT doc_id, sum(n) AS k FROM listed GROUP BY 1),
+words AS (
+  SELECT * FROM listed UNION ALL
+  SELECT doc_id, lang, '', greatest(n_words - k, 0) FROM base JOIN known USING (doc_id)
+),
+words_ref AS (
+  SELECT lang, class, sum(n) AS n FROM listed GROUP BY 1, 2 UNION ALL
+  SELECT lang, '', greatest(sum(n_words) - sum(k), 0) FROM base JOIN known USING (doc_id) GROUP BY 1
+),
+char_far AS ({distance("chars")}),
+word_far AS ({distance("words")}),
+judged AS (
+  SELECT base.*, char_far.distance AS c, word_far.distance AS d,
+    n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
+  FROM base JOIN char_far USING (doc_id) JOIN word_far USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT (n_chars >= {min_chars} AND c > {max_char}) AND NOT (n_words >= {min_words} AND d > {max_word})
+    AS kept,
+  round(c, 6) AS char_distance, round(d, 6) AS word_distance
+FROM judged
+"""

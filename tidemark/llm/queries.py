@@ -15,6 +15,7 @@ from tidemark.llm import (
     oracles,
     packing,
     personal,
+    quality,
     simhash,
     tokencount,
     toxicity,
@@ -76,6 +77,10 @@ def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(_table(spark, folder, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return tokencount.count_tokens(_table(spark, folder, "documents"), model, limit=4096)
@@ -117,6 +122,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op2_url_filters,
         op3_benchmark_decontamination,
         op4_personal_data,
+        op5_quality_rules,
         op6_token_counts,
         op7_warc,
         op8_packing,
@@ -131,5 +137,12 @@ def llm_oracles() -> dict[str, str]:
     return {
         "op2_url_filters": oracles.url_rules(URL_RULES),
         "op3_benchmark_decontamination": oracles.LEAKS,
+        "op5_quality_rules": oracles.quality_rules(
+            quality.COMMON_WORDS,
+            quality.MAX_CHAR_DISTANCE,
+            quality.MAX_WORD_DISTANCE,
+            quality.MIN_CHARS,
+            quality.MIN_WORDS,
+        ),
         "op7_warc": oracles.CAPTURES,
     }
