@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -14,6 +15,31 @@ from pyspark.sql.types import StructType
 SLICE_BYTES = 2 << 20
 
 
+#: Bytes of a record batch on its way to Python.
+BATCH_BYTES = 4 << 20
+_BATCH_OPTION = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def map_batches(
+    df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType
+) -> DataFrame:
+    """`df` through a function of record batches of a few megabytes (or one row).
+
+    Batches are cut by rows alone otherwise, and rows of long texts fill an executor's
+    memory outside its heap. The session's limit is lowered, never raised.
+    """
+    conf = df.sparkSession.conf
+    if _in_bytes(conf.get(_BATCH_OPTION)) > BATCH_BYTES:
+        conf.set(_BATCH_OPTION, f"{BATCH_BYTES}b")
+    return df.mapInArrow(run, schema)
+
+
+def _in_bytes(size: str) -> int:
+    number, unit = re.fullmatch(r"(-?\d+)([a-z]*)", size.strip().lower()).groups()
+    scale = "bkmgtp".index((unit or "b")[0])
+    return int(number) << (10 * scale) if int(number) > 0 else 1 << 62
+
+
 def fold(n: int, column: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo `n`; a missing id counts as the empty text."""
     text = F.coalesce(F.col(column).cast("string"), F.lit(""))
@@ -61,7 +87,7 @@ def map_slices(
                 [_as_arrow(out[f.name], f.type) for f in arrow], schema=arrow
             )
 
-    return df.mapInArrow(run, kind)
+    return map_batches(df, run, kind)
 
 
 def _as_arrow(values: object, kind: pa.DataType) -> pa.Array:

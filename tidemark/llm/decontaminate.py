@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_slices, raw_texts, slices
+from tidemark.llm.common import map_batches, map_slices, raw_texts, slices
 from tidemark.storage import materialize
 
 #: Bytes of benchmark text that are looked up, and broadcast, at a time.
@@ -242,5 +242,5 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_by
                 clean = sums[found.starts[1:]] == sums[found.starts[:-1]]
                 yield piece.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = map_batches(docs, run, docs.schema)
     return docs

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_slices, raw_texts, slices, stratified, texts
+from tidemark.llm.common import map_batches, map_slices, raw_texts, slices, stratified, texts
 
 WINDOW = 64
 #: Windows that run side by side.
@@ -160,9 +160,9 @@ def _cell_backward(cell: Cell, grid: np.ndarray, d_out: np.ndarray) -> tuple[np.
         d_by_state += before.T @ d_held
         d_state = d * update + d_held @ cell.by_state.T
         d_seen[t] = np.concatenate([d_update, d_reset, d_fresh], axis=1)
-    one_hot = np.zeros((grid.size, 256), np.float32)
-    one_hot[np.arange(grid.size), grid.ravel()] = 1
-    return one_hot.T @ d_seen.reshape(-1, 3 * units), d_by_state
+    d_by_byte = np.zeros_like(cell.by_byte)
+    np.add.at(d_by_byte, grid.ravel(), d_seen.reshape(-1, 3 * units))
+    return d_by_byte, d_by_state
 
 
 def fit(
@@ -265,4 +265,4 @@ def keep_known(docs: DataFrame, net: Network | None, min_score: float) -> DataFr
             good = [n != UNDETERMINED and s >= min_score for n, s in zip(names, scores, strict=True)]
             yield piece.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

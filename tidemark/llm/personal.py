@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
-from tidemark.llm.common import slices, texts
+from tidemark.llm.common import map_batches, slices, texts
 from tidemark.storage import materialize
 
 #: Base kinds in the order that breaks ties; found spans come last.
@@ -157,7 +157,7 @@ def read_rows(docs: DataFrame, keep: list[str]) -> DataFrame:
             columns += [pa.array(v, f.type) for v, f in zip(own, list(arrow)[-3:], strict=True)]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    return docs.select(*read).mapInArrow(run, kind)
+    return map_batches(docs.select(*read), run, kind)
 
 
 def trusted_instances(
@@ -302,5 +302,5 @@ def mask(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
     touched = rows.where(looked)
-    changed = _with_spans(touched).select(*docs.columns, "spans").mapInArrow(run, schema)
+    changed = map_batches(_with_spans(touched).select(*docs.columns, "spans"), run, schema)
     return rows.where(~looked).select(*docs.columns).unionByName(changed)

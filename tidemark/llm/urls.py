@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.llm.common import map_batches
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rules that one sweep holds, and that are sent to the tasks at a time.
 BLOCK_RULES = 100_000
@@ -163,4 +165,4 @@ def _swept(rows: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
             own = {"rule": pa.array(names, pa.string()), "verdict": pa.array(verdicts, pa.string())}
             yield pa.RecordBatch.from_arrays([own.get(f.name, batch.column(f.name)) for f in arrow], schema=arrow)
 
-    return rows.mapInArrow(run, schema)
+    return map_batches(rows, run, schema)

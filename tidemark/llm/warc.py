@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import map_batches, slices
 from tidemark.storage import fresh_path, materialize
 
 #: An archive ends after so many bytes or records.
@@ -191,7 +191,7 @@ def write_archives(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     rows = with_first(pages, min_bytes).select(
         page.alias("page"), "url", "html", refers_to.alias("refers_to")
     )
-    return materialize(rows.mapInArrow(run, "archive string, records bigint"), "archives")
+    return materialize(map_batches(rows, run, "archive string, records bigint"), "archives")
 
 
 def read_archives(archives: DataFrame) -> DataFrame:
@@ -216,7 +216,7 @@ def read_archives(archives: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(sorted(rows, key=order_of), schema=arrow)
 
     spread = archives.select("archive", "records").repartition("archive")
-    return materialize(spread.mapInArrow(run, schema), "captures")
+    return materialize(map_batches(spread, run, schema), "captures")
 
 
 class LoserTree:
@@ -287,7 +287,8 @@ def merge_captures(captures: DataFrame) -> DataFrame:
 
     page = F.coalesce("page", F.lit(""))
     dealt = captures.repartitionByRange("url_key", "captured_at", page, "run")
-    return dealt.sortWithinPartitions("run", "url_key", "captured_at", page).mapInArrow(run, captures.schema)
+    ordered = dealt.sortWithinPartitions("run", "url_key", "captured_at", page)
+    return map_batches(ordered, run, captures.schema)
 
 
 def capture_history(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
