@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructType
+from pyspark.sql.types import LongType, StructType
 
 from tidemark.llm.common import map_batches, slices, texts
 from tidemark.storage import materialize
@@ -35,6 +35,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 #: An identifier of unknown format: this long, with so many digits.
 _TOKEN = re.compile(r"[A-Za-z0-9_-]{6,}")
+_TOKEN_CHAR = re.compile(r"[A-Za-z0-9_-]")
+_DIGIT = re.compile(r"[0-9]")
 MIN_DIGITS = 2
 _ITEM = re.compile(r"\w+|[^\w\s]")
 #: Characters looked at on either side of an instance.
@@ -129,10 +131,6 @@ def sights(
     ]
 
 
-_TOKEN_CHAR = re.compile(r"[A-Za-z0-9_-]")
-_DIGIT = re.compile(r"[0-9]")
-
-
 def read_rows(docs: DataFrame, keep: list[str]) -> DataFrame:
     """`keep` with _row (a number of its own), _base and _sights, for every row of `docs`."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -273,34 +271,30 @@ def mask(docs: DataFrame) -> DataFrame:
     """`docs` with the name of its kind in place of every span of personal data.
 
     All rows and columns stay; an integer column n_chars follows the new length of the
-    texts that changed. Rows with nothing to look at are not moved.
+    texts that changed. Missing and empty texts stay as they are. Rows with nothing to
+    look at are not moved. Columns may have any names.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    rows = materialize(read_rows(docs, docs.columns), "sights")
-    looked = F.size("_sights") > 0
     schema = docs.schema
+    # Names of its own keep the working columns apart from those of `docs`.
+    plain = [f"c{i}" if c != "text" else c for i, c in enumerate(docs.columns)]
+    rows = materialize(read_rows(docs.toDF(*plain), plain), "sights")
+    looked = F.size("_sights") > 0
     arrow = to_arrow_schema(schema)
     counts = "n_chars" in docs.columns and isinstance(schema["n_chars"].dataType, LongType)
-    if not isinstance(schema["text"].dataType, StringType):
-        raise TypeError("text must be a string column")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, "text"):
-            new = [
-                _masked(t, s) if s else t
-                for t, s in zip(piece.column("text").to_pylist(), piece.column("spans").to_pylist(), strict=True)
-            ]
-            own = {"text": pa.array(new, pa.string())}
+            spans = piece.column("spans").to_pylist()
+            new = [_masked(t, s) if s else t for t, s in zip(piece.column("text").to_pylist(), spans, strict=True)]
+            columns = {c: piece.column(p) for c, p in zip(schema.names, plain, strict=True)}
+            columns["text"] = pa.array(new, pa.string())
             if counts:
-                spans = piece.column("spans").to_pylist()
-                old = piece.column("n_chars").to_pylist()
-                own["n_chars"] = pa.array(
-                    [len(t) if s else n for t, s, n in zip(new, spans, old, strict=True)], pa.int64()
-                )
-            columns = [own.get(c, piece.column(c)) for c in schema.names]
-            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
-
-    touched = rows.where(looked)
-    changed = map_batches(_with_spans(touched).select(*docs.columns, "spans"), run, schema)
-    return rows.where(~looked).select(*docs.columns).unionByName(changed)
+                old = columns["n_chars"].to_pylist()
+                sizes = [len(t) if s else n for t, s, n in zip(new, spans, old, strict=True)]
+                columns["n_chars"] = pa.array(sizes, pa.int64())
+            yield pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) for f in arrow], schema=arrow)
+
+    changed = map_batches(_with_spans(rows.where(looked)).select(*plain, "spans"), run, schema)
+    return rows.where(~looked).select(*plain).toDF(*docs.columns).unionByName(changed)

@@ -126,7 +126,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
         return work
 
     # The sample is at most two classes of `per_class` ids.
-    chosen = docs.where("text is not null").join(F.broadcast(picked), "doc_id").select("doc_id", label, "text")
+    whole = docs.select("doc_id", "text").where("text is not null")
+    chosen = whole.join(F.broadcast(picked), "doc_id").select("doc_id", label, "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     hashed = map_slices(chosen, f"doc_id {kind}, label int, buckets array<int>", make)
     rows = sorted(hashed.collect(), key=lambda r: (r["doc_id"], r["label"]))
