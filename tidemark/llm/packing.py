@@ -13,6 +13,7 @@ import string
 from array import array
 from functools import lru_cache
 from itertools import accumulate, chain, pairwise
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -25,20 +26,23 @@ from tidemark.storage import materialize
 
 #: Bytes of words and ids that a worker remembers.
 CACHE_BYTES = 160 << 20
-#: Words that the tokenizer gets at a time.
-BATCH_WORDS = 2000
 #: What a remembered word takes besides its own bytes.
 ENTRY_BYTES = 180
-ALNUM = (string.ascii_letters + string.digits).encode()
+SIGNS = string.punctuation.encode()
+ALNUM = string.ascii_letters + string.digits
+#: Lower-case letters of Latin scripts whose words the model gets directly.
+LETTERS = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c.islower() and c == normalize("NFC", c))
 
 
 class WordEncoder:
     """Ids of a tokenizer that never joins what white space parts.
 
     Texts are split at ASCII white space and each different word is encoded once; a
-    memory of bounded size holds the words' ids between texts. Where the tokenizer lower-
-    cases anyway, words are remembered in lower case; where it parts a final full stop or
-    comma from letters and digits, as the word and its sign.
+    memory of bounded size holds the words' ids between texts. What a tokenizer is seen
+    to do with single characters saves work on whole words: where it lower-cases, words
+    are remembered in lower case; where it parts signs from the letter or digit before
+    them, as the word and its signs; and where its first steps leave a word of lower-case
+    letters whole, the merges get it without them.
     """
 
     def __init__(self, path: str):
@@ -52,16 +56,15 @@ class WordEncoder:
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.held = 0
-        special = [(i, t.content) for i, t in tool.get_added_tokens_decoder().items()]
-        self.marks = [content.lower().encode() for _, content in special]
-        # Put between words, a special token parts them and shows in the ids.
-        self.part_id, self.part = special[0] if special else (None, "")
+        self.marks = [t.content.lower().encode() for t in tool.get_added_tokens_decoder().values()]
         norm, parts = tool.normalizer, tool.pre_tokenizer
         self.lowers = bool(norm) and norm.normalize_str(string.ascii_uppercase) == string.ascii_lowercase
         self.loose = bytes(
-            sign for sign in b".,"
-            if parts and all(len(parts.pre_tokenize_str(bytes([c, sign]).decode())) == 2 for c in ALNUM)
-        )
+            s for s in SIGNS if parts and all(len(parts.pre_tokenize_str(c + chr(s))) == 2 for c in ALNUM)
+        )
+        self.model, self.spelled = tool.model, {}
+        if norm and parts and norm.normalize_str(LETTERS) == LETTERS and len(parts.pre_tokenize_str(LETTERS)) == 1:
+            self.spelled = {ord(c): parts.pre_tokenize_str(c)[0][0] for c in LETTERS}
 
     def _words(self, text: bytes) -> list[bytes]:
         low = text.lower()
@@ -69,32 +72,35 @@ class WordEncoder:
         special = any(m in low for m in self.marks)
         return (low if self.lowers and not special else text).split()
 
-    def _encoded(self, words: list[str]) -> list[bytes]:
-        """Ids of each word."""
-        if self.part_id is None or any(self.part in w for w in words):
-            found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-            return [array(self.code, x.ids).tobytes() for x in found]
-        ids = self.tokenizer.encode(self.part.join(words), add_special_tokens=False).ids
-        raw = array(self.code, ids)
-        cuts = (np.flatnonzero(np.frombuffer(raw, raw.typecode) == self.part_id) * self.width).tolist()
-        whole = raw.tobytes()
-        begins = [0, *(c + self.width for c in cuts)]
-        return [whole[a:b] for a, b in zip(begins, [*cuts, len(whole)], strict=True)]
+    def _encode(self, words: list[bytes]) -> None:
+        known, spelled, tokenize, rest = self.known, self.spelled, self.model.tokenize, []
+        for word in words:
+            text = word.decode()
+            # Single letters spell their words only in composed form; LETTERS hold no marks.
+            if spelled and spelled.keys() >= set(map(ord, text)):
+                known[word] = array(self.code, [t.id for t in tokenize(text.translate(spelled))]).tobytes()
+            else:
+                rest.append(text)
+        found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+        for text, each in zip(rest, found, strict=True):
+            known[text.encode()] = array(self.code, each.ids).tobytes()
 
     def _learn(self, words: set[bytes]) -> None:
         known, older = self.known, self.older
         for word in words.intersection(older):
             known[word] = older[word]
         fresh = words.difference(older)
-        loose = [w for w in fresh if len(w) > 1 and w[-1] in self.loose and w[-2] in ALNUM]
-        bases = {w[:-1] for w in loose} | {w[-1:] for w in loose}
-        whole = [w for w in bases.union(fresh).difference(loose) if w not in known]
-        for at in range(0, len(whole), BATCH_WORDS):
-            batch = whole[at : at + BATCH_WORDS]
-            known.update(zip(batch, self._encoded([w.decode() for w in batch]), strict=True))
-        for word in loose:
-            known[word] = known[word[:-1]] + known[word[-1:]]
-        self.held += sum(ENTRY_BYTES + 2 * len(w) for w in chain(words, bases))
+        cuts: dict[bytes, tuple[bytes, bytes]] = {}
+        for word in fresh:
+            base = word.rstrip(self.loose)
+            plain = len(base) < len(word) and not any(m in word.lower() for m in self.marks)
+            if base and plain and chr(base[-1]) in ALNUM:
+                cuts[word] = base, word[len(base) :]
+        parts = set(chain.from_iterable(cuts.values()))
+        self._encode([w for w in parts.union(fresh).difference(cuts) if w not in known])
+        for word, (base, signs) in cuts.items():
+            known[word] = known[base] + known[signs]
+        self.held += sum(ENTRY_BYTES + 2 * len(w) for w in chain(words, parts))
 
     def encode(self, docs: list[bytes], end_id: int) -> list[bytes]:
         """Little-endian ids of each document, `end_id` last, `width` bytes each."""
