@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import string
 from array import array
+from collections import Counter
 from functools import lru_cache
 from itertools import accumulate, chain, pairwise
 from unicodedata import normalize
@@ -25,7 +26,9 @@ from tidemark.llm.common import map_slices, raw_texts
 from tidemark.storage import materialize
 
 #: Bytes of words and ids that a worker remembers.
-CACHE_BYTES = 160 << 20
+CACHE_BYTES = 96 << 20
+#: Words looked up first.
+COMMON_WORDS = 8192
 #: What a remembered word takes besides its own bytes.
 ENTRY_BYTES = 180
 SIGNS = string.punctuation.encode()
@@ -55,6 +58,7 @@ class WordEncoder:
         # Words of this generation and of the one before; a generation is half the memory.
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
+        self.common: dict[bytes, bytes] = {}
         self.held = 0
         self.marks = [t.content.lower().encode() for t in tool.get_added_tokens_decoder().values()]
         norm, parts = tool.normalizer, tool.pre_tokenizer
@@ -72,47 +76,43 @@ class WordEncoder:
         special = any(m in low for m in self.marks)
         return (low if self.lowers and not special else text).split()
 
-    def _encode(self, words: list[bytes]) -> None:
-        known, spelled, tokenize, rest = self.known, self.spelled, self.model.tokenize, []
-        for word in words:
-            text = word.decode()
-            # Single letters spell their words only in composed form; LETTERS hold no marks.
-            if spelled and spelled.keys() >= set(map(ord, text)):
-                known[word] = array(self.code, [t.id for t in tokenize(text.translate(spelled))]).tobytes()
+    def _spell(self, word: bytes) -> bytes:
+        """Ids of a word, from the merges alone where its first steps are known."""
+        text = word.decode()
+        if self.spelled:
+            if text.isascii() and text.isalpha() and text.islower():
+                return array(self.code, [t.id for t in self.model.tokenize(text)]).tobytes()
+            # LETTERS are composed, so a word of them has no marks to compose.
+            if self.spelled.keys() >= set(map(ord, text)):
+                return array(self.code, [t.id for t in self.model.tokenize(text.translate(self.spelled))]).tobytes()
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _learn(self, word: bytes) -> bytes:
+        """Ids of a word that this generation does not know yet."""
+        ids = self.known.get(word) or self.older.get(word)
+        if ids is None:
+            base = word.rstrip(self.loose) if word[-1] in self.loose else word
+            if base and base is not word and chr(base[-1]) in ALNUM and not any(m in word.lower() for m in self.marks):
+                ids = self._learn(base) + self._learn(word[len(base) :])
             else:
-                rest.append(text)
-        found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
-        for text, each in zip(rest, found, strict=True):
-            known[text.encode()] = array(self.code, each.ids).tobytes()
-
-    def _learn(self, words: set[bytes]) -> None:
-        known, older = self.known, self.older
-        for word in words.intersection(older):
-            known[word] = older[word]
-        fresh = words.difference(older)
-        cuts: dict[bytes, tuple[bytes, bytes]] = {}
-        for word in fresh:
-            base = word.rstrip(self.loose)
-            plain = len(base) < len(word) and not any(m in word.lower() for m in self.marks)
-            if base and plain and chr(base[-1]) in ALNUM:
-                cuts[word] = base, word[len(base) :]
-        parts = set(chain.from_iterable(cuts.values()))
-        self._encode([w for w in parts.union(fresh).difference(cuts) if w not in known])
-        for word, (base, signs) in cuts.items():
-            known[word] = known[base] + known[signs]
-        self.held += sum(ENTRY_BYTES + 2 * len(w) for w in chain(words, parts))
+                ids = self._spell(word)
+        self.known[word] = ids
+        self.held += ENTRY_BYTES + 2 * len(word)
+        return ids
 
     def encode(self, docs: list[bytes], end_id: int) -> list[bytes]:
         """Little-endian ids of each document, `end_id` last, `width` bytes each."""
         words = [self._words(d) for d in docs]
         flat = list(chain.from_iterable(words))
-        if self.held > CACHE_BYTES // 2:
+        if self.held > CACHE_BYTES // 2 or not self.common:
             self.known, self.older, self.held = {}, self.known, 0
-        ids = list(map(self.known.get, flat))
-        missing = [i for i, x in enumerate(ids) if x is None]
-        self._learn({flat[i] for i in missing})
-        for i in missing:
-            ids[i] = self.known[flat[i]]
+            top = Counter(flat).most_common(COMMON_WORDS)
+            self.common = {w: self._learn(w) for w, _ in top}
+        # Most words are among a few thousand, whose table stays in the processor's cache.
+        ids = list(map(self.common.get, flat))
+        rare = [i for i, x in enumerate(ids) if x is None]
+        for i, x in zip(rare, map(self.known.get, [flat[i] for i in rare]), strict=True):
+            ids[i] = x or self._learn(flat[i])
         end, edges = array(self.code, [end_id]).tobytes(), accumulate(map(len, words), initial=0)
         return [b"".join(ids[a:b]) + end for a, b in pairwise(edges)]
 
