@@ -1,0 +1,78 @@
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import personal
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+PARTS = [
+    "1", "25", "255", "256", ".", "..", "@", "a", "b-c", ".com", "+", " ", "-", "(", ")", "4041894974608795", "0000",
+    "001", "é", "x@y.z", "+1 (988) 555-2485", "42.144.35.254", "_%",
+]
+
+
+def digits(x):
+    return re.sub("[^0-9]", "", x)
+
+
+def brute(text):
+    found = [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
+    found += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+    found += [
+        (m.start(), 2, m.end())
+        for m in CARD.finditer(text)
+        if 14 <= len(digits(m[0])) <= 19 and personal._luhn(digits(m[0]))
+    ]
+    found += [(m.start(), 3, m.end()) for m in PHONE.finditer(text) if 10 <= len(digits(m[0])) <= 15]
+    return sorted(found)
+
+
+def test_base_spans_match_the_formats():
+    rng = random.Random(3)
+    for _ in range(20_000):
+        text = "".join(rng.choice(PARTS) for _ in range(rng.randint(0, 16)))
+        assert personal.base_spans(text, list(personal._REGION.finditer(text))) == brute(text), text
+
+
+@pytest.mark.parametrize("text", ["a" * 200_000, "1" * 200_000, "+1" + " " * 200_000, "1." * 100_000, "a@" * 50_000])
+def test_long_runs_take_linear_time(text):
+    found = personal.base_spans(text, list(personal._REGION.finditer(text)))
+    assert found == ([(8 * i, 1, 8 * i + 7) for i in range(25_000)] if text.startswith("1.") else [])
+
+
+def test_context_finds_what_stands_like_the_seeds(make_docs):
+    seeds = [(i, f"write to agent{i}@example.com now please", "en") for i in range(20)]
+    odd = [(100, "write to AKIA77QX12ZZ now please", "en"), (101, "version QQQQ7777 of the thing", "en")]
+    rows = {r["doc_id"]: r for r in personal.personal_data(make_docs(seeds + odd)).collect()}
+    assert [(s["start"], s["kind"], s["end"]) for s in rows[100]["spans"]] == [(9, len(personal.KINDS), 21)]
+    assert rows[100]["base"] == [] and rows[101]["spans"] == []
+    assert all(rows[i]["spans"] == rows[i]["base"] != [] for i in range(20))
+
+
+def test_masking(make_docs):
+    docs = make_docs([(i, f"write to agent{i}@example.com now please", "en") for i in range(20)] + [(50, "plain", "en")])
+    rows = {r["doc_id"]: r for r in personal.mask(docs).collect()}
+    assert rows[3]["text"] == "write to <email> now please" and rows[3]["n_chars"] == 27
+    assert rows[50]["text"] == "plain" and rows[50]["n_chars"] == 5
+    assert personal.mask(docs).columns == docs.columns
+    assert personal._masked("abcdef", [{"start": 1, "kind": 2, "end": 4}, {"start": 3, "kind": 0, "end": 5}]) == "a<card>f"
+
+
+def test_span_lists(make_docs):
+    docs = make_docs([(1, "é a@b.co 42.144.35.254", "en")])
+    row = personal.personal_data(docs).select(personal.span_list(F.col("spans")).alias("s")).first()
+    assert row["s"] == "email:2:8,ip:9:22"
+
+
+def test_odd_rows(odd_docs, make_docs):
+    rows = personal.personal_data(odd_docs).collect()
+    assert len(rows) == 8 and all(r["base"] == r["spans"] == [] for r in rows)
+    masked = personal.mask(odd_docs)
+    assert sorted(map(str, masked.collect())) == sorted(map(str, odd_docs.collect()))
+    none = make_docs([])
+    assert personal.personal_data(none).count() == personal.mask(none).count() == 0

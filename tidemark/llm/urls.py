@@ -62,7 +62,7 @@ class Sweep:
 
     def __init__(self, rules: Iterable[tuple[str, str, str]]):
         nodes: dict[str, Node] = {}
-        for verdict, host, path in sorted(rules):  # of equal rules the last, block, stays
+        for verdict, host, path in rules:
             key = host_key(host)
             nodes.setdefault(key, Node(key, len(host))).by_path[path] = (host + path, verdict)
         for node in nodes.values():
@@ -96,15 +96,18 @@ class Sweep:
         while self.stack and not key.startswith(self.stack[-1].key):
             self.stack.pop()
 
-    def best(self, path: str) -> tuple[str, str] | None:
-        """The longest open rule whose path begins `path`; of equal ones the nearer host."""
+    def best(self, path: str) -> tuple[str, str, int] | None:
+        """The longest open rule whose path begins `path`, its verdict and its host's length.
+
+        Of equally long ones the nearer host wins.
+        """
         found, size = None, -1
         for node in reversed(self.stack):
             for length in node.lengths:
                 if node.host_length + length <= size:
                     break
                 if length <= len(path) and path[:length] in node.by_path:
-                    found, size = node.by_path[path[:length]], node.host_length + length
+                    found, size = (*node.by_path[path[:length]], node.host_length), node.host_length + length
                     break
         return found
 
@@ -126,7 +129,9 @@ def judge_urls(
     may meet in different tasks: the sort order goes on by a hash of the row, so a common
     host is split. Repeated rows come out each; other columns are ignored.
     """
-    rules = sorted(set(rules))
+    # Of equal rules the last in order, block, stays.
+    merged = {(host, path): verdict for verdict, host, path in sorted(set(rules))}
+    rules = [(verdict, host, path) for (host, path), verdict in sorted(merged.items())]
     host = host_of(F.col("url"))
     found = pages.select(
         "page_id",
@@ -134,12 +139,13 @@ def judge_urls(
         F.coalesce(path_of(F.col("url")), F.lit("")).alias("path"),
         F.lit(None).cast("string").alias("rule"),
         F.lit(default).alias("verdict"),
+        F.lit(-1).alias("_near"),
     ).withColumn("_key", reversed_host(F.col("host")))
     tie = F.xxhash64("page_id", "path")
     found = found.repartitionByRange("_key", tie).sortWithinPartitions("_key", tie)
     for at in range(0, len(rules), block_rules):
         found = _swept(found, rules[at : at + block_rules])
-    return found.drop("_key")
+    return found.drop("_key", "_near")
 
 
 def _swept(rows: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
@@ -154,15 +160,17 @@ def _swept(rows: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
         sweep, last = Sweep(held.value), None
         for batch in batches:
             names, verdicts = batch.column("rule").to_pylist(), batch.column("verdict").to_pylist()
+            near = batch.column("_near").to_pylist()
             keys, paths = batch.column("_key").to_pylist(), batch.column("path").to_pylist()
             for i, (key, path) in enumerate(zip(keys, paths, strict=True)):
                 if key != last:
                     sweep.move(key)
                     last = key
                 best = sweep.best(path) if sweep.stack else None
-                if best and (names[i] is None or len(best[0]) > len(names[i])):
-                    names[i], verdicts[i] = best
+                if best and (len(best[0]), best[2]) > (len(names[i] or ""), near[i]):
+                    names[i], verdicts[i], near[i] = best
             own = {"rule": pa.array(names, pa.string()), "verdict": pa.array(verdicts, pa.string())}
+            own["_near"] = pa.array(near, pa.int32())
             yield pa.RecordBatch.from_arrays([own.get(f.name, batch.column(f.name)) for f in arrow], schema=arrow)
 
     return map_batches(rows, run, schema)
