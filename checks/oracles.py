@@ -18,19 +18,12 @@ PLAY = """ev AS (
   SELECT user_id, CAST(ts AS date) AS date, ts, event_id, event_type, value,
     CAST(hour(ts) AS int) AS h, json_extract_string(props, '$.k') AS g
   FROM events),
-evn AS (
-  SELECT *, count(*) OVER p AS n, min(event_id) OVER p AS lo, max(event_id) OVER p AS hi
-  FROM ev WINDOW p AS (PARTITION BY user_id, date)),
-evs AS (
-  SELECT *, CASE WHEN n > 10000 AND hi > lo
-    THEN CAST(floor((event_id - lo) / ((hi - lo) / ceil(n / 10000.0))) AS bigint) ELSE 0 END AS part
-  FROM evn),
 sess AS (
   SELECT user_id, date, min(event_id) AS rid,
     avg(value) FILTER (WHERE event_type <> 'error') AS lpi,
     string_agg(CAST(h AS varchar), ',' ORDER BY ts, event_id) AS hour,
     string_agg(g, ',' ORDER BY ts, event_id) AS gameId
-  FROM evs GROUP BY user_id, date, part)"""
+  FROM ev GROUP BY user_id, date, event_id // 10000)"""
 
 # Session features need the two text lists as integers.
 HOURS = """hrs AS (
@@ -266,7 +259,15 @@ def all_oracles() -> dict[str, str]:
         "data_matrix": _MATRIX_ROWS,
         "matrix_from_files": _MATRIX_ROWS,
         "assembled_matrix": f"""WITH {MATRIX} SELECT user_id, churned AS label, 17 AS n,
-            round({' + '.join(_FEATURES)}, 4) AS total FROM m3""",
+            round({' + '.join(_FEATURES)}, 4) AS total,
+            concat_ws(' ', {', '.join(f'CAST(round({c} * 10000) AS bigint)' for c in _FEATURES)}) AS parts FROM m3""",
+        "user_games_in_order": f"""WITH {PLAY}
+            SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY date, rid) AS pos, gameId FROM sess""",
+        "event_value_delta": """SELECT user_id, event_id AS rid,
+            round(value - lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id), 6) AS delta FROM events""",
+        "tsv_texts": """SELECT doc_id, text, '  ' || lang || ' ' AS spaced, CASE WHEN doc_id % 3 = 0 THEN '' WHEN doc_id % 3 = 1
+            THEN NULL ELSE '"' || source || '"' END AS odd FROM documents""",
+        "union_files": f"WITH {DEMO} SELECT * FROM demo_all",
         "tsv_roundtrip": f"WITH {SUBS} SELECT * FROM subs",
         "stratified_split": f"""WITH {SPLIT}
             SELECT user_id, churned, CAST(r AS bigint) AS label_rank, r <= round(0.2 * n) AS is_test FROM ranks""",

@@ -18,7 +18,7 @@ from tidemark.operators.matrix import feature_columns
 from tidemark.operators.quantiles import impute_median
 from tidemark.plans.jobs import FeatureTables, matrix_job
 from tidemark.sources import samples
-from tidemark.sources.tables import Dataset, read_back, write_table
+from tidemark.sources.tables import Dataset, read_back, read_table, write_table
 from tidemark.storage import fresh_path, materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,9 +157,21 @@ def hour_stats(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(sessions.hour_stats(samples.play_sessions(spark, folder)), "hour_avg", "hour_std")
 
 
+@query
+def user_games_in_order(spark: SparkSession, folder: str) -> DataFrame:
+    return sessions.games_in_order(samples.play_sessions(spark, folder))
+
+
+@query
+def event_value_delta(spark: SparkSession, folder: str) -> DataFrame:
+    """Changes along timestamps, with slices of about 20 rows so that every user is cut."""
+    rows = samples.event_values(spark, folder)
+    return sessions.lpi_deltas(rows, max_rows=20).select("user_id", "rid", F.round("delta", 6).alias("delta"))
+
+
 @query
 def user_games_string(spark: SparkSession, folder: str) -> DataFrame:
-    return sessions.games_string(samples.play_sessions(spark, folder))
+    return sessions.games_string(samples.play_sessions(spark, folder), max_sessions=10_000)
 
 
 @query
@@ -284,12 +296,17 @@ def _rounded_matrix(rows: DataFrame) -> DataFrame:
 
 @query
 def assembled_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    """Label and feature vector, the vector as its length and sum."""
+    """Label and feature vector, the vector as its length, sum and ten-thousandths in order."""
     rows = matrix.assemble(features(spark, folder).matrix())
     values = vector_to_array("features")
     total = F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+    parts = F.array_join(F.transform(values, lambda x: F.round(x * 10_000).cast("bigint").cast("string")), " ")
     return rows.select(
-        "user_id", F.col("label").cast("int").alias("label"), F.size(values).alias("n"), F.round(total, 4).alias("total")
+        "user_id",
+        F.col("label").cast("int").alias("label"),
+        F.size(values).alias("n"),
+        F.round(total, 4).alias("total"),
+        parts.alias("parts"),
     )
 
 
@@ -303,6 +320,31 @@ def tsv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return read_back(spark, path, rows.schema)
 
 
+@query
+def tsv_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole texts with line breaks, blanks, quotes, empty and missing values through text files."""
+    rows = samples.texts(spark, folder)
+    path = write_table(rows, fresh_path(spark, "texts-tsv"))
+    return read_back(spark, path, rows.schema)
+
+
+@query
+def union_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Two files of one table with their columns in different orders, put together by name."""
+    rows = samples.demographics(spark, folder)
+    odd = F.col("user_id") % 2 == 1
+    parts = [
+        rows.where(odd),
+        rows.where(~odd).select("language", "age", F.col("user_id").alias("userId"), "gender"),
+    ]
+    paths = []
+    for i, part in enumerate(parts):
+        paths.append(fresh_path(spark, f"part-{i}"))
+        part.write.option("header", True).csv(paths[-1])
+    both = read_table(spark, "demographics", Dataset(tuple(paths)))
+    return both.select("user_id", F.col("age").cast("int").alias("age"), "gender", "language")
+
+
 @query
 def matrix_from_files(spark: SparkSession, folder: str) -> DataFrame:
     """The whole matrix job from tab-separated files, with its intermediates written."""

@@ -11,7 +11,7 @@ ORACLES = contract.oracle_sql()
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(contract.queries())
-    assert contract.queries().keys() == all_queries().keys()
+    assert contract.queries().keys() >= all_queries().keys()
 
 
 def test_entry(spark):
@@ -71,7 +71,7 @@ def test_the_hot_day_is_more_than_one_session(spark, skewed):
     hot = samples.play_sessions(spark, skewed).where("user_id = 7").groupBy("date").count()
     assert hot.agg(F.max("count")).first()[0] >= 3
     longest = samples.play_sessions(spark, skewed).agg(F.max(F.size(F.split("hour", ",")))).first()[0]
-    assert longest <= 1.3 * samples.MAX_SESSION_EVENTS
+    assert longest <= samples.SESSION_BLOCK
 
 
 MODEL_QUERIES = ["gbt_scores", "rf_scores", "adaboost_scores", "logit_report", "grid_report", "best_model_scores"]

@@ -84,10 +84,10 @@ def test_game_matrix(spark):
 
 
 def test_game_matrix_blocks(spark):
-    wide = gamemix.game_matrix(games(spark), [2, 9], ["plays", "total_plays"])
+    wide = gamemix.game_matrix(games(spark), [2, 9], ["plays", "total_plays"], unlisted="drop")
     assert set(wide.columns) == {"user_id", "plays_2", "plays_9", "total_plays_2", "total_plays_9"}
     assert by_user(wide, "plays_2", "plays_9", "total_plays_2", "total_plays_9") == {1: (2, 0, 3, 0), 2: (0, 0, 0, 0)}
-    single = gamemix.game_matrix(games(spark), [2], ["plays"])
+    single = gamemix.game_matrix(games(spark), [2], ["plays"], unlisted="drop")
     assert single.columns == ["user_id", "plays_2"]
 
 
@@ -137,3 +137,22 @@ def test_assemble_refuses_missing_features(spark):
         matrix.assemble(bad).collect()
 
 
+
+
+def test_matrix_over_all_games_and_unlisted_ones(spark):
+    assert gamemix.game_matrix(games(spark)).columns == ["user_id", "game_1", "game_2", "game_3"]
+    with pytest.raises(Exception, match="not listed"):
+        gamemix.game_matrix(games(spark), [1, 2]).collect()
+
+
+def test_a_user_listed_twice_is_an_error(spark):
+    subs, sess, variety, demo = tables(spark)
+    assert matrix.data_matrix(subs, sess, variety, demo).count() > 0
+    with pytest.raises(Exception, match="more than one row"):
+        matrix.data_matrix(subs, sess, variety, demo.unionByName(demo)).collect()
+
+
+def test_other_demographics_columns_are_named_to_stay(spark):
+    df = spark.createDataFrame([(1, 20, "m", "en", "x")], "user_id bigint, age int, gender string, language string, note string")
+    assert prep.demographic_features(df).columns == ["user_id", "age", "is_male"]
+    assert prep.demographic_features(df, ["note"]).columns == ["user_id", "age", "is_male", "note"]

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -66,3 +67,18 @@ def test_fill_by_group(spark):
     got = sorted((r.g, r.x) for r in impute_median(df, ["x"], by="g").where("g <> 'c'").collect())
     assert got == [("a", 1.0), ("a", 2.0), ("a", 3.0), ("b", 10.0), ("b", 10.0)]
     assert impute_median(df, ["x"], by="g").count() == 6
+
+
+def test_close_values_leave_a_bounded_last_window(spark):
+    """Most values within 2e-8 of each other: ranges narrow until few are left."""
+    close = spark.range(60_000).select((F.lit(1.0) + F.col("id") * 3e-13).alias("v"))
+    wide = spark.createDataFrame([(float(i),) for i in range(-50, 50)], "v double")
+    rows = close.unionByName(wide)
+    median = exact_medians(rows, ["v"]).first()["v"]
+    want = sorted([1.0 + i * 3e-13 for i in range(60_000)] + [float(i) for i in range(-50, 50)])
+    assert median == (want[30_049] + want[30_050]) / 2
+
+
+def test_nan_is_filled_like_null(spark):
+    rows = spark.createDataFrame([(1.0,), (3.0,), (None,), (float("nan"),)], "v double")
+    assert sorted(r["v"] for r in impute_median(rows, ["v"]).collect()) == [1.0, 2.0, 2.0, 3.0]

@@ -1,3 +1,4 @@
+import datetime as dt
 import math
 import random
 
@@ -142,3 +143,24 @@ def test_games_string_segments_join_to_the_whole(spark, max_rows, max_sessions):
     assert parts.groupby("user_id")["games"].agg(",".join).to_dict() == want
     segments = parts.groupby("user_id").size()
     assert (segments == -(-sizes // max_sessions)).all()
+
+
+def test_slices_follow_the_time_of_day(spark):
+    """Slices of any size give the deltas of one window, with rows numbered against time."""
+    start = dt.datetime(2024, 1, 1)
+    rows = [(1, start + dt.timedelta(minutes=7 * i), 500 - i, float(i * i)) for i in range(40)]
+    rows += [(1, start, 900 + i, float(i)) for i in range(10)]
+    for kind in ("timestamp", "timestamp_ntz"):
+        df = spark.createDataFrame(rows, f"user_id bigint, date {kind}, rid bigint, lpi double")
+        want = sorted(map(str, sessions.lpi_deltas(df).collect()))
+        for size in (1, 5, 17):
+            assert sorted(map(str, sessions.lpi_deltas(df, max_rows=size).collect())) == want
+
+
+def test_missing_hours_do_not_count(spark):
+    df = spark.createDataFrame([(1, "5,10"), (1, None)], "user_id bigint, hour string")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert sessions.hour_stats(df).first()["hour_avg"] == 7.5
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")

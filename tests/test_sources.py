@@ -140,3 +140,20 @@ def test_bad_options_are_refused():
         JobConfig(align="middle")
     with pytest.raises(ValueError):
         JobConfig(null_policy="zero")
+
+
+def test_files_with_other_headers_fail_and_paths_join_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("user_id,age,gender,language\n1,20,m,en\n")
+    (tmp_path / "b.csv").write_text("language,gender,age,userId\nfr,f,30,2\n")
+    paths = (str(tmp_path / "a.csv"), str(tmp_path / "b.csv"))
+    rows = read_table(spark, "demographics", Dataset(paths)).collect()
+    assert sorted((r["user_id"], r["age"], r["gender"]) for r in rows) == [(1, 20, "m"), (2, 30, "f")]
+    with pytest.raises(Exception):
+        read_table(spark, "demographics", Dataset(str(tmp_path))).collect()
+
+
+def test_texts_survive_tab_separated_files(spark, tmp_path):
+    values = ["  a ", "", None, "line\nbreak", 'say "hi"', "tab\there", "back\\slash"]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, t string")
+    path = write_table(df, str(tmp_path / "t"))
+    assert sorted(read_back(spark, path, df.schema).collect()) == sorted(df.collect())

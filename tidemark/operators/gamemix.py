@@ -33,17 +33,35 @@ def game_proportions(df: DataFrame) -> DataFrame:
     return counts.join(totals, "user_id").withColumn("proportion", F.col("plays") / F.col("total_plays"))
 
 
+def games_played(df: DataFrame) -> list[int]:
+    """All games of the table, in order: the columns a matrix of it has."""
+    played = df.where(F.col("user_id").isNotNull()).select(F.explode(int_list("gameId")).alias("game_id")).distinct()
+    return sorted(r["game_id"] for r in played.where("game_id is not null").collect())
+
+
 def game_matrix(
-    df: DataFrame, games: Sequence[int], values: Sequence[str] = ("proportion",)
+    df: DataFrame,
+    games: Sequence[int] | None = None,
+    values: Sequence[str] = ("proportion",),
+    unlisted: str = "error",
 ) -> DataFrame:
     """One row per user, one column per game and value, 0 where not played.
 
-    `games` is the fixed column list. Columns are ``<value>_<game>``, or
-    ``game_<game>`` for the proportion alone.
+    `games` is the column list. By default it is all games of the table, found in a
+    pass of its own. With a given list a play of another game is an error, as its share
+    would be lost, unless `unlisted` is "drop". Columns are ``<value>_<game>``, or ``game_<game>`` for the proportion
+    alone.
     """
     only_proportion = list(values) == ["proportion"]
     aggregates = [F.sum(v).alias(v) for v in values]
-    wide = game_proportions(df).groupBy("user_id").pivot("game_id", list(games)).agg(*aggregates)
+    shares = game_proportions(df)
+    if games is None:
+        games = games_played(df)
+    elif unlisted == "error":
+        message = F.concat(F.lit("a game is not listed: "), F.col("game_id").cast("string"))
+        listed = F.when(F.col("game_id").isin(list(games)), F.col("game_id")).otherwise(F.raise_error(message).cast("int"))
+        shares = shares.withColumn("game_id", listed)
+    wide = shares.groupBy("user_id").pivot("game_id", list(games)).agg(*aggregates)
     if only_proportion:
         names = {str(g): f"game_{g}" for g in games}
     else:

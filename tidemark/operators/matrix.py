@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 LABEL = "churned"
@@ -15,12 +16,27 @@ LABEL = "churned"
 def data_matrix(
     subscriptions: DataFrame, sessions: DataFrame, variety: DataFrame, demographics: DataFrame
 ) -> DataFrame:
-    """Inner join of the four per-user tables; user_id stays as the first column."""
+    """Inner join of the four per-user tables; user_id stays as the first column.
+
+    The first three have one row per user by construction. Demographics come as they
+    are: a user listed twice there is an error, as matrix rows would multiply.
+    """
     return (
         subscriptions.join(sessions, "user_id")
         .join(variety, "user_id")
-        .join(demographics, "user_id")
+        .join(once_per_user(demographics), "user_id")
+    )
+
+
+def once_per_user(df: DataFrame) -> DataFrame:
+    """`df`, or an error when it is run if a user has more than one row."""
+    names = df.columns
+    place = F.row_number().over(W.partitionBy("user_id").orderBy("user_id"))
+    message = F.concat(F.lit("a user has more than one row: "), F.col("user_id").cast("string"))
+    unique = F.when(F.col("_place") == 1, F.col("user_id")).otherwise(
+        F.raise_error(message).cast(df.schema["user_id"].dataType)
     )
+    return df.withColumn("_place", place).withColumn("user_id", unique).select(*names)
 
 
 def join_funnel(

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_SLICE_ROWS = 1_000_000
 
@@ -21,8 +22,7 @@ MAX_SLICE_ROWS = 1_000_000
 def heavy_keys(df: DataFrame, key: Sequence[str], max_rows: int) -> DataFrame:
     """Keys with more than `max_rows` rows: at most rows/max_rows of them.
 
-    That bound is what allows broadcasting them: 10^12 rows and a limit of 10^6
-    give at most 10^6 keys.
+    Their number follows the data, so how to join them is left to Spark.
     """
     counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
     return counts.where(F.col("_n") > max_rows).select(*key)
@@ -33,35 +33,19 @@ def _cuts(df: DataFrame, group: Sequence[str], axis: Column, max_rows: int) -> D
     sizes = df.groupBy(*group).agg(
         F.count(F.lit(1)).alias("_n"), F.min(axis).alias("_lo"), F.max(axis).alias("_hi")
     )
-    width = (F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / F.lit(max_rows))
+    width = (F.col("_hi") - F.col("_lo")).cast("double") / F.ceil(F.col("_n") / F.lit(max_rows))
     return sizes.where(F.col("_n") > max_rows).select(*group, "_lo", width.alias("_width"))
 
 
 def _with_slice(df: DataFrame, cuts: DataFrame, group: Sequence[str], axis: Column) -> DataFrame:
-    position = F.floor(F.try_divide(axis - F.col("_lo"), F.col("_width")))
+    position = F.floor(F.try_divide((axis - F.col("_lo")).cast("double"), F.col("_width")))
     return (
-        df.join(F.broadcast(cuts), list(group), "left")
+        df.join(cuts, list(group), "left")
         .withColumn("_slice", F.coalesce(position, F.lit(0).cast("bigint")))
         .drop("_lo", "_width")
     )
 
 
-def slice_heavy_groups(
-    df: DataFrame, key: Sequence[str], block: Sequence[str], axis: Column, max_rows: int = MAX_SLICE_ROWS
-) -> DataFrame:
-    """Add ``_slice``: 0, or the row's range along `axis` in a heavy group.
-
-    A group is one value of `key` and `block` together. Groups of up to
-    `max_rows` rows stay whole; a larger one is cut into count/max_rows equal
-    ranges of the numeric `axis`. Only keys that are heavy as a whole can have
-    a heavy group, so the others are not counted by group.
-    """
-    axis = axis.cast("double")
-    group = [*key, *block]
-    suspects = df.join(F.broadcast(heavy_keys(df, key, max_rows)), list(key), "left_semi")
-    return _with_slice(df, _cuts(suspects, group, axis, max_rows), group, axis)
-
-
 def sequence(
     df: DataFrame,
     key: Sequence[str],
@@ -74,18 +58,16 @@ def sequence(
     """Add each row's 1-based ``pos`` in its key, and ``prev_<c>`` per carried column.
 
     `block` is the leading, non-null part of the order (a day); `order` orders
-    rows completely; `axis` is numeric and non-decreasing along `order` within
-    a block.
+    rows completely; `axis` is a number that never decreases along `order`.
 
     Keys of up to `max_rows` rows are one window group. Those above are cut at
     block borders, and blocks still too large along `axis`. The slice table
     covers the heavy keys only, with one row per block or slice of them.
     """
-    axis = axis.cast("double")
     group = [*key, "_block"]
     parts = [*group, "_slice"]
     heavy = heavy_keys(df, key, max_rows).withColumn("_heavy", F.lit(True))
-    marked = df.join(F.broadcast(heavy), list(key), "left").withColumn("_block", F.when(F.col("_heavy"), block))
+    marked = df.join(heavy, list(key), "left").withColumn("_block", F.when(F.col("_heavy"), block))
     in_heavy = F.col("_block").isNotNull()
     rows = _with_slice(marked, _cuts(marked.where(in_heavy), group, axis, max_rows), group, axis)
 
@@ -124,6 +106,25 @@ def sequence(
     )
 
 
+def order_number(date: Column, kind: T.DataType, rid: Column) -> Column:
+    """One number that orders rows as (date, rid) do, time of day included.
+
+    The time in microseconds takes the leading digits and the row number, which is
+    within 62 bits, the others. Differences of such numbers are exact, so rows of one
+    instant are told apart too. Undated rows come first.
+    """
+    if isinstance(kind, T.TimestampType):
+        micros = F.unix_micros(date)
+    else:
+        # Clock times without a zone must not pass through one that skips hours.
+        clock = F.lit(0)
+        if isinstance(kind, T.TimestampNTZType):
+            clock = (F.hour(date) * 3600 + F.minute(date) * 60 + F.extract(F.lit("SECOND"), date)) * 1_000_000
+        micros = F.unix_date(F.to_date(date)).cast("long") * 86_400_000_000 + clock.cast("long")
+    leading = F.coalesce(micros, F.lit(-(1 << 56))).cast("decimal(18,0)")
+    return leading * F.lit(1 << 62).cast("decimal(19,0)") + rid.cast("decimal(19,0)")
+
+
 def user_sequence(
     df: DataFrame, carry: Sequence[str] = (), max_rows: int = MAX_SLICE_ROWS
 ) -> DataFrame:
@@ -134,7 +135,7 @@ def user_sequence(
         key=["user_id"],
         block=F.coalesce(F.to_date("date"), undated),
         order=["date", "rid"],
-        axis=F.col("rid"),
+        axis=order_number(F.col("date"), df.schema["date"].dataType, F.col("rid")),
         carry=carry,
         max_rows=max_rows,
     )

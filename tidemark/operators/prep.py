@@ -24,10 +24,10 @@ def believable_age(df: DataFrame) -> DataFrame:
     return df.where((F.col("age") > MIN_AGE) & (F.col("age") < MAX_AGE))
 
 
-def demographic_features(df: DataFrame) -> DataFrame:
-    """user_id, age, is_male, and any further input column except gender and language."""
+def demographic_features(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """user_id, age, is_male, and further input columns if named in `extra`."""
     kept = believable_age(df.where(F.col("user_id").isNotNull()))
-    return gender_flag(kept).drop("gender", "language")
+    return gender_flag(kept).select("user_id", "age", "is_male", *extra)
 
 
 def without_future_weeks(df: DataFrame, as_of: dt.date) -> DataFrame:

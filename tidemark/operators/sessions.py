@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import JobConfig
 from tidemark.functions.columns import int_list, list_span, list_square_sum, list_sum, population_std
-from tidemark.operators.ordering import MAX_SLICE_ROWS, user_sequence
+from tidemark.operators.ordering import MAX_SLICE_ROWS, order_number, user_sequence
 
 # Output names, oldest change first.
 CHANGE_COLUMNS = [
@@ -28,15 +28,15 @@ def _known_users(df: DataFrame) -> DataFrame:
     return df.where(F.col("user_id").isNotNull())
 
 
-def _first_lpi() -> Column:
-    present = F.col("lpi").isNotNull()
-    when = F.when(present, F.struct("date", "rid"))
-    return F.min_by("lpi", when).alias("first_recorded_lpi")
+def _first_lpi(df: DataFrame) -> Column:
+    # A number as the order, where a struct would force the aggregation to sort.
+    order = order_number(F.col("date"), df.schema["date"].dataType, F.col("rid"))
+    return F.min_by("lpi", F.when(F.col("lpi").isNotNull(), order)).alias("first_recorded_lpi")
 
 
 def first_lpi(df: DataFrame) -> DataFrame:
     """The earliest recorded lpi of each user; NULL where none is recorded."""
-    return _known_users(df).groupBy("user_id").agg(_first_lpi())
+    return _known_users(df).groupBy("user_id").agg(_first_lpi(df))
 
 
 def lpi_deltas(df: DataFrame, max_rows: int = MAX_SLICE_ROWS) -> DataFrame:
@@ -92,7 +92,7 @@ def _with_hours(df: DataFrame) -> DataFrame:
 def _hour_moments() -> list[Column]:
     hours = F.col("_h")
     return [
-        F.sum(F.size(hours)).alias("_count"),
+        F.sum(F.when(hours.isNotNull(), F.size(hours))).alias("_count"),
         F.sum(list_sum(hours)).alias("_sum"),
         F.sum(list_square_sum(hours)).alias("_squares"),
     ]
@@ -125,14 +125,20 @@ def hour_stats(df: DataFrame) -> DataFrame:
     return rows.groupBy("user_id").agg(*_hour_moments()).select("user_id", *_hour_columns())
 
 
-def games_string(df: DataFrame, max_sessions: int = 10_000, max_rows: int = MAX_SLICE_ROWS) -> DataFrame:
-    """All game ids of a user in play order as comma strings.
+def games_in_order(df: DataFrame, max_rows: int = MAX_SLICE_ROWS) -> DataFrame:
+    """user_id, pos, gameId: the game lists of a user's sessions, numbered in play order."""
+    rows = user_sequence(df.select("user_id", "date", "rid", "gameId"), max_rows=max_rows)
+    return rows.select("user_id", "pos", "gameId")
+
+
+def games_string(df: DataFrame, max_sessions: int, max_rows: int = MAX_SLICE_ROWS) -> DataFrame:
+    """`games_in_order` as comma strings of `max_sessions` sessions each.
 
     Segment s holds sessions s*max_sessions+1 and on, so a cell stays bounded;
     a user with up to `max_sessions` sessions has one row with the whole text,
     and joining a user's segments by comma gives it for the others.
     """
-    rows = user_sequence(df.select("user_id", "date", "rid", "gameId"), max_rows=max_rows)
+    rows = games_in_order(df, max_rows)
     segment = F.floor((F.col("pos") - 1) / max_sessions).alias("segment")
     joined = F.expr("listagg(gameId, ',') WITHIN GROUP (ORDER BY pos)")
     return rows.groupBy("user_id", segment).agg(joined.alias("games"))
@@ -143,7 +149,7 @@ def session_features(df: DataFrame, config: JobConfig = JobConfig()) -> DataFram
     base = (
         _with_hours(_known_users(df))
         .groupBy("user_id")
-        .agg(_first_lpi(), _session_length(), *_hour_moments())
+        .agg(_first_lpi(df), _session_length(), *_hour_moments())
         .where(F.col("first_recorded_lpi").isNotNull())
     )
     # Both sides are grouped by user_id: the join needs no further shuffle.

@@ -1,8 +1,9 @@
 """The composed jobs: four feature tables, the matrix, the game matrix, training.
 
-Every job takes a registry (logical table -> Dataset) and a JobConfig. Feature
-jobs are lazy unless ``config.intermediates`` names a folder; then each table is
-written there once and later steps read the files.
+Every job takes a registry (logical table -> Dataset) and a JobConfig. With a folder
+in ``config.intermediates`` each table is written there once and later steps read the
+files. Without one the jobs are lazy, except that subscription features write their
+per-user table to the shared folder before they take medians of it.
 """
 
 from __future__ import annotations
@@ -90,7 +91,7 @@ def matrix_job(spark: SparkSession, registry: Registry, config: JobConfig = JobC
 def game_matrix_job(
     spark: SparkSession,
     registry: Registry,
-    games: Sequence[int],
+    games: Sequence[int] | None = None,
     config: JobConfig = JobConfig(),
     values: Sequence[str] = ("proportion",),
 ) -> DataFrame:

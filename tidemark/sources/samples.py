@@ -8,10 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordering import slice_heavy_groups
-
-# A user's day with more events than this becomes several sessions.
-MAX_SESSION_EVENTS = 10_000
+# A session's events lie in one block of so many event numbers. It is part of what a
+# session is here, and bounds it whatever a user's day holds.
+SESSION_BLOCK = 10_000
 
 # On these tables 730 days labels about a quarter of the users.
 SAMPLE_THRESHOLD = 730
@@ -46,13 +45,8 @@ def history_sessions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def play_sessions(
-    spark: SparkSession, folder: str, max_events: int = MAX_SESSION_EVENTS
-) -> DataFrame:
-    """One session per user and day; a day above `max_events` is cut by event number.
-
-    Event numbers are unique, so even events of one instant can be told apart.
-    """
+def play_sessions(spark: SparkSession, folder: str, block: int = SESSION_BLOCK) -> DataFrame:
+    """One session per user, day and block of event numbers, which are unique."""
     events = _read(spark, folder, "events").select(
         "user_id",
         F.to_date("ts").alias("date"),
@@ -62,9 +56,9 @@ def play_sessions(
         F.hour("ts").cast("string").alias("h"),
         F.get_json_object("props", "$.k").alias("g"),
     )
-    sliced = slice_heavy_groups(events, ["user_id"], ["date"], F.col("event_id"), max_events)
+    number = F.floor(F.col("event_id") / block).alias("block")
     played = F.array_sort(F.collect_list(F.struct("ts", "event_id", "h", "g")))
-    days = sliced.groupBy("user_id", "date", "_slice").agg(
+    days = events.groupBy("user_id", "date", number).agg(
         F.min("event_id").alias("rid"), F.avg("value").alias("lpi"), played.alias("played")
     )
     return days.select(
@@ -94,3 +88,22 @@ def demographics(spark: SparkSession, folder: str) -> DataFrame:
         gender.alias("gender"),
         segment.alias("language"),
     )
+
+
+def event_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Each event's value as a dated index with its time of day."""
+    return _read(spark, folder, "events").select(
+        "user_id", F.col("ts").alias("date"), F.col("event_id").alias("rid"), F.col("value").alias("lpi")
+    )
+
+
+def texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with a spaced column and one that is empty, missing or quoted in turn."""
+    turn = F.col("doc_id") % 3
+    quoted = F.concat(F.lit('"'), "source", F.lit('"'))
+    return _read(spark, folder, "documents").select(
+        "doc_id",
+        "text",
+        F.concat(F.lit("  "), "lang", F.lit(" ")).alias("spaced"),
+        F.when(turn == 0, "").when(turn == 2, quoted).alias("odd"),
+    )

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,9 +57,12 @@ ORDERED = ("sessions", "subscriptions")
 
 @dataclass(frozen=True)
 class Dataset:
-    """Where one logical table lives. `row_id` names its unique row number column."""
+    """Where one logical table lives. `row_id` names its unique row number column.
 
-    path: str
+    Several paths are read one by one and put together by column name.
+    """
+
+    path: str | Sequence[str]
     format: str = "csv"
     separator: str = ","
     row_id: str | None = None
@@ -110,20 +114,26 @@ def with_row_id(df: DataFrame, row_id: str | None) -> DataFrame:
     return df.withColumn("rid", F.col(row_id).cast("bigint")).drop(*([row_id] if row_id != "rid" else []))
 
 
+def _raw(spark: SparkSession, dataset: Dataset, path: str) -> DataFrame:
+    reader = spark.read.options(**dataset.options)
+    if dataset.format == "csv":
+        # Names are compared with each file's header, not with the first one's alone.
+        return reader.option("header", True).option("enforceSchema", False).option("sep", dataset.separator).csv(path)
+    return reader.format(dataset.format).load(path)
+
+
 def read_table(
     spark: SparkSession, table: str, dataset: Dataset, row_limit: int | None = None
 ) -> DataFrame:
     """Read a dataset as a logical table.
 
     Text files are read as strings with a header and cast by name, so column
-    order does not matter and a list column of single numbers stays text.
+    order does not matter and a list column of single numbers stays text. All files
+    of one path share one header; a file with another one is an error.
     """
-    reader = spark.read.options(**dataset.options)
-    if dataset.format == "csv":
-        raw = reader.option("header", True).option("sep", dataset.separator).csv(dataset.path)
-    else:
-        raw = reader.format(dataset.format).load(dataset.path)
-    df = conform(raw, table)
+    paths = [dataset.path] if isinstance(dataset.path, str) else list(dataset.path)
+    parts = [conform(_raw(spark, dataset, path), table) for path in paths]
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if table in ORDERED:
         df = with_row_id(df, dataset.row_id)
     if row_limit:
@@ -141,11 +151,19 @@ def load(
     return read_table(spark, table, registry[table], row_limit)
 
 
+# Blanks, empty texts, quotes and line breaks come back as they were written. A missing
+# value is \N; a text of just these two characters cannot be told from it.
+_TSV = {
+    "header": True, "sep": "\t", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+    "nullValue": "\\N", "escape": '"', "lineSep": "\n",
+}
+
+
 def write_table(df: DataFrame, path: str, format: str = "tsv") -> str:
     """Overwrite `path` with the table, as tab-separated text with header or as parquet."""
     writer = df.write.mode("overwrite")
     if format == "tsv":
-        writer.option("header", True).option("sep", "\t").csv(path)
+        writer.options(**_TSV, emptyValue='""').csv(path)
     elif format == "parquet":
         writer.parquet(path)
     else:
@@ -157,5 +175,5 @@ def read_back(spark: SparkSession, path: str, schema: T.StructType, format: str
     """Read what `write_table` wrote."""
     reader = spark.read.schema(schema)
     if format == "tsv":
-        return reader.option("header", True).option("sep", "\t").csv(path)
+        return reader.options(**_TSV, emptyValue="", multiLine=True).csv(path)
     return reader.parquet(path)
