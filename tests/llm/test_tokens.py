@@ -56,7 +56,8 @@ def test_ids_are_those_of_the_tokenizer(texts, monkeypatch):
 
     want = [e.ids + [2] for e in Tokenizer.from_file(WORD).encode_batch(texts, add_special_tokens=False)]
     assert encoded(packing.WordEncoder(WORD), texts, 2) == want
-    monkeypatch.setattr(packing, "CACHE_BYTES", 0)
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 0)
+    monkeypatch.setattr(packing, "COMMON_WORDS", 1)
     small = packing.WordEncoder(WORD)
     assert [encoded(small, [t], 2)[0] for t in texts] == want
 

@@ -9,6 +9,7 @@ sorted or moved between tasks.
 from __future__ import annotations
 
 import os
+import re
 import string
 from array import array
 from collections import Counter
@@ -25,14 +26,29 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import map_slices, raw_texts
 from tidemark.storage import materialize
 
-#: Bytes of words and ids that a worker remembers.
-CACHE_BYTES = 96 << 20
-#: Words looked up first.
-COMMON_WORDS = 8192
-#: What a remembered word takes besides its own bytes.
-ENTRY_BYTES = 180
+#: Words looked up first, and all that a worker remembers, each in two generations.
+COMMON_WORDS, KNOWN_WORDS = 16_384, 350_000
+#: Longer words are not remembered.
+MAX_WORD_BYTES = 48
 SIGNS = string.punctuation.encode()
 ALNUM = string.ascii_letters + string.digits
+#: Classes of bytes: signs (s), those that may stand beside one (a: letters and digits of
+#: ASCII, white space, and the second bytes of À to ÿ), other ASCII and the two signs among
+#: À to ÿ (x), first bytes of all else (z).
+CLASSES = bytes(
+    ord("s") if c in b".," else
+    ord("a") if chr(c) in ALNUM or c in b" \t\n\r\v\f" or c == 0xC3 or 0x80 <= c < 0xC0 and c not in (0x97, 0xB7) else
+    ord("x") if c < 0xC0 else ord("z")
+    for c in range(256)
+)
+
+
+def crowded(text: bytes) -> bool:
+    """Whether a full stop or comma may stand beside another sign."""
+    seen = text.translate(CLASSES)
+    return any(x in seen for x in (b"z", b"ss", b"sx", b"xs"))
+
+
 #: Lower-case letters of Latin scripts whose words the model gets directly.
 LETTERS = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c.islower() and c == normalize("NFC", c))
 
@@ -43,7 +59,7 @@ class WordEncoder:
     Texts are split at ASCII white space and each different word is encoded once; a
     memory of bounded size holds the words' ids between texts. What a tokenizer is seen
     to do with single characters saves work on whole words: where it lower-cases, words
-    are remembered in lower case; where it parts signs from the letter or digit before
+    are remembered in lower case; where it parts signs from the letter or digit beside
     them, as the word and its signs; and where its first steps leave a word of lower-case
     letters whole, the merges get it without them.
     """
@@ -55,64 +71,70 @@ class WordEncoder:
         self.tokenizer = tool = Tokenizer.from_file(path)
         self.code = "H" if tool.get_vocab_size() <= 1 << 16 else "I"
         self.width = array(self.code).itemsize
-        # Words of this generation and of the one before; a generation is half the memory.
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.common: dict[bytes, bytes] = {}
-        self.held = 0
         self.marks = [t.content.lower().encode() for t in tool.get_added_tokens_decoder().values()]
         norm, parts = tool.normalizer, tool.pre_tokenizer
         self.lowers = bool(norm) and norm.normalize_str(string.ascii_uppercase) == string.ascii_lowercase
         self.loose = bytes(
             s for s in SIGNS if parts and all(len(parts.pre_tokenize_str(c + chr(s))) == 2 for c in ALNUM)
         )
+        self.parted = [
+            bytes([s]) for s in b".,"
+            if parts and all(len(parts.pre_tokenize_str(c + chr(s) + c)) == 3 for c in ALNUM + "éÀ")
+        ]
         self.model, self.spelled = tool.model, {}
         if norm and parts and norm.normalize_str(LETTERS) == LETTERS and len(parts.pre_tokenize_str(LETTERS)) == 1:
             self.spelled = {ord(c): parts.pre_tokenize_str(c)[0][0] for c in LETTERS}
+        self.plain = re.compile(f"[{LETTERS}]+" if self.spelled else r"(?!)").fullmatch
 
     def _words(self, text: bytes) -> list[bytes]:
         low = text.lower()
         # Special strings are told by their case.
-        special = any(m in low for m in self.marks)
-        return (low if self.lowers and not special else text).split()
+        if any(m in low for m in self.marks):
+            return text.split()
+        if self.lowers:
+            text = low
+        if self.parted and not crowded(text):
+            for sign in self.parted:
+                text = text.replace(sign, b" " + sign + b" ")
+        return text.split()
 
     def _spell(self, word: bytes) -> bytes:
         """Ids of a word, from the merges alone where its first steps are known."""
         text = word.decode()
-        if self.spelled:
-            if text.isascii() and text.isalpha() and text.islower():
-                return array(self.code, [t.id for t in self.model.tokenize(text)]).tobytes()
-            # LETTERS are composed, so a word of them has no marks to compose.
-            if self.spelled.keys() >= set(map(ord, text)):
-                return array(self.code, [t.id for t in self.model.tokenize(text.translate(self.spelled))]).tobytes()
+        # LETTERS are composed, so a word of them has no marks to compose.
+        if self.plain(text):
+            tokens = self.model.tokenize(text if text.isascii() else text.translate(self.spelled))
+            return array(self.code, [t.id for t in tokens]).tobytes()
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _learn(self, word: bytes) -> bytes:
-        """Ids of a word that this generation does not know yet."""
-        ids = self.known.get(word) or self.older.get(word)
-        if ids is None:
-            base = word.rstrip(self.loose) if word[-1] in self.loose else word
-            if base and base is not word and chr(base[-1]) in ALNUM and not any(m in word.lower() for m in self.marks):
-                ids = self._learn(base) + self._learn(word[len(base) :])
-            else:
-                ids = self._spell(word)
-        self.known[word] = ids
-        self.held += ENTRY_BYTES + 2 * len(word)
+    def _ids(self, word: bytes) -> bytes:
+        """Ids of a word that is not remembered as it stands, or not in this generation."""
+        if word[-1] in self.loose:
+            base = word.rstrip(self.loose)
+            if base and chr(base[-1]) in ALNUM and not any(m in word.lower() for m in self.marks):
+                signs = word[len(base) :]
+                return (self.known.get(base) or self._ids(base)) + (self.known.get(signs) or self._ids(signs))
+        ids = self.known.get(word) or self.older.get(word) or self._spell(word)
+        if len(word) <= MAX_WORD_BYTES:
+            self.known[word] = ids
         return ids
 
     def encode(self, docs: list[bytes], end_id: int) -> list[bytes]:
         """Little-endian ids of each document, `end_id` last, `width` bytes each."""
         words = [self._words(d) for d in docs]
         flat = list(chain.from_iterable(words))
-        if self.held > CACHE_BYTES // 2 or not self.common:
-            self.known, self.older, self.held = {}, self.known, 0
+        if len(self.known) > KNOWN_WORDS or not self.common:
+            self.known, self.older = {}, self.known
             top = Counter(flat).most_common(COMMON_WORDS)
-            self.common = {w: self._learn(w) for w, _ in top}
+            self.common = {w: self._ids(w) for w, _ in top if len(w) <= MAX_WORD_BYTES}
         # Most words are among a few thousand, whose table stays in the processor's cache.
         ids = list(map(self.common.get, flat))
         rare = [i for i, x in enumerate(ids) if x is None]
         for i, x in zip(rare, map(self.known.get, [flat[i] for i in rare]), strict=True):
-            ids[i] = x or self._learn(flat[i])
+            ids[i] = x or self._ids(flat[i])
         end, edges = array(self.code, [end_id]).tobytes(), accumulate(map(len, words), initial=0)
         return [b"".join(ids[a:b]) + end for a, b in pairwise(edges)]
 
