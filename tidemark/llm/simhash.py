@@ -149,7 +149,10 @@ def links(distinct: DataFrame, max_bits: int = 2, pair_cell: int = PAIR_CELL) ->
     if max_bits % 2:
         raise ValueError("max_bits must be even")
     radius = max_bits // 2
-    cells = distinct.select("fp", F.explode(_around(grid_point(F.col("fp")), radius)).alias("cell"))
+    # A fingerprint enters dozens of cells: small rows, so their number decides the tasks.
+    tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = distinct.select("fp").repartition(tasks, "fp")
+    cells = spread.select("fp", F.explode(_around(grid_point(F.col("fp")), radius)).alias("cell"))
     shared = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
     busy = materialize(cells.join(shared, "cell"), "cells")
     few = busy.where(F.col("n") <= pair_cell)
