@@ -62,6 +62,16 @@ def test_ids_are_those_of_the_tokenizer(texts, monkeypatch):
     assert [encoded(small, [t], 2)[0] for t in texts] == want
 
 
+def test_plain_texts_with_many_signs():
+    from tokenizers import Tokenizer
+
+    rng = random.Random(4)
+    parts = ["a", "The", "é", "ÿ", "7", "42", ".", ",", "!!", "###", "'s", "'", "|", "<|", "×", "÷", " ", "\n", "\x00", "\x1f", "\x7f"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 9))) for _ in range(4000)]
+    want = [e.ids + [2] for e in Tokenizer.from_file(WORD).encode_batch(texts, add_special_tokens=False)]
+    assert encoded(packing.WordEncoder(WORD), texts, 2) == want
+
+
 def test_pieces_rebuild_every_document(make_docs, texts):
     docs = [(i, t, "en") for i, t in enumerate(texts)] + [(9999, "word " * 3000, "en"), (9998, None, None)]
     rows = packing.pack(make_docs(docs).repartition(5), WORD, end_id=2, length=64).collect()

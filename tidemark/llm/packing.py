@@ -33,20 +33,35 @@ MAX_WORD_BYTES = 48
 SIGNS = string.punctuation.encode()
 ALNUM = string.ascii_letters + string.digits
 #: Classes of bytes: signs (s), those that may stand beside one (a: letters and digits of
-#: ASCII, white space, and the second bytes of À to ÿ), other ASCII and the two signs among
-#: À to ÿ (x), first bytes of all else (z).
+#: ASCII, white space, and the bytes of À to ÿ), other ASCII (x), bytes of all else and of the
+#: two signs among À to ÿ (z).
 CLASSES = bytes(
     ord("s") if c in b".," else
     ord("a") if chr(c) in ALNUM or c in b" \t\n\r\v\f" or c == 0xC3 or 0x80 <= c < 0xC0 and c not in (0x97, 0xB7) else
-    ord("x") if c < 0xC0 else ord("z")
+    ord("x") if c < 0x80 else ord("z")
     for c in range(256)
 )
 
 
-def crowded(text: bytes) -> bool:
-    """Whether a full stop or comma may stand beside another sign."""
+#: What texts of ASCII and À to ÿ fall into: letters, single digits and runs of signs.
+RUNS = re.compile(rb"[A-Za-z\xC3\x80-\xBF]+|[0-9]|[\x00-\x08\x0E-\x1F!-/:-@\[-`{-\x7F]+").findall
+
+
+def pieces(text: bytes, signs: list[bytes]) -> list[bytes]:
+    """Words, and signs apart from them where that is plain to see.
+
+    If no full stop or comma can stand beside another sign, these `signs` are set apart.
+    Otherwise, a text of ASCII and À to ÿ alone falls into runs; one with an apostrophe
+    or other characters is left as it is.
+    """
     seen = text.translate(CLASSES)
-    return any(x in seen for x in (b"z", b"ss", b"sx", b"xs"))
+    if b"z" in seen:
+        return text.split()
+    if not any(x in seen for x in (b"ss", b"sx", b"xs")):
+        for sign in signs:
+            text = text.replace(sign, b" " + sign + b" ")
+        return text.split()
+    return text.split() if b"'" in text else RUNS(text)
 
 
 #: Lower-case letters of Latin scripts whose words the model gets directly.
@@ -82,7 +97,7 @@ class WordEncoder:
         )
         self.parted = [
             bytes([s]) for s in b".,"
-            if parts and all(len(parts.pre_tokenize_str(c + chr(s) + c)) == 3 for c in ALNUM + "éÀ")
+            if parts and all(len(parts.pre_tokenize_str(f"{c}{chr(s)}{c}7##")) == 5 for c in ALNUM + "éÀ")
         ]
         self.model, self.spelled = tool.model, {}
         if norm and parts and norm.normalize_str(LETTERS) == LETTERS and len(parts.pre_tokenize_str(LETTERS)) == 1:
@@ -96,10 +111,7 @@ class WordEncoder:
             return text.split()
         if self.lowers:
             text = low
-        if self.parted and not crowded(text):
-            for sign in self.parted:
-                text = text.replace(sign, b" " + sign + b" ")
-        return text.split()
+        return pieces(text, self.parted) if self.parted == [b".", b","] else text.split()
 
     def _spell(self, word: bytes) -> bytes:
         """Ids of a word, from the merges alone where its first steps are known."""
