@@ -435,13 +435,13 @@ def _scored(spark: SparkSession, folder: str, name: str, estimator) -> DataFrame
 
 @query
 def gbt_scores(spark: SparkSession, folder: str) -> DataFrame:
-    chosen = grid.gradient_boosting().estimator.copy().setMaxIter(5).setMaxDepth(2)
+    chosen = grid.gradient_boosting().estimator.copy().setMaxIter(50).setMaxDepth(2)
     return _scored(spark, folder, "gradient_boosting", chosen)
 
 
 @query
 def rf_scores(spark: SparkSession, folder: str) -> DataFrame:
-    chosen = grid.random_forest(max_depth=6).estimator.copy().setNumTrees(20)
+    chosen = grid.random_forest(max_depth=6).estimator.copy().setNumTrees(50)
     return _scored(spark, folder, "random_forest", chosen)
 
 

@@ -11,16 +11,17 @@ from __future__ import annotations
 
 import argparse
 import json
+from dataclasses import fields
 
 from pyspark.sql import SparkSession
 
 from tidemark.config import JobConfig
 from tidemark.ml import grid, search
-from tidemark.plans.jobs import all_features, keep_intermediate
+from tidemark.plans.jobs import FeatureTables, all_features, keep_intermediate
 from tidemark.sources.tables import SCHEMAS, Dataset
 from tidemark.storage import materialize
 
-# One mid-grid setting per classifier.
+# A trial run: one mid-grid setting per classifier.
 QUICK = {
     "gradient_boosting": {"stepSize": [0.2], "maxDepth": [4], "maxIter": [50]},
     "adaboost": {"learningRate": [0.5], "maxDepth": [2], "maxIter": [50]},
@@ -47,6 +48,13 @@ def searches(kind: str) -> list[grid.Search]:
     ]
 
 
+def written_once(tables: FeatureTables, config: JobConfig) -> FeatureTables:
+    """The per-user tables as files, for the funnel and the matrix to share."""
+    if config.intermediates is not None:
+        return tables
+    return FeatureTables(**{f.name: materialize(getattr(tables, f.name), f.name) for f in fields(tables)})
+
+
 def run(
     spark: SparkSession,
     registry: dict[str, Dataset],
@@ -56,7 +64,7 @@ def run(
     parallelism: int = 2,
 ) -> search.Evaluation:
     """Features, funnel, matrix, search and scores; prints the reports."""
-    tables = all_features(spark, registry, config)
+    tables = written_once(all_features(spark, registry, config), config)
     tables.funnel().orderBy("step").show()
     matrix = keep_intermediate(tables.matrix(), "matrix", config)
     if config.intermediates is None:
@@ -74,7 +82,7 @@ def main(argv: list[str] | None = None) -> search.Evaluation:
     parser.add_argument("--threshold", type=int, default=15, help="days of inactivity that count as churn")
     parser.add_argument("--row-limit", type=int, help="read only the first rows of each dataset")
     parser.add_argument("--intermediates", help="folder for the per-user tables")
-    parser.add_argument("--search", choices=["quick", "full"], default="quick")
+    parser.add_argument("--search", choices=["quick", "full"], default="full")
     parser.add_argument("--metric", choices=["recall", "precision", "accuracy"], default="recall")
     parser.add_argument("--parallelism", type=int, default=2, help="models fitted at a time")
     args = parser.parse_args(argv)
