@@ -118,7 +118,8 @@ def _raw(spark: SparkSession, dataset: Dataset, path: str) -> DataFrame:
     reader = spark.read.options(**dataset.options)
     if dataset.format == "csv":
         # Names are compared with each file's header, not with the first one's alone.
-        return reader.option("header", True).option("enforceSchema", False).option("sep", dataset.separator).csv(path)
+        text = reader.option("header", True).option("enforceSchema", False).option("sep", dataset.separator).csv(path)
+        return text.select(*[F.nullif(F.col(f"`{c}`"), F.lit(MISSING)).alias(c) for c in text.columns])
     return reader.format(dataset.format).load(path)
 
 
@@ -151,11 +152,12 @@ def load(
     return read_table(spark, table, registry[table], row_limit)
 
 
-# Blanks, empty texts, quotes and line breaks come back as they were written. A missing
-# value is \N; a text of just these two characters cannot be told from it.
+# A missing value in text files; a text of just these two characters cannot be told from it.
+MISSING = "\\N"
+# Blanks, empty texts, quotes and line breaks come back as they were written.
 _TSV = {
     "header": True, "sep": "\t", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
-    "nullValue": "\\N", "escape": '"', "lineSep": "\n",
+    "nullValue": MISSING, "escape": '"', "lineSep": "\n",
 }
 
 
