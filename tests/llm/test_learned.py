@@ -1,8 +1,9 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import langid, toxicity
-from tidemark.llm.common import fold
+from tidemark.llm.common import fold, stratified
 
 SAMPLE = "/root/testdata/sf0.01"
 
@@ -54,6 +55,22 @@ def test_languages_of_odd_rows(odd_docs, make_docs):
     assert langid.train(make_docs([(1, "only one", "en")])).languages == ["en"]
 
 
+def test_a_language_of_empty_texts_takes_no_part(make_docs):
+    words = {"en": "the house of the river and the stone", "fr": "les mots du texte et une maison"}
+    rows = [(i, f"{words[x]} {i % 9} " * 4, x) for i in range(80) for x in [("en", "fr")[i % 2]]]
+    docs = make_docs([*rows, (100, "", "und"), (101, "", "")])
+    net = langid.train(docs)
+    assert net.languages == ["en", "fr"]
+    found = {r["doc_id"]: r for r in langid.predict(docs, net).collect()}
+    assert all(found[i]["lang_pred"] == x and found[i]["score"] > 0.8 for i, _, x in rows)
+    assert langid.train(make_docs([(1, "", "en"), (2, "", "fr")])) is None
+
+
+def test_every_stratum_is_sampled(spark):
+    rows = spark.range(2600).selectExpr("id", "id div 2 as kind")
+    assert stratified(rows, "kind", F.xxhash64("id"), 300).select("kind").distinct().count() == 1300
+
+
 def test_windows_do_not_change_with_the_batch():
     net = langid.fit([("en", b"the words of the text"), ("fr", b"les mots du texte")], steps=3)
     docs = [b"x" * n for n in (0, 1, 63, 64, 65, 1000)]

@@ -108,8 +108,8 @@ def raw_texts(piece: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [t or b"" for t in piece.column(column).cast(pa.binary()).to_pylist()]
 
 
-#: Strata that a sample knows; beyond, the commonest.
-MAX_STRATA = 1000
+#: Beyond so many strata each gives fewer rows, but no fewer than the second number.
+FULL_STRATA, LEAST_ROWS = 1000, 30
 
 
 def stratified(rows: DataFrame, stratum: str, order: Column, per: int) -> DataFrame:
@@ -117,11 +117,14 @@ def stratified(rows: DataFrame, stratum: str, order: Column, per: int) -> DataFr
 
     `order` is a hash; a row is taken if its remainder is low enough for the count of its
     stratum. So nothing is ranked or moved, whatever the table's size and however its
-    rows are spread. Rows with no stratum take no part.
+    rows are spread. Rows with no stratum take no part. Every stratum is in the sample, and their
+    counts reach the driver; beyond FULL_STRATA of them `per` shrinks.
     """
     spark, wide = rows.sparkSession, 1 << 30
     rows = rows.where(F.col(stratum).isNotNull())
-    counts = rows.groupBy(stratum).count().orderBy(F.desc("count"), stratum).limit(MAX_STRATA).collect()
+    counts = rows.groupBy(stratum).count().collect()
+    if len(counts) > FULL_STRATA:
+        per = min(per, max(LEAST_ROWS, per * FULL_STRATA // len(counts)))
     kind = rows.schema[stratum].dataType.simpleString()
     shares = spark.createDataFrame(
         [(c[0], min(wide, per * wide // c[1] + 1)) for c in counts], f"{stratum} {kind}, _share bigint"

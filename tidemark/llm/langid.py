@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import map_batches, map_slices, raw_texts, slices, stratified, texts
 
 WINDOW = 64
-#: Windows that run side by side.
-LANES = 2048
+#: Windows that run side by side with up to so many languages; with more, fewer.
+LANES, LANES_CLASSES = 2048, 64
 UNDETERMINED = "und"
 LETTER = re.compile(r"[^\W\d_]")
 PAD = 0x20
@@ -111,13 +111,14 @@ def document_probabilities(net: Network, docs: list[bytes]) -> np.ndarray:
     owner = np.repeat(np.arange(len(docs)), windows)
     first = np.cumsum(windows) - windows
     inside = sizes[owner] - (np.arange(total) - first[owner]) * WINDOW  # real bytes of a window
-    for at in range(0, total, LANES):
-        part = np.ascontiguousarray(grid[at : at + LANES].T)
+    lanes = max(1, LANES * LANES_CLASSES // max(LANES_CLASSES, len(net.languages)))
+    for at in range(0, total, lanes):
+        part = np.ascontiguousarray(grid[at : at + lanes].T)
         found = byte_probabilities(net, part)
-        real = np.arange(WINDOW)[:, None] < inside[at : at + LANES]
+        real = np.arange(WINDOW)[:, None] < inside[at : at + lanes]
         if not real.all():
             found *= real[:, None, :]
-        np.add.at(sums, owner[at : at + LANES], found.sum(axis=0).T)
+        np.add.at(sums, owner[at : at + lanes], found.sum(axis=0).T)
     return sums / np.maximum(sizes, 1)[:, None]
 
 
@@ -125,11 +126,11 @@ def sample(docs: DataFrame, per_language: int, chars: int) -> DataFrame:
     """(lang, text): about `per_language` rows per language, `chars` characters of each.
 
     Rows are taken by a hash of their id, the passage starts at a place that the hash
-    names.
+    names. Empty texts take no part.
     """
     order = F.xxhash64("doc_id")
     start = F.lit(1) + F.pmod(order, F.greatest(F.lit(1), F.length("text") - F.lit(chars))).cast("int")
-    rows = docs.where("text is not null").select("lang", "doc_id", "text")
+    rows = docs.where("text <> ''").select("lang", "doc_id", "text")
     passage = F.call_function("substring", "text", start, F.lit(chars)).alias("text")
     return stratified(rows, "lang", order, per_language).select("lang", passage)
 
@@ -168,8 +169,8 @@ def _cell_backward(cell: Cell, grid: np.ndarray, d_out: np.ndarray) -> tuple[np.
 def fit(
     rows: list[tuple[str, bytes]], units: int = 8, steps: int = 600, lanes: int = 96, seed: int = 7
 ) -> Network:
-    """Train on (language, text) rows with Adam; languages count alike."""
-    languages = sorted({lang for lang, _ in rows})
+    """Train on (language, text) rows with Adam; languages with a text count alike."""
+    languages = sorted({lang for lang, text in rows if text})
     by_lang = [[t for lang, t in rows if lang == x and t] for x in languages]
     rng = np.random.default_rng(seed)
     classes = len(languages)
@@ -184,7 +185,7 @@ def fit(
         languages, cell(), cell(), normal(units, classes, size=0.3), normal(units, classes, size=0.3),
         np.zeros(classes, np.float32),
     )
-    if classes < 2 or not all(by_lang):
+    if classes < 2:
         return net
     weights = net.arrays()
     mean, square = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
@@ -218,8 +219,8 @@ def fit(
 def train(docs: DataFrame, per_language: int = 300, chars: int = 1000) -> Network | None:
     """A network fitted on a sample of the labelled rows of `docs`; None without any.
 
-    About `per_language` rows of each language, and `chars` characters of each, reach
-    the driver.
+    About `per_language` rows of each language (fewer beyond a thousand languages, none
+    is left out), and `chars` characters of each, reach the driver.
     """
     rows = [(r["lang"], r["text"].encode()) for r in sample(docs, per_language, chars).collect()]
     return fit(sorted(rows)) if rows else None
