@@ -105,6 +105,16 @@ def test_pairs_are_learned(make_docs):
     assert both > 0.8 > 0.3 > max(one, other)
 
 
+def test_pairs_without_margins_are_learned():
+    """Two words as common in either label; only whether both or neither are there counts."""
+    rng = np.random.default_rng(8)
+    sets = [np.flatnonzero(rng.random(40) < 0.5).astype(np.int32) for _ in range(1600)]
+    labels = np.array([int((0 in s) == (1 in s)) for s in sets])
+    machine = toxicity.fit(sets[:1200], labels[:1200], np.ones(1200))
+    assert np.mean((machine.score(sets[1200:]) >= 0.5) == labels[1200:]) > 0.9
+    assert (machine.slot[:40] >= 0).all()
+
+
 def test_toxic_words_are_learned(spark, make_docs):
     rows = [(i, f"some plain words {i % 7} " + ("you idiot moron" if i % 4 == 0 else "of course"), "en") for i in range(400)]
     labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(0, 400, 2)] + [(3, None)], "doc_id long, toxic int")

@@ -3,7 +3,7 @@
 A text is the set of its hashed terms. Besides a weight, each term has a short vector;
 two terms that occur together add the product of their vectors, so a pair can count for
 more, or less, than its parts. The machine is trained in numpy on a bounded sample of
-labelled rows, over the terms that go with the label most.
+labelled rows, over all terms that a few of them have.
 """
 
 from __future__ import annotations
@@ -23,9 +23,7 @@ from tidemark.llm.common import map_slices, raw_texts, stratified
 BUCKETS = 1 << 18
 #: Letters; everything outside ASCII counts as one.
 TERM = re.compile(rb"[a-z\x80-\xff]+")
-#: Terms that a machine weighs at most, and how far from chance they must be.
-MAX_TERMS = 512
-MIN_Z = 4.0
+#: Texts of the sample that a bucket must be in to be weighed.
 MIN_DOCS = 5
 
 
@@ -61,51 +59,73 @@ class Machine:
         return 0.5 * np.tanh(0.5 * odds) + 0.5
 
 
-def telling_terms(buckets: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """The buckets whose share differs most between the two labels."""
-    def docs_with(label: int) -> np.ndarray:
-        picked = [b for b, y in zip(buckets, labels.tolist(), strict=True) if y == label]
-        return np.bincount(np.concatenate([np.empty(0, np.int32), *picked]), minlength=BUCKETS)
-
-    ones, zeros = docs_with(1), docs_with(0)
-    n1, n0 = max(1, int(labels.sum())), max(1, int((1 - labels).sum()))
-    share = (ones + zeros) / (n1 + n0)
-    spread = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n1 + 1 / n0))
-    z = np.abs(ones / n1 - zeros / n0) / spread
-    good = np.flatnonzero((z >= MIN_Z) & (ones + zeros >= MIN_DOCS))
-    return np.sort(good[np.argsort(-z[good], kind="stable")[:MAX_TERMS]])
+def known_terms(buckets: list[np.ndarray]) -> np.ndarray:
+    """The buckets that MIN_DOCS texts or more have, whatever their labels."""
+    seen = np.bincount(np.concatenate([np.empty(0, np.int32), *buckets]), minlength=BUCKETS)
+    return np.flatnonzero(seen >= MIN_DOCS)
 
 
 def fit(
     buckets: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, factors: int = 4, steps: int = 400,
-    decay: float = 2e-4, seed: int = 11,
+    decay: float = 0.05, threshold: float = 0.5, batch: int = 512, seed: int = 11,
 ) -> Machine:
-    """Train on weighted sets of buckets with Adam on the whole sample."""
-    terms = telling_terms(buckets, labels)
+    """Train on weighted sets of buckets with Adam, `batch` sets a step.
+
+    A weight is drawn to zero by `threshold` times the chance spread of its term's share
+    between the labels, a vector by `decay`. In the first half of the steps the weights
+    learn alone; the vectors then learn what the weights leave unexplained, so texts of
+    many terms are not learned by heart. Vectors share one rate: the strongest pairs grow
+    first.
+    """
+    terms = known_terms(buckets)
     slot = np.full(BUCKETS, -1, np.int32)
     slot[terms] = np.arange(len(terms))
-    x = np.zeros((len(buckets), len(terms)), np.float32)
-    for row, each in enumerate(buckets):
-        places = slot[each]
-        x[row, places[places >= 0]] = 1
+    places = [s[s >= 0] for s in (slot[b] for b in buckets)]
+    sizes = np.fromiter(map(len, places), np.int64, len(places))
+    share = np.bincount(np.concatenate([np.empty(0, np.int32), *places]), minlength=len(terms)) / len(places)
+    rarer = max(1, np.bincount(labels, minlength=2).min())
+    pull_back = threshold * 0.5 * np.sqrt(share * (1 - share) / rarer)
     rng = np.random.default_rng(seed)
     bias, w = np.zeros(1, np.float32), np.zeros(len(terms), np.float32)
     v = (rng.standard_normal((len(terms), factors)) * 0.01).astype(np.float32)
-    part = (weights / weights.sum()).astype(np.float32)[:, None]
-    xt = np.ascontiguousarray(x.T)
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in (bias, w, v)]
+    part = weights / weights.mean()
+    order, at = rng.permutation(len(places)), 0
     for step in range(1, steps + 1):
-        sums = x @ v
-        odds = bias + x @ w + 0.5 * ((sums * sums).sum(1) - x @ (v * v).sum(1))
-        miss = (0.5 * np.tanh(0.5 * odds) + 0.5 - labels).astype(np.float32)[:, None] * part
-        per_term = xt @ np.concatenate([miss, miss * sums], axis=1)
-        grads = (
-            miss.sum(0), per_term[:, 0] + decay * w, per_term[:, 1:] - per_term[:, :1] * v + decay * v,
-        )
-        for p, g, (m, s) in zip((bias, w, v), grads, moments, strict=True):
+        if at >= len(order):
+            order, at = rng.permutation(len(places)), 0
+        rows, at = order[at : at + batch], at + batch
+        flat = np.concatenate([np.empty(0, np.int32), *[places[i] for i in rows]])
+        owner = np.repeat(np.arange(len(rows)), sizes[rows])
+
+        def per_row(x: np.ndarray) -> np.ndarray:
+            return np.bincount(owner, x, len(rows))
+
+        def per_term(x: np.ndarray) -> np.ndarray:
+            return np.bincount(flat, x[owner], len(terms))
+
+        vectors = v[flat]
+        sums = np.stack([per_row(vectors[:, f]) for f in range(factors)], axis=1)
+        odds = bias + per_row(w[flat]) + 0.5 * ((sums * sums).sum(1) - per_row((vectors * vectors).sum(1)))
+        miss = (0.5 * np.tanh(0.5 * odds) + 0.5 - labels[rows]) * part[rows] / len(rows)
+        own = per_term(miss)
+        rate = 0.05 * (1 - step / (steps + 1))
+
+        def moved(place: int, g: np.ndarray, since: int) -> tuple[np.ndarray, np.ndarray]:
+            m, s = moments[place]
             m += 0.1 * (g - m)
             s += 0.01 * (g * g - s)
-            p -= 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-8)
+            return m / (1 - 0.9**since), np.sqrt(s / (1 - 0.99**since)) + 1e-8
+
+        mean, root = moved(0, miss.sum(keepdims=True), step)
+        bias -= rate * mean / root
+        mean, root = moved(1, own, step)
+        w -= rate * mean / root
+        w[:] = np.sign(w) * np.maximum(np.abs(w) - rate / root * pull_back, 0)
+        if step > steps // 2:
+            pull = np.stack([per_term(miss * sums[:, f]) for f in range(factors)], axis=1)
+            mean, root = moved(2, pull + (decay - own[:, None]) * v, step - steps // 2)
+            v -= rate * mean / (root + root.max(initial=0))
     return Machine(slot, float(bias[0]), w, v)
 
 
