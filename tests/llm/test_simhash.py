@@ -97,6 +97,13 @@ def test_odd_rows(odd_docs, make_docs):
     assert simhash.near_copies(none).count() == simhash.drop_near_copies(none).count() == 0
 
 
+def test_one_row_of_each_component_stays(make_docs):
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcde")
+    rows = [(7, a), (7, b), (3, c), (3, d), (2, d), (4, c), (None, c), (None, e), (None, e), (8, a), (2, d)]
+    kept = simhash.drop_near_copies(make_docs([(i, t, "en") for i, t in rows])).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == sorted([(7, a), (7, b), (3, c), (2, d), (0, e)])
+
+
 def test_an_odd_distance_is_refused(spark):
     with pytest.raises(ValueError):
         simhash.links(spark.createDataFrame([(1,)], "fp long"), 3)

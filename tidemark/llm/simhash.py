@@ -65,21 +65,22 @@ def majority_bits(hashes: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
-    """(doc_id, fp) of every row of `docs`; fp is the fingerprint as a signed long.
+def fingerprints(docs: DataFrame, shingle_words: int = 3, keep: list[str] | None = None) -> DataFrame:
+    """The columns `keep` (doc_id) with fp, the fingerprint as a signed long, of every row of `docs`.
 
     A missing or empty text, or one of white space only, has fingerprint zero.
     """
+    keep = keep or ["doc_id"]
 
     def make():
         def work(piece: pa.RecordBatch):
             prints = majority_bits([shingle_hashes(t, shingle_words) for t in raw_texts(piece)])
-            return {"doc_id": piece.column("doc_id"), "fp": prints.view(np.int64)}
+            return {c: piece.column(c) for c in keep} | {"fp": prints.view(np.int64)}
 
         return work
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_slices(docs.select("doc_id", "text"), f"doc_id {kind}, fp long", make, limit=1 << 20)
+    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return map_slices(docs.select(*keep, "text"), f"{kinds}, fp long", make, limit=1 << 20)
 
 
 def hex_digits(fp: Column) -> Column:
@@ -172,6 +173,18 @@ def links(distinct: DataFrame, max_bits: int = 2, pair_cell: int = PAIR_CELL) ->
     return pairs.unionByName(stars)
 
 
+def _components(docs: DataFrame, shingle_words: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of every row, and (fp, root, component_id) of every fingerprint."""
+    prints = materialize(fingerprints(docs, shingle_words), "fingerprints")
+    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
+    roots = component_roots(links(distinct.select("fp"), max_bits))
+    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+        "root", F.coalesce("root", "fp")
+    )
+    names = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return prints, rooted.join(names, "root").select("fp", "root", "component_id")
+
+
 def near_copies(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2) -> DataFrame:
     """(doc_id, fp, component_id) of every row of `docs`.
 
@@ -182,32 +195,39 @@ def near_copies(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2) -> D
     component_id is null only if no id is reachable. Repeated rows come out as often as
     they go in; other columns are ignored; an empty table gives an empty one.
     """
-    prints = materialize(fingerprints(docs, shingle_words), "fingerprints")
-    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
-    roots = component_roots(links(distinct.select("fp"), max_bits))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp")
-    )
-    names = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(names, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    prints, named = _components(docs, shingle_words, max_bits)
+    return prints.join(named.drop("root"), "fp").select("doc_id", "fp", "component_id")
 
 
 def drop_near_copies(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2) -> DataFrame:
-    """The rows of `docs` whose doc_id names its component, once each.
+    """One row of `docs` of each component: the first of those whose doc_id names it.
 
-    Rows without doc_id are kept: there is no name to keep in their place. Of rows that
-    repeat a kept doc_id one stays.
+    A component without any doc_id keeps its first row. Rows whose doc_id is missing or
+    repeated are told apart by their place in the table.
     """
-    found = materialize(near_copies(docs, shingle_words, max_bits), "near")
-    kept = (
-        found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_rows"))
+    prints, named = _components(docs, shingle_words, max_bits)
+    named = materialize(named, "named")
+    names = F.max((F.col("doc_id") == F.col("component_id")).cast("int"))
+    naming = materialize(
+        prints.where("doc_id is not null").join(named, "fp").groupBy("doc_id")
+        .agg(F.count("*").alias("_rows"), names.alias("_names")).where("_names = 1"),
+        "naming",
+    )
+    once = naming.where("_rows = 1").select("doc_id")
+    often = naming.where("_rows > 1").select("doc_id")
+    numbered = docs.withColumn("_near_row", F.monotonically_increasing_id())
+    # Numbers stay with their rows only once written.
+    unclear = materialize(
+        numbered.join(often, "doc_id", "left_semi").unionByName(numbered.where(F.col("doc_id").isNull())), "unclear"
     )
-    once = kept.where("_rows = 1").select("doc_id")
-    often = kept.where("_rows > 1").select("doc_id")
+    found = fingerprints(unclear, shingle_words, ["doc_id", "_near_row"]).join(named, "fp")
+    first = (
+        found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("root").agg(F.min("_near_row").alias("_first"), F.min("doc_id").alias("_id"))
+    )
+    same = (F.col("_near_row") == F.col("_first")) & F.col("doc_id").eqNullSafe(F.col("_id"))
     return (
         docs.join(once, "doc_id", "left_semi")
-        .unionByName(docs.join(often, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-        .unionByName(docs.where(F.col("doc_id").isNull()))
+        .unionByName(unclear.join(first, same, "left_semi").drop("_near_row"))
         .select(*docs.columns)
     )
