@@ -107,3 +107,44 @@ def test_one_row_of_each_component_stays(make_docs):
 def test_an_odd_distance_is_refused(spark):
     with pytest.raises(ValueError):
         simhash.links(spark.createDataFrame([(1,)], "fp long"), 3)
+
+
+def test_rows_are_told_by_their_place(spark, make_docs, tmp_path):
+    """Clashing names, repeated and missing ids, several files, and scans cut anew."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(7, a), (7, b), (3, c), (3, c), (None, c), (None, a), (None, "z"), (None, "z"), (1, ""), (2, None)]
+    docs = make_docs([(i, t, "en") for i, t in rows]).withColumn("near_file", F.lit("x")).withColumn("_near_row", F.lit(1))
+    path = str(tmp_path / "docs")
+    docs.repartition(3).write.parquet(path)
+    want = sorted([(7, a), (7, b), (3, c), (0, "z"), (1, "")])
+    for df in (docs, spark.read.parquet(path)):
+        kept = simhash.drop_near_copies(df)
+        assert kept.columns == docs.columns
+        assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == want
+
+
+def test_kept_places_hold_for_other_cuts_of_a_scan(spark, tmp_path, monkeypatch):
+    from tidemark.llm import rows as places
+
+    monkeypatch.setattr(places, "BLOCK", 64)
+    path = str(tmp_path / "numbers")
+    spark.range(1000).repartition(3).write.option("parquet.block.size", 1024).parquet(path)
+    names = ("file", "row")
+    numbered = places.placed(spark.read.parquet(path), names)
+    listed = places.write_places(numbered.where("id % 7 = 0").select("file", "row"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        again = places.placed(spark.read.parquet(path), names)
+        assert again.rdd.getNumPartitions() > 3
+        got = sorted(r["id"] for r in places.keep_places(again, names, listed).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == list(range(0, 1000, 7))
+
+
+def test_one_fingerprint_on_a_third_of_all_rows(spark, make_docs):
+    rows = [(i, "" if i % 3 == 0 else " ".join(f"w{i}x{j}" for j in range(30)), "en") for i in range(3000)]
+    docs = make_docs(rows).repartition(8)
+    found = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(docs).collect()}
+    assert len(found) == 3000 and all(found[i] == 0 for i in range(0, 3000, 3))
+    assert simhash.drop_near_copies(docs).count() == 2001

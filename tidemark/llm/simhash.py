@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_slices, raw_texts
 from tidemark.llm.components import component_roots
+from tidemark.llm.rows import free_names, keep_places, placed, write_places
 from tidemark.storage import materialize
 
 SEED = 42
@@ -174,7 +175,7 @@ def links(distinct: DataFrame, max_bits: int = 2, pair_cell: int = PAIR_CELL) ->
 
 
 def _components(docs: DataFrame, shingle_words: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, fp) of every row, and (fp, root, component_id) of every fingerprint."""
+    """(doc_id, fp) of every row, and (fp, component_id) of every fingerprint."""
     prints = materialize(fingerprints(docs, shingle_words), "fingerprints")
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
     roots = component_roots(links(distinct.select("fp"), max_bits))
@@ -182,7 +183,7 @@ def _components(docs: DataFrame, shingle_words: int, max_bits: int) -> tuple[Dat
         "root", F.coalesce("root", "fp")
     )
     names = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return prints, rooted.join(names, "root").select("fp", "root", "component_id")
+    return prints, rooted.join(names, "root").select("fp", "component_id")
 
 
 def near_copies(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2) -> DataFrame:
@@ -196,38 +197,28 @@ def near_copies(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2) -> D
     they go in; other columns are ignored; an empty table gives an empty one.
     """
     prints, named = _components(docs, shingle_words, max_bits)
-    return prints.join(named.drop("root"), "fp").select("doc_id", "fp", "component_id")
+    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def drop_near_copies(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2) -> DataFrame:
-    """One row of `docs` of each component: the first of those whose doc_id names it.
+    """One row of `docs` of each component (see `near_copies`), all columns kept.
 
-    A component without any doc_id keeps its first row. Rows whose doc_id is missing or
-    repeated are told apart by their place in the table.
+    It is the row with the smallest doc_id; of rows with the same id, and in a component
+    without any id, the first by file and place in the file. So repeated and missing ids
+    need no care of their own. Missing, empty and blank texts are copies of one another.
+    An empty table gives an empty one; columns may have any names.
+
+    Only ids, fingerprints and places are shuffled. The texts are read a second time,
+    and each task keeps the rows listed for its files.
     """
-    prints, named = _components(docs, shingle_words, max_bits)
-    named = materialize(named, "named")
-    names = F.max((F.col("doc_id") == F.col("component_id")).cast("int"))
-    naming = materialize(
-        prints.where("doc_id is not null").join(named, "fp").groupBy("doc_id")
-        .agg(F.count("*").alias("_rows"), names.alias("_names")).where("_names = 1"),
-        "naming",
-    )
-    once = naming.where("_rows = 1").select("doc_id")
-    often = naming.where("_rows > 1").select("doc_id")
-    numbered = docs.withColumn("_near_row", F.monotonically_increasing_id())
-    # Numbers stay with their rows only once written.
-    unclear = materialize(
-        numbered.join(often, "doc_id", "left_semi").unionByName(numbered.where(F.col("doc_id").isNull())), "unclear"
-    )
-    found = fingerprints(unclear, shingle_words, ["doc_id", "_near_row"]).join(named, "fp")
-    first = (
-        found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("root").agg(F.min("_near_row").alias("_first"), F.min("doc_id").alias("_id"))
-    )
-    same = (F.col("_near_row") == F.col("_first")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    return (
-        docs.join(once, "doc_id", "left_semi")
-        .unionByName(unclear.join(first, same, "left_semi").drop("_near_row"))
-        .select(*docs.columns)
+    names = free_names(docs, "near_file", "near_row")
+    numbered = placed(docs, names)
+    prints = materialize(fingerprints(numbered, shingle_words, ["doc_id", *names]), "fingerprints").select(
+        "doc_id", F.col(names[0]).alias("file"), F.col(names[1]).alias("row"), "fp"
     )
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "file", "row"))
+    distinct = materialize(prints.groupBy("fp").agg(first.alias("first")), "distinct")
+    roots = component_roots(links(distinct.select("fp"), max_bits))
+    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    stay = rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    return keep_places(numbered, names, write_places(stay.select("first.file", "first.row")))
