@@ -15,6 +15,7 @@ from tidemark.llm import (
     oracles,
     packing,
     personal,
+    pieces,
     quality,
     simhash,
     tokencount,
@@ -112,6 +113,13 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = pieces.encode(_table(spark, folder, "documents"), model)
+    digests = pieces.with_ids_digest(pieces.decode(encoded, model), model)
+    return digests.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
@@ -128,6 +136,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_packing,
         op9_language_id,
         op10_simhash_near_dedup,
+        op12_sentencepiece,
         pipeline,
     ]
     return {f.__name__: f for f in found}
