@@ -157,3 +157,41 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   round(c, 6) AS char_distance, round(d, 6) AS word_distance
 FROM judged
 """
+
+
+#: Every document's score for every item, then the ten best of each.
+RANKED = """
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS words
+  FROM documents
+),
+corpus AS (
+  SELECT count(*) FILTER (WHERE len(words) > 0) AS n_docs, CAST(sum(len(words)) AS bigint) AS total FROM doc
+),
+held AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(words) AS term FROM doc) GROUP BY r, term
+),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM benchmark
+),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS double) / CAST(2 * count(*) + 1 AS double))) AS bigint) AS w
+  FROM held, corpus GROUP BY term, n_docs
+),
+damped AS (
+  SELECT r, doc_id, 100 - 90 + (90 * CAST(len(words) AS bigint) * n_docs) // total AS m FROM doc, corpus WHERE len(words) > 0
+),
+scored AS (
+  SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS bigint) AS score
+  FROM asked JOIN held USING (term) JOIN weight USING (term) JOIN damped USING (r)
+  GROUP BY item_id, r, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS int) AS rank,
+  doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""

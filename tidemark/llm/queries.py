@@ -17,6 +17,7 @@ from tidemark.llm import (
     personal,
     pieces,
     quality,
+    search,
     simhash,
     tokencount,
     toxicity,
@@ -120,6 +121,10 @@ def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return digests.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), top=10)
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
@@ -137,6 +142,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_language_id,
         op10_simhash_near_dedup,
         op12_sentencepiece,
+        op13_ranked_search,
         pipeline,
     ]
     return {f.__name__: f for f in found}
@@ -154,4 +160,5 @@ def llm_oracles() -> dict[str, str]:
             quality.MIN_WORDS,
         ),
         "op7_warc": oracles.CAPTURES,
+        "op13_ranked_search": oracles.RANKED,
     }
