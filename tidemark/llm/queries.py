@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     decontaminate,
     langid,
+    negatives,
     oracles,
     packing,
     personal,
@@ -114,6 +115,12 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label").cast("bigint")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.hard_negatives(_table(spark, folder, "embeddings"), vec_id % 100 == 0, moved)
+
+
 def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     encoded = pieces.encode(_table(spark, folder, "documents"), model)
@@ -141,6 +148,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_packing,
         op9_language_id,
         op10_simhash_near_dedup,
+        op11_hard_negatives,
         op12_sentencepiece,
         op13_ranked_search,
         pipeline,
@@ -160,5 +168,6 @@ def llm_oracles() -> dict[str, str]:
             quality.MIN_WORDS,
         ),
         "op7_warc": oracles.CAPTURES,
+        "op11_hard_negatives": oracles.HARD_NEGATIVES,
         "op13_ranked_search": oracles.RANKED,
     }
