@@ -424,10 +424,10 @@ def score_pack(met: dict, width: int, largest: float, top: int) -> list[tuple]:
 
 
 def _share(score: Column, percent: int, up: bool) -> Column:
-    """score * percent / 100, rounded down or up to whole numbers."""
-    part = score * (-percent if up else percent)
-    down = F.call_function("div", part - F.pmod(part, F.lit(100)), F.lit(100))
-    return -down if up else down
+    """score * percent / 100, rounded down or up to whole numbers, without large products."""
+    rest = F.pmod(score, F.lit(100))
+    whole = F.call_function("div", score - rest, F.lit(100)) * percent
+    return whole + F.call_function("div", rest * percent + (99 if up else 0), F.lit(100))
 
 
 def hard_negatives(
