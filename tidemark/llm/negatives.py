@@ -230,6 +230,8 @@ def build_index(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Index:
     spark = rows.sparkSession
     count, width, top = rows.agg(F.count("*"), F.max("dims"), F.max("norm")).first()
     width, top = width or 0, top or 0.0
+    if top >= 1 << 62:
+        raise OverflowError("scores may not fit 64 bits")
     share = min(1.0, sample_rows / count) if count else 1.0
     low = F.pmod(F.xxhash64("vec_id", "vec"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)) + 1)
     picked = rows.where(low).select("vec_id", "vec", "dims").distinct().limit(2 * sample_rows).collect()
@@ -335,10 +337,7 @@ def scores(anchors: np.ndarray, rows: np.ndarray, top: float) -> np.ndarray:
         kind = np.float32 if top < EXACT_FLOAT else np.float64
         return (anchors.astype(kind) @ rows.astype(kind).T).astype(np.int64)
     exact = np.vectorize(int, otypes=[object])
-    found = exact(anchors) @ exact(rows).T
-    if found.size and abs(found).max() >= 1 << 63:
-        raise OverflowError("scores do not fit 64 bits")
-    return found.astype(np.int64)
+    return (exact(anchors) @ exact(rows).T).astype(np.int64)
 
 
 #: A search: rows of the anchor's own label (`same`) or of others, with scores from `low` to `high`.
@@ -452,7 +451,7 @@ def hard_negatives(
     Rows without an id, a label or a vector, or with a missing or not finite component, take no
     part. Rows that repeat id, label and vector count once; rows of one id are never each other's
     positives or negatives. Shorter vectors count as filled up with zeros. Other columns are ignored; an
-    empty table gives an empty one. Scores beyond 64 bits are an error.
+    empty table gives an empty one. Vectors whose scores may pass 64 bits are an error.
     """
     taken = materialize(clean(rows, scale, F.col("label") if label is None else label), "vectors")
     index = build_index(taken, sample_rows)
