@@ -156,7 +156,8 @@ def links(distinct: DataFrame, max_bits: int = 2, pair_cell: int = PAIR_CELL) ->
     spread = distinct.select("fp").repartition(tasks, "fp")
     cells = spread.select("fp", F.explode(_around(grid_point(F.col("fp")), radius)).alias("cell"))
     shared = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
-    busy = materialize(cells.join(shared, "cell"), "cells")
+    # Spark's estimates leave out how rows multiply here, so it is told not to broadcast them.
+    busy = materialize(cells.hint("merge").join(shared, "cell"), "cells")
     few = busy.where(F.col("n") <= pair_cell)
     pairs = (
         few.alias("a")
@@ -170,7 +171,7 @@ def links(distinct: DataFrame, max_bits: int = 2, pair_cell: int = PAIR_CELL) ->
         grid_point(F.col("mid")) == F.col("cell")
     )
     centre = named.groupBy("mid").agg(F.min("fp").alias("v"))
-    stars = named.join(centre, "mid").where("fp <> v").select(F.col("fp").alias("u"), "v")
+    stars = named.hint("merge").join(centre, "mid").where("fp <> v").select(F.col("fp").alias("u"), "v")
     return pairs.unionByName(stars)
 
 
