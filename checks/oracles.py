@@ -23,7 +23,7 @@ sess AS (
     avg(value) FILTER (WHERE event_type <> 'error') AS lpi,
     string_agg(CAST(h AS varchar), ',' ORDER BY ts, event_id) AS hour,
     string_agg(g, ',' ORDER BY ts, event_id) AS gameId
-  FROM ev GROUP BY user_id, date, event_id // 10000)"""
+  FROM ev GROUP BY user_id, date)"""
 
 # Session features need the two text lists as integers.
 HOURS = """hrs AS (

@@ -44,7 +44,7 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 def features(spark: SparkSession, folder: str) -> FeatureTables:
     return FeatureTables(
         subscriptions=subscriptions.subscription_features(samples.subscriptions(spark, folder), CONFIG),
-        sessions=sessions.session_features(samples.play_sessions(spark, folder), CONFIG),
+        sessions=sessions.session_features(samples.day_sessions(spark, folder), CONFIG),
         variety=variety.variety_features(samples.variety(spark, folder), CONFIG),
         demographics=prep.demographic_features(samples.demographics(spark, folder)),
     )
@@ -148,13 +148,13 @@ def lpi_impute_median(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def session_length_avg(spark: SparkSession, folder: str) -> DataFrame:
-    rows = sessions.session_length(samples.play_sessions(spark, folder))
+    rows = sessions.session_length(samples.day_sessions(spark, folder))
     return rounded(rows, "length_of_session_avgs")
 
 
 @query
 def hour_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(sessions.hour_stats(samples.play_sessions(spark, folder)), "hour_avg", "hour_std")
+    return rounded(sessions.hour_stats(samples.day_sessions(spark, folder)), "hour_avg", "hour_std")
 
 
 @query
@@ -176,7 +176,7 @@ def user_games_string(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def session_features(spark: SparkSession, folder: str) -> DataFrame:
-    rows = sessions.session_features(samples.play_sessions(spark, folder), CONFIG)
+    rows = sessions.session_features(samples.day_sessions(spark, folder), CONFIG)
     return rounded(rows, *[c for c in rows.columns if c != "user_id"])
 
 
@@ -246,29 +246,29 @@ def user_buckets(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def game_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return gamemix.game_counts(samples.play_sessions(spark, folder))
+    return gamemix.game_counts(samples.plays(spark, folder))
 
 
 @query
 def game_totals(spark: SparkSession, folder: str) -> DataFrame:
-    return gamemix.game_totals(samples.play_sessions(spark, folder))
+    return gamemix.game_totals(samples.plays(spark, folder))
 
 
 @query
 def game_proportions(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(gamemix.game_proportions(samples.play_sessions(spark, folder)), "proportion")
+    return rounded(gamemix.game_proportions(samples.plays(spark, folder)), "proportion")
 
 
 @query
 def game_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    wide = gamemix.game_matrix(samples.play_sessions(spark, folder), GAMES)
+    wide = gamemix.game_matrix(samples.plays(spark, folder), GAMES)
     return rounded(wide, *[f"game_{g}" for g in GAMES])
 
 
 @query
 def game_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """Sparse rows, written out as text for comparison."""
-    rows = gamemix.game_vectors(samples.play_sessions(spark, folder))
+    rows = gamemix.game_vectors(samples.plays(spark, folder))
     entry = F.transform(
         F.map_entries("proportions"),
         lambda e: F.concat_ws(":", e["key"].cast("string"), F.round(e["value"] * 1_000_000).cast("bigint").cast("string")),

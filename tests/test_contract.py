@@ -5,6 +5,7 @@ import __spark_entry__ as contract
 from checks.compare import difference
 from checks.queries import all_queries
 from tests.conftest import SAMPLES
+from tidemark.sources import samples
 
 ORACLES = contract.oracle_sql()
 
@@ -28,7 +29,7 @@ def test_query_equals_sql(spark, name):
 
 @pytest.fixture(scope="module")
 def skewed(spark, tmp_path_factory):
-    """User 7 holds half of all rows, most of them on one day: more than a session may have."""
+    """User 7 holds half of all rows, most of them on one day."""
     folder = str(tmp_path_factory.mktemp("skewed"))
     n = 60_000
     pick = F.pmod(F.xxhash64("id"), F.lit(10))
@@ -58,20 +59,32 @@ def skewed(spark, tmp_path_factory):
 
 
 @pytest.mark.parametrize(
-    "name", ["session_features", "user_games_string", "game_proportions", "variety_poison", "dedupe_rows", "join_funnel"]
+    "name",
+    [
+        "session_features", "session_length_avg", "user_games_string", "game_proportions", "game_totals", "variety_poison",
+        "dedupe_rows", "join_funnel",
+    ],
 )
 def test_query_equals_sql_when_one_user_holds_half(spark, skewed, name):
     problem, rows, _ = difference(spark, skewed, name)
     assert problem is None and rows > 0
 
 
-def test_the_hot_day_is_more_than_one_session(spark, skewed):
-    from tidemark.sources import samples
+@pytest.mark.parametrize("sessions", [samples.day_sessions, samples.play_sessions])
+def test_one_session_per_user_and_day(spark, skewed, sessions):
+    """Whatever the number of events: of a day, or of the table."""
+    rows = sessions(spark, skewed)
+    days = spark.read.parquet(f"{skewed}/events.parquet").select("user_id", F.to_date("ts")).distinct().count()
+    assert rows.count() == rows.select("user_id", "date").distinct().count() == days
 
-    hot = samples.play_sessions(spark, skewed).where("user_id = 7").groupBy("date").count()
-    assert hot.agg(F.max("count")).first()[0] >= 3
-    longest = samples.play_sessions(spark, skewed).agg(F.max(F.size(F.split("hour", ",")))).first()[0]
-    assert longest <= samples.SESSION_BLOCK
+
+def test_sessions_at_scale(spark):
+    assert samples.day_sessions(spark, f"{SAMPLES}/sf0.1").count() == 40_083
+
+
+def test_a_hot_day_is_folded_before_the_shuffle(spark, skewed):
+    text = samples.day_sessions(spark, skewed)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("HashAggregate") >= 2 and "SortAggregate" not in text and "collect" not in text
 
 
 MODEL_QUERIES = ["gbt_scores", "rf_scores", "adaboost_scores", "logit_report", "grid_report", "best_model_scores"]

@@ -8,7 +8,7 @@ import pytest
 
 from tests.conftest import by_user, day
 from tidemark.config import JobConfig
-from tidemark.operators import sessions
+from tidemark.operators import gamemix, sessions
 
 SCHEMA = "user_id bigint, rid bigint, date date, lpi double, hour string, gameId string"
 CHANGES = sessions.CHANGE_COLUMNS
@@ -164,3 +164,33 @@ def test_missing_hours_do_not_count(spark):
         assert sessions.hour_stats(df).first()["hour_avg"] == 7.5
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_folded_plays_give_the_features_of_the_lists(spark):
+    rng = random.Random(8)
+    rows, start = [], dt.datetime(2024, 1, 1)
+    for rid in rng.sample(range(9000), 900):
+        at = start + dt.timedelta(minutes=rng.randrange(6 * 1440) // 30 * 30)
+        lpi = None if rng.random() < 0.2 else round(rng.uniform(0, 500), 2)
+        rows.append((rng.choice([1, 1, 2, 3, 4]), at, rid, None if rng.random() < 0.1 else at.hour, lpi, rng.randrange(9)))
+    plays = spark.createDataFrame(rows, "user_id bigint, at timestamp_ntz, rid bigint, hour int, lpi double, game_id int")
+    lists: dict = {}
+    for user, at, rid, hour, lpi, game in sorted(rows, key=lambda r: (r[1], r[2])):
+        lists.setdefault((user, at.date()), []).append((rid, hour, lpi, game))
+    sessions_rows = []
+    for (user, date), played in lists.items():
+        known = [x for _, _, x, _ in played if x is not None]
+        hours = ",".join(str(h) for _, h, _, _ in played if h is not None)
+        games = ",".join(str(g) for _, _, _, g in played)
+        sessions_rows.append((user, min(p[0] for p in played), date, sum(known) / len(known) if known else None, hours or None, games))
+    listed = spark.createDataFrame(sessions_rows, SCHEMA)
+    folded = sessions.fold_plays(plays)
+    assert folded.count() == len(sessions_rows)
+    for fn in (sessions.session_features, sessions.session_length, sessions.hour_stats):
+        a, b = fn(folded), fn(listed)
+        columns = [c for c in a.columns if c != "user_id"]
+        got, want = by_user(a, *columns), by_user(b, *columns)
+        assert got.keys() == want.keys() and all(got[u] == pytest.approx(want[u]) for u in got)
+    for fn in (gamemix.game_counts, gamemix.game_totals, gamemix.game_proportions):
+        assert sorted(fn(plays).collect()) == sorted(fn(listed).collect())
+    assert gamemix.games_played(plays) == gamemix.games_played(listed)

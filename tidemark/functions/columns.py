@@ -13,13 +13,6 @@ def int_list(column: str) -> Column:
     return F.split(F.col(column), ",").cast("array<int>")
 
 
-def list_span(values: Column) -> Column:
-    """Absolute difference of the last and the first element."""
-    first = F.get(values, F.lit(0))
-    last = F.get(values, F.size(values) - 1)
-    return F.abs(last - first)
-
-
 def list_sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
 

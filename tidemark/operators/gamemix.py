@@ -1,4 +1,7 @@
-"""How a user's play divides over games. Input: user_id, gameId (comma list)."""
+"""How a user's play divides over games.
+
+Input: user_id and gameId (comma list), or user_id and game_id with one row per play.
+"""
 
 from __future__ import annotations
 
@@ -10,14 +13,21 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import int_list
 
 
+def single_plays(df: DataFrame) -> DataFrame:
+    """user_id, game_id: one row per play of a known user."""
+    game = F.col("game_id") if "game_id" in df.columns else F.explode(int_list("gameId")).alias("game_id")
+    return df.where(F.col("user_id").isNotNull()).select("user_id", game)
+
+
 def game_counts(df: DataFrame) -> DataFrame:
     """user_id, game_id, plays."""
-    plays = df.where(F.col("user_id").isNotNull()).select("user_id", F.explode(int_list("gameId")).alias("game_id"))
-    return plays.groupBy("user_id", "game_id").agg(F.count(F.lit(1)).alias("plays"))
+    return single_plays(df).groupBy("user_id", "game_id").agg(F.count(F.lit(1)).alias("plays"))
 
 
 def game_totals(df: DataFrame) -> DataFrame:
     """user_id, total_plays; list lengths are added up without exploding."""
+    if "game_id" in df.columns:
+        return single_plays(df).groupBy("user_id").agg(F.count(F.lit(1)).alias("total_plays"))
     rows = df.where(F.col("user_id").isNotNull() & F.col("gameId").isNotNull())
     return rows.groupBy("user_id").agg(F.sum(F.size(int_list("gameId"))).alias("total_plays"))
 
@@ -35,7 +45,7 @@ def game_proportions(df: DataFrame) -> DataFrame:
 
 def games_played(df: DataFrame) -> list[int]:
     """All games of the table, in order: the columns a matrix of it has."""
-    played = df.where(F.col("user_id").isNotNull()).select(F.explode(int_list("gameId")).alias("game_id")).distinct()
+    played = single_plays(df).select("game_id").distinct()
     return sorted(r["game_id"] for r in played.where("game_id is not null").collect())
 
 

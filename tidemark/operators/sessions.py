@@ -1,7 +1,8 @@
 """Per-user features of play sessions.
 
 Input columns: user_id, date, rid, lpi (performance index), hour and gameId
-(comma lists of integers, one entry per game played).
+(comma lists of integers, one entry per game played). Sessions that `fold_plays` made of
+single plays have HOUR_COLUMNS in place of the hour list.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.config import JobConfig
-from tidemark.functions.columns import int_list, list_span, list_square_sum, list_sum, population_std
+from tidemark.functions.columns import int_list, list_square_sum, list_sum, population_std
 from tidemark.operators.ordering import MAX_SLICE_ROWS, order_number, user_sequence
 
 # Output names, oldest change first.
@@ -85,21 +86,59 @@ def last_five_changes(df: DataFrame, align: str = "left") -> DataFrame:
     )
 
 
+# What is kept of a session's hours: enough for all features, whatever its length.
+HOUR_COLUMNS = ["first_hour", "last_hour", "hour_count", "hour_sum", "hour_squares"]
+
+
+def fold_plays(plays: DataFrame) -> DataFrame:
+    """One session per user and day, from one row per play.
+
+    `plays` has user_id, at (time of the play), rid (a unique number, which orders plays of
+    one instant), hour and lpi. The session's date is the play's, its rid the smallest,
+    its lpi the mean, and its hours are folded into HOUR_COLUMNS. All of it adds up
+    before the shuffle, so a day of any number of plays is one small row.
+    """
+    kind = plays.schema["at"].dataType
+    order = order_number(F.col("at"), kind, F.col("rid"))
+    # Plays without an hour are no part of the list that this stands for.
+    known = F.when(F.col("hour").isNotNull(), order)
+    hour = F.col("hour").cast("bigint")
+    return plays.groupBy("user_id", F.to_date("at").alias("date")).agg(
+        F.min("rid").alias("rid"),
+        F.avg("lpi").alias("lpi"),
+        F.min_by("hour", known).alias("first_hour"),
+        F.max_by("hour", known).alias("last_hour"),
+        F.count("hour").alias("hour_count"),
+        F.sum(hour).alias("hour_sum"),
+        F.sum(hour * hour).alias("hour_squares"),
+    )
+
+
 def _with_hours(df: DataFrame) -> DataFrame:
-    return df.withColumn("_h", int_list("hour"))
+    """Sessions with HOUR_COLUMNS; lists fold within their row."""
+    if "hour" not in df.columns:
+        return df
+    hours = F.col("_h")
+    folded = [
+        F.get(hours, F.lit(0)),
+        F.get(hours, F.size(hours) - 1),
+        F.when(hours.isNotNull(), F.size(hours)),
+        list_sum(hours),
+        list_square_sum(hours),
+    ]
+    return df.withColumn("_h", int_list("hour")).withColumns(dict(zip(HOUR_COLUMNS, folded))).drop("_h")
 
 
 def _hour_moments() -> list[Column]:
-    hours = F.col("_h")
     return [
-        F.sum(F.when(hours.isNotNull(), F.size(hours))).alias("_count"),
-        F.sum(list_sum(hours)).alias("_sum"),
-        F.sum(list_square_sum(hours)).alias("_squares"),
+        F.sum("hour_count").alias("_count"),
+        F.sum("hour_sum").alias("_sum"),
+        F.sum("hour_squares").alias("_squares"),
     ]
 
 
 def _session_length() -> Column:
-    return F.avg(list_span(F.col("_h"))).alias("length_of_session_avgs")
+    return F.avg(F.abs(F.col("last_hour") - F.col("first_hour"))).alias("length_of_session_avgs")
 
 
 def _hour_columns() -> list[Column]:

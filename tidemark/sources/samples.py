@@ -8,9 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A session's events lie in one block of so many event numbers. It is part of what a
-# session is here, and bounds it whatever a user's day holds.
-SESSION_BLOCK = 10_000
+from tidemark.operators.sessions import fold_plays
 
 # On these tables 730 days labels about a quarter of the users.
 SAMPLE_THRESHOLD = 730
@@ -45,29 +43,41 @@ def history_sessions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def play_sessions(spark: SparkSession, folder: str, block: int = SESSION_BLOCK) -> DataFrame:
-    """One session per user, day and block of event numbers, which are unique."""
-    events = _read(spark, folder, "events").select(
+def plays(spark: SparkSession, folder: str) -> DataFrame:
+    """One play per event; errors have no lpi."""
+    return _read(spark, folder, "events").select(
         "user_id",
-        F.to_date("ts").alias("date"),
-        "ts",
-        "event_id",
-        F.when(F.col("event_type") != "error", F.col("value")).alias("value"),
-        F.hour("ts").cast("string").alias("h"),
-        F.get_json_object("props", "$.k").alias("g"),
+        F.col("ts").alias("at"),
+        F.col("event_id").alias("rid"),
+        F.when(F.col("event_type") != "error", F.col("value")).alias("lpi"),
+        F.hour("ts").alias("hour"),
+        F.get_json_object("props", "$.k").cast("int").alias("game_id"),
     )
-    number = F.floor(F.col("event_id") / block).alias("block")
-    played = F.array_sort(F.collect_list(F.struct("ts", "event_id", "h", "g")))
-    days = events.groupBy("user_id", "date", number).agg(
-        F.min("event_id").alias("rid"), F.avg("value").alias("lpi"), played.alias("played")
+
+
+def day_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """One session per user and day, its hours folded."""
+    return fold_plays(plays(spark, folder))
+
+
+def play_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """One session per user and day with its hours and games as lists.
+
+    For what shows or writes the lists: a user's whole day is in one row, so memory
+    follows the longest day. `day_sessions` and `plays` have no such row.
+    """
+    shown = [F.col(c).cast("string").alias(c) for c in ("hour", "game_id")]
+    played = F.array_sort(F.collect_list(F.struct("at", "rid", *shown)))
+    days = plays(spark, folder).groupBy("user_id", F.to_date("at").alias("date")).agg(
+        F.min("rid").alias("rid"), F.avg("lpi").alias("lpi"), played.alias("played")
     )
     return days.select(
         "user_id",
         "date",
         "rid",
         "lpi",
-        F.array_join("played.h", ",").alias("hour"),
-        F.array_join("played.g", ",").alias("gameId"),
+        F.array_join("played.hour", ",").alias("hour"),
+        F.array_join("played.game_id", ",").alias("gameId"),
     )
 
 
