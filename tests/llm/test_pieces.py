@@ -74,7 +74,9 @@ def test_small_slices(tool, monkeypatch, spark):
     model, texts = pieces.Model(PATH), {}
     for number in numbers:
         own = sorted((r for r in rows if r["slice"] == number and r["bucket"] is not None), key=lambda r: r["bucket"])
-        chunks = [c for r in own for c in pieces._parted(r["blob"])]
+        tiers = [np.repeat(range(pieces.TIERS - 1, -1, -1), np.frombuffer(r["runs"], "<u4")[::-1]).tolist() for r in own]
+        pairs = [(t, c) for r, ts in zip(own, tiers, strict=True) for t, c in zip(ts, pieces._parted(r["blob"]), strict=True)]
+        chunks = [c for _, c in sorted(pairs, key=lambda p: -p[0])]
         assert len(chunks) == len(set(chunks))
         for r in (r for r in rows if r["slice"] == number and r["doc_ids"]):
             places, at = pieces._unpacked(r["blob"]).tolist(), 0

@@ -35,6 +35,8 @@ from tidemark.storage import fresh_path, materialize
 SPACE_MARK = "▁".encode()
 #: A slice ends after so many distinct chunks, or chunks in all.
 SLICE_CHUNKS, SLICE_PLACES = 400_000, 8_000_000
+#: Tiers of a slice's chunks by the binary logarithm of their count there.
+TIERS = 32
 #: Distinct chunks whose ids a task of the table remembers at a time.
 KNOWN_CHUNKS = 2_000_000
 #: Ids of a document turned to decimal text at a time.
@@ -128,12 +130,14 @@ def mark_rows(docs: DataFrame, path: str, buckets: int) -> DataFrame:
 
     Rows with `doc_ids` hold some documents: their ids, the chunks of each, and the places of
     the chunks in the slice's list, compressed. Rows with `bucket` hold the part of that list
-    whose hash falls there, in order; the list is its parts by ascending bucket.
+    whose hash falls there. The list is in tiers, chunks of twice the count before others, so
+    that frequent places are small numbers; a tier is its parts by ascending bucket, and
+    `runs` has how many of a part's chunks are in each tier.
     """
     kind = StructType(
         [
             StructField("slice", LongType()), StructField("bucket", IntegerType()), StructField("blob", BinaryType()),
-            StructField("doc_ids", ArrayType(docs.schema["doc_id"].dataType)), StructField("sizes", ArrayType(LongType())),
+            StructField("runs", BinaryType()), StructField("doc_ids", ArrayType(docs.schema["doc_id"].dataType)), StructField("sizes", ArrayType(LongType())),
         ]
     )
     schema = to_arrow_schema(kind)
@@ -142,13 +146,18 @@ def mark_rows(docs: DataFrame, path: str, buckets: int) -> DataFrame:
         lists: dict[int, list[bytes]] = {}
         for chunk in table:
             lists.setdefault(zlib.crc32(chunk) % buckets, []).append(chunk)
-        order = np.empty(len(table), np.uint32)
-        at = 0
+        tiers = np.frexp(np.bincount(np.concatenate([p for _, _, p in held]), minlength=len(table)))[1] - 1
+        listed = [np.empty(0, np.int64)]
         for bucket in sorted(lists):
             part = sorted(lists[bucket])
-            order[np.fromiter(map(table.__getitem__, part), np.int64, len(part))] = np.arange(at, at + len(part))
-            at += len(part)
-            yield _row_batch(schema, slice=[number], bucket=[bucket], blob=[_joined(part)])
+            own = np.fromiter(map(table.__getitem__, part), np.int64, len(part))
+            by = np.argsort(-tiers[own], kind="stable")
+            runs = np.bincount(tiers[own], minlength=TIERS).astype("<u4").tobytes()
+            yield _row_batch(schema, slice=[number], bucket=[bucket], blob=[_joined([part[i] for i in by.tolist()])], runs=[runs])
+            listed.append(own[by])
+        numbers = np.concatenate(listed)
+        order = np.empty(len(table), np.uint32)
+        order[numbers[np.argsort(-tiers[numbers], kind="stable")]] = np.arange(len(table))
         for ids, sizes, places in held:
             yield _row_batch(schema, slice=[number], blob=[_packed(order[places])], doc_ids=[ids], sizes=[sizes])
 
@@ -171,7 +180,7 @@ def mark_rows(docs: DataFrame, path: str, buckets: int) -> DataFrame:
 
 
 def segment_chunks(lists: DataFrame, path: str) -> DataFrame:
-    """(slice, bucket, blob) with the ids of the chunks in their place.
+    """(slice, bucket, blob, runs) with the ids of the chunks in their place.
 
     All lists of a bucket come to one task, where each distinct chunk is segmented once.
     """
@@ -179,16 +188,16 @@ def segment_chunks(lists: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, now, known = model(path), None, {}
         for batch in batches:
-            for number, bucket, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for number, bucket, blob, runs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if bucket != now or len(known) > KNOWN_CHUNKS:
                     now, known = bucket, {}
                 chunks = _parted(blob)
                 new = [c for c in chunks if c not in known]
                 known.update(zip(new, tool.segment(new), strict=True))
                 ids = _joined([known[c] for c in chunks])
-                yield pa.RecordBatch.from_pydict({"slice": [number], "bucket": [bucket], "blob": [ids]}, batch.schema)
+                yield _row_batch(batch.schema, slice=[number], bucket=[bucket], blob=[ids], runs=[runs])
 
-    together = lists.select("slice", "bucket", "blob").repartition("bucket").sortWithinPartitions("bucket")
+    together = lists.select("slice", "bucket", "blob", "runs").repartition("bucket").sortWithinPartitions("bucket")
     return map_batches(together, run, together.schema)
 
 
@@ -200,11 +209,14 @@ class _Table:
         found = files.get_file_info(fs.FileSelector(posixpath.join(folder, f"slice={number}"), allow_not_found=True))
         names = [f.path for f in found if f.is_file and f.base_name.endswith(".parquet")]
         rows = [r for n in names for r in pq.read_table(n, filesystem=files, partitioning=None).to_pylist()]
-        parts = [_lengths_and_rest(r["blob"]) for r in sorted(rows, key=lambda r: r["bucket"])]
-        width = np.dtype(code).itemsize
-        self.sizes = np.concatenate([p[0] for p in parts] or [np.empty(0, "<u4")]).astype(np.int64) // width
+        rows.sort(key=lambda r: r["bucket"])
+        parts = [_lengths_and_rest(r["blob"]) for r in rows]
+        runs = [np.frombuffer(r["runs"], "<u4")[::-1] for r in rows]
+        descending = np.concatenate([np.repeat(np.arange(len(r)), r) for r in runs] or [np.empty(0, np.int64)])
+        order = np.argsort(descending, kind="stable")
+        sizes = np.concatenate([p[0] for p in parts] or [np.empty(0, "<u4")]).astype(np.int64) // np.dtype(code).itemsize
         self.ids = np.frombuffer(b"".join(p[1] for p in parts), code)
-        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.sizes, self.starts = sizes[order], (np.cumsum(sizes) - sizes)[order]
 
 
 @lru_cache(maxsize=2)
@@ -257,7 +269,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 ids = batch.column("doc_ids")[i].values.cast(schema.field("doc_id").type)
                 yield pa.RecordBatch.from_arrays([ids, lists.cast(schema.field("ids").type)], schema=schema)
 
-    return map_batches(marked.where(F.col("doc_ids").isNotNull()).drop("bucket"), run, kind)
+    return map_batches(marked.where(F.col("doc_ids").isNotNull()).select("slice", "blob", "doc_ids", "sizes"), run, kind)
 
 
 class Decoder:
