@@ -276,5 +276,46 @@ def all_oracles() -> dict[str, str]:
               CAST('0x' || substr(digest, 1, 8) AS bigint) < 0.2 * 4294967296 AS is_test FROM ranks""",
         "stratified_folds": f"WITH {SPLIT} SELECT user_id, churned, CAST((r - 1) % 3 AS int) AS fold FROM ranks",
         "binary_metrics_of_rules": f"WITH {RULES} SELECT * FROM scored",
+        "score_auc_of_rules": f"""WITH {SUBS}, {CHURN},
+            facts AS (SELECT user_id, count(*) AS orders, max(gameplay_day) AS latest FROM subs GROUP BY user_id),
+            scored AS (
+              SELECT 'few_orders' AS model, churned AS label, CAST(-orders AS double) AS score FROM kept JOIN facts USING (user_id)
+              UNION ALL SELECT 'late_month', churned, CAST(latest AS double) FROM kept JOIN facts USING (user_id)
+              UNION ALL SELECT 'same', churned, 0.5 FROM kept JOIN facts USING (user_id)),
+            placed AS (
+              SELECT model, label, rank() OVER (PARTITION BY model ORDER BY score)
+                + (count(*) OVER (PARTITION BY model, score) - 1) / 2.0 AS r
+              FROM scored WHERE score IS NOT NULL),
+            sums AS (
+              SELECT model, count_if(label = 1) AS p, count_if(label = 0) AS n, sum(r) FILTER (WHERE label = 1) AS s
+              FROM placed GROUP BY model)
+            SELECT model, CAST(p AS bigint) AS positives, CAST(n AS bigint) AS negatives,
+              round(CAST((s - p * (p + 1) / 2.0) AS double) / (p * n), 6) AS score_auc FROM sums""",
+        "stump_scores": f"""WITH {SUBS}, {CHURN}, {DEMO},
+            facts AS (
+              SELECT user_id, CAST(state = 'free' AS int) AS free, workout_day AS f0, coalesce(gameplay_day, 0) AS f1,
+                CASE WHEN gender = 'm' THEN 1 ELSE 0 END AS f2
+              FROM kept JOIN demo_all USING (user_id)),
+            long AS (
+              SELECT 0 AS f, f0 AS v, free FROM facts UNION ALL SELECT 1, f1, free FROM facts
+              UNION ALL SELECT 2, f2, free FROM facts),
+            per AS (SELECT f, v, count(*) AS n, sum(free) AS y FROM long GROUP BY f, v),
+            cum AS (
+              SELECT f, v, sum(n) OVER a AS nl, sum(y) OVER a AS yl, sum(n) OVER t AS n, sum(y) OVER t AS y
+              FROM per WINDOW a AS (PARTITION BY f ORDER BY v), t AS (PARTITION BY f)),
+            cut AS (
+              SELECT f, v, CAST(yl AS double) / nl AS pl, CAST(y - yl AS double) / (n - nl) AS pr, CAST(y AS double) / n AS p0
+              FROM cum WHERE nl < n
+              ORDER BY nl * (CAST(yl AS double) / nl) * (1 - CAST(yl AS double) / nl)
+                + (n - nl) * (CAST(y - yl AS double) / (n - nl)) * (1 - CAST(y - yl AS double) / (n - nl)), f, v LIMIT 1),
+            side AS (
+              SELECT user_id, CASE WHEN CASE f WHEN 0 THEN f0 WHEN 1 THEN f1 ELSE f2 END <= v THEN pl ELSE pr END AS p,
+                CASE WHEN (pl > 0.5) = (pr > 0.5) THEN p0 ELSE p END AS q
+              FROM facts, cut)
+            -- Classification trees take back a split whose sides say the same.
+            SELECT user_id, round(2 * p - 1, 6) AS margin, round(q, 6) AS share, round(ln(q / (1 - q)) / 2, 6) AS vote FROM side""",
+        "logit_gradient": "SELECT unnest(["
+        + ", ".join(f"'{n}'" for n in ("intercept", *[f"coefficient:{c}" for c in _FEATURES]))
+        + "]) AS item, 0.0::double AS gradient",
         "best_rule": f"WITH {RULES} SELECT * FROM scored ORDER BY recall DESC, model LIMIT 1",
     }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.config import JobConfig
 from tidemark.ml import grid, search, split
 from tidemark.ml.adaboost import AdaBoostClassifier
-from tidemark.ml.metrics import best_model, binary_metrics
+from tidemark.ml.metrics import best_model, binary_metrics, score_auc
 from tidemark.operators import gamemix, matrix, prep, sessions, subscriptions, variety
 from tidemark.operators.matrix import feature_columns
 from tidemark.operators.quantiles import impute_median
@@ -410,15 +411,29 @@ def best_rule(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(best_model(binary_metrics(_rule_predictions(spark, folder)), "recall"), *_SCORES)
 
 
+@query
+def score_auc_of_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Areas under scores with many ties: a user's orders and months, and one score for all."""
+    rows = samples.subscriptions(spark, folder)
+    facts = rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("orders"), F.max("gameplay_day").alias("latest"))
+    scores = F.array(
+        F.struct(F.lit("few_orders").alias("model"), (-F.col("orders")).cast("double").alias("score")),
+        F.struct(F.lit("late_month").alias("model"), F.col("latest").cast("double").alias("score")),
+        F.struct(F.lit("same").alias("model"), F.lit(0.5).alias("score")),
+    )
+    scored = _labels(spark, folder).join(facts, "user_id").select(F.col("churned").alias("label"), F.inline(scores))
+    return rounded(score_auc(scored), "score_auc")
+
+
 # --- models on the matrix -------------------------------------------------
 
 
-def _small_search() -> list[grid.Search]:
-    """A few settings per classifier, to keep the checks short."""
+def _search() -> list[grid.Search]:
+    """Settings of the published grids, the smaller tree counts and one value of all else."""
     return [
-        grid.gradient_boosting({"maxDepth": [2], "maxIter": [3, 6], "stepSize": [0.5]}),
-        grid.adaboost({"maxDepth": [2], "maxIter": [3], "learningRate": [1.0]}),
-        grid.random_forest({"numTrees": [5, 10]}, max_depth=4),
+        grid.gradient_boosting({"maxDepth": [2], "maxIter": [50, 75], "stepSize": [0.5], "featureSubsetStrategy": ["sqrt"]}),
+        grid.adaboost({"maxDepth": [2], "maxIter": [50], "learningRate": [0.5], "featureSubsetStrategy": ["sqrt"]}),
+        grid.random_forest({"numTrees": [50, 100], "featureSubsetStrategy": ["sqrt", "log2"], "minInstancesPerNode": [2]}),
     ]
 
 
@@ -447,7 +462,41 @@ def rf_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def adaboost_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return _scored(spark, folder, "adaboost", AdaBoostClassifier(maxIter=5, maxDepth=2))
+    return _scored(spark, folder, "adaboost", AdaBoostClassifier(maxIter=50, maxDepth=2))
+
+
+def _stump_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """Free or not, and three whole-number features of few values, so that Spark's bins hold all of them."""
+    rows = samples.subscriptions(spark, folder)
+    kept = subscriptions.churn_summary(rows, CONFIG.churn_threshold, ["workout_day", "gameplay_day", "state"])
+    people = prep.gender_flag(samples.demographics(spark, folder)).select("user_id", "is_male")
+    free = (F.col("state") == "free").cast("int")
+    facts = kept.join(people, "user_id").select(
+        "user_id", free.alias("free"), "workout_day", F.coalesce("gameplay_day", F.lit(0)).alias("gameplay_day"), "is_male"
+    )
+    return materialize(matrix.assemble(facts, label="free"), "facts")
+
+
+@query
+def stump_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """One split by each classifier: a boosted margin, a forest's probability, a weighted vote."""
+    rows = _stump_facts(spark, folder)
+    boosted = GBTClassifier(maxIter=1, maxDepth=1, seed=grid.SEED).fit(rows)
+    forest = RandomForestClassifier(numTrees=1, maxDepth=1, bootstrap=False, featureSubsetStrategy="all", seed=grid.SEED).fit(rows)
+    voted = AdaBoostClassifier(maxIter=1, maxDepth=1, featureSubsetStrategy="all").fit(rows)
+    scored = boosted.transform(rows).select("user_id", "features", vector_to_array("rawPrediction")[1].alias("margin"))
+    scored = forest.transform(scored).select("user_id", "features", "margin", vector_to_array("probability")[1].alias("share"))
+    scored = voted.transform(scored).select("user_id", "margin", "share", F.col("rawScore").alias("vote"))
+    return rounded(scored, "margin", "share", "vote")
+
+
+@query
+def logit_gradient(spark: SparkSession, folder: str) -> DataFrame:
+    """The penalised loss is flat at the fitted coefficients."""
+    train, _, names = _split(spark, folder)
+    slopes = search.logistic_gradient(search.fit_logistic(train, 1e-12, 1000), train, names)
+    # Adding zero takes the sign off a rounded -0.0.
+    return slopes.select("item", (F.round("gradient", 1) + F.lit(0.0)).alias("gradient"))
 
 
 @query
@@ -459,7 +508,7 @@ def logit_report(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def grid_report(spark: SparkSession, folder: str) -> DataFrame:
     train, _, _ = _split(spark, folder)
-    results = search.fit_grid_search(train, _small_search())
+    results = search.fit_grid_search(train, _search())
     report = search.grid_report(spark, results)
     settings = F.array_sort(F.transform(F.map_entries("params"), lambda e: F.concat_ws("=", e["key"], e["value"])))
     return rounded(report.withColumn("params", F.array_join(settings, " ")), "avg_score")
@@ -469,7 +518,7 @@ def grid_report(spark: SparkSession, folder: str) -> DataFrame:
 def best_model_scores(spark: SparkSession, folder: str) -> DataFrame:
     """The whole training job; its best model's scores on the test users."""
     rows = features(spark, folder).matrix()
-    outcome = search.train_and_evaluate(spark, rows, _small_search())
+    outcome = search.train_and_evaluate(spark, rows, _search())
     return rounded(outcome.scores.where(F.col("model") == outcome.best_name), *_SCORES)
 
 

@@ -2,13 +2,15 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from tidemark.ml import grid, search, split
+from tidemark.ml import grid, search, split, staged
 from tidemark.ml.adaboost import AdaBoostClassifier, AdaBoostModel
 from tidemark.ml.metrics import best_model, binary_metrics
+from tidemark.operators import ranges
 
 
 def labels(spark, ones=130, zeros=371):
@@ -168,6 +170,105 @@ def test_training_job(spark, rows):
     assert all(s.accuracy > 0.6 for s in scores.values())
 
 
+def test_first_trees_of_boosting_are_shorter_fits(rows):
+    for estimator in (
+        GBTClassifier(maxDepth=2, stepSize=0.5, featureSubsetStrategy="sqrt", seed=7),
+        AdaBoostClassifier(maxDepth=2, seed=7),
+    ):
+        whole = estimator.fit(rows, {estimator.maxIter: 7})
+        for count in (1, 4, 7, 9):
+            own = estimator.fit(rows, {estimator.maxIter: min(count, 7)}).transform(rows)
+            part = staged.first_trees(whole, count).transform(rows)
+            score = F.col("rawScore") if "rawScore" in own.columns else vector_to_array("rawPrediction")[1]
+            pairs = own.select("user_id", score.alias("a"), F.col("prediction").alias("b")).join(
+                part.select("user_id", score.alias("c"), F.col("prediction").alias("d")), "user_id"
+            )
+            # Sums of weights may differ in their last digit from run to run.
+            assert all(r.a == pytest.approx(r.c, abs=1e-9) and r.b == r.d for r in pairs.collect())
+
+
+def test_first_trees_of_a_forest_are_a_forest(rows):
+    whole = RandomForestClassifier(numTrees=5, maxDepth=3, seed=3).fit(rows)
+    part = staged.first_trees(whole, 2)
+    assert [t.toDebugString for t in part.trees] == [t.toDebugString for t in whole.trees[:2]]
+    scored = part.transform(rows).select("features", vector_to_array("probability")[1].alias("p"))
+    for i, tree in enumerate(part.trees):
+        scored = tree.setPredictionCol("").setRawPredictionCol("").setProbabilityCol(f"t{i}").transform(scored)
+    mean = (vector_to_array("t0")[1] + vector_to_array("t1")[1]) / 2
+    assert scored.where(F.abs(F.col("p") - mean) > 1e-9).count() == 0
+    with pytest.raises(TypeError):
+        staged.first_trees(search.fit_logistic(rows), 2)
+
+
+def test_full_search_needs_a_fit_per_tree_setting_only(spark):
+    assert [len(s.stages()) for s in grid.full_search()] == [32, 40, 4]
+    for s in grid.full_search():
+        assert sorted(p for stage in s.stages() for p in stage.places) == list(range(len(s.param_maps())))
+
+
+def test_staged_scores_are_those_of_separate_fits(spark, rows, monkeypatch):
+    fits = []
+    estimators = {"gradient_boosting": GBTClassifier, "adaboost": AdaBoostClassifier}
+    for kind in estimators.values():
+        monkeypatch.setattr(kind, "_fit", lambda self, data, f=kind._fit: fits.append(type(self)) or f(self, data))
+    searches = [
+        grid.gradient_boosting({"maxIter": [2, 3, 5], "maxDepth": [1, 2]}),
+        grid.adaboost({"maxDepth": [1], "maxIter": [4, 2]}),
+    ]
+    results = search.fit_grid_search(rows, searches, "accuracy")
+    assert [r.fits for r in results] == [2 * 3 + 1, 3 + 1] and len(fits) == 11
+    folded = split.stratified_folds(rows, "label", 3)
+    for result, wanted in zip(results, searches):
+        for setting, score in zip(result.param_maps, result.scores):
+            own = []
+            for fold in range(3):
+                model = wanted.estimator.fit(folded.where(f"fold <> {fold}"), setting)
+                said = model.transform(folded.where(f"fold = {fold}")).select(F.avg((F.col("prediction") == F.col("label")).cast("int")))
+                own.append(said.first()[0])
+            assert score == pytest.approx(np.mean(own))
+        assert result.ranked()[0][1] == pytest.approx(max(result.scores))
+        best = result.param_maps[int(np.argmax(np.round(result.scores, 12)))]
+        assert all(result.best.getOrDefault(p.name) == v for p, v in best.items())
+
+
+def test_score_auc_counts_ties_half(spark):
+    rng = np.random.default_rng(4)
+    rows, want = [], {}
+    for model, values in (("coarse", 5), ("fine", 10**6), ("one", 1)):
+        score, label = rng.integers(0, values, 500) / 7, rng.integers(0, 2, 500)
+        rows += [(model, int(y), float(x)) for x, y in zip(score, label)]
+        yes, no = score[label == 1], score[label == 0]
+        want[model] = ((yes[:, None] > no).sum() + (yes[:, None] == no).sum() / 2) / (len(yes) * len(no))
+    rows += [("fine", 1, None), ("fine", None, 0.5), ("only", 1, 0.3)]
+    got = search.score_auc(spark.createDataFrame(rows, "model string, label int, score double").repartition(7))
+    areas = {r.model: r.score_auc for r in got.collect()}
+    assert areas.pop("only") is None
+    assert areas == pytest.approx(want)
+
+
+def test_areas_of_models(rows):
+    models = {"boost": AdaBoostClassifier(maxIter=3).fit(rows), "forest": RandomForestClassifier(numTrees=3, seed=1).fit(rows)}
+    areas = {r.model: r.score_auc for r in search.score_areas(models, rows).collect()}
+    for name, model in models.items():
+        raw = "rawScore" if name == "boost" else "rawPrediction"
+        judge = BinaryClassificationEvaluator(rawPredictionCol=raw, numBins=0)
+        assert areas[name] == pytest.approx(judge.evaluate(model.transform(rows)), abs=1e-9)
+
+
+def test_totals_before_in_any_layout(spark):
+    rng = np.random.default_rng(2)
+    rows = [(int(g), i, int(v)) for i, (g, v) in enumerate(zip(rng.integers(0, 3, 400), rng.integers(0, 9, 400)))]
+    df = spark.createDataFrame(rows, "g int, i int, v int").repartition(5)
+    running, want = {}, {}
+    for g, i, v in rows:
+        want[i] = running.get(g, 0)
+        running[g] = want[i] + v
+    for n in (1, 7):
+        got = ranges.totals_before(df, ["i"], {"before": "v"}, ["g"], n)
+        assert got.columns == ["g", "i", "v", "before"]
+        assert {r.i: r.before for r in got.collect()} == want
+
+
 def test_logistic_report(spark, rows):
     train, test = rows.where("user_id % 5 <> 0"), rows.where("user_id % 5 = 0")
     report = {r.item: r.value for r in search.logistic_report(spark, train, test, ["a", "b", "c", "d"]).collect()}

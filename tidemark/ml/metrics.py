@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranges import totals_before
+
 METRICS = ("precision", "recall", "accuracy", "auc", "mse")
 
 
@@ -53,3 +55,31 @@ def stack_predictions(by_model: dict[str, DataFrame]) -> DataFrame:
         df.select(F.lit(name).alias("model"), "label", "prediction") for name, df in by_model.items()
     ]
     return reduce(DataFrame.unionAll, tagged)
+
+
+def score_auc(predictions: DataFrame) -> DataFrame:
+    """model, positives, negatives, score_auc from (model, label, score).
+
+    The chance that a row of label 1 has a higher score than one of label 0, ties counting
+    half: the rank sum. Rows count per distinct score before they are ordered, and running
+    counts are taken over ranges of scores, so no task orders all of them. Rows without a
+    score or label do not count; with only one label there is no area.
+    """
+    yes = F.col("label") == 1
+    counts = (
+        predictions.where(F.col("score").isNotNull() & F.col("label").isNotNull())
+        .groupBy("model", F.col("score").cast("double").alias("score"))
+        .agg(F.count_if(yes).alias("yes"), F.count_if(~yes).alias("no"))
+    )
+    ranked = totals_before(counts, ["score"], {"below": "no"}, group=["model"])
+    # Twice the pairs won, in whole numbers of any size.
+    won = F.col("yes").cast("decimal(19,0)") * (2 * F.col("below") + F.col("no")).cast("decimal(19,0)")
+    sums = ranked.groupBy("model").agg(F.sum("yes").alias("positives"), F.sum("no").alias("negatives"), F.sum(won).alias("won"))
+    pairs = 2 * F.col("positives").cast("double") * F.col("negatives")
+    return sums.select("model", "positives", "negatives", F.try_divide(F.col("won").cast("double"), pairs).alias("score_auc"))
+
+
+def stack_scores(by_model: dict[str, DataFrame], columns: dict[str, Column]) -> DataFrame:
+    """(model, label, score) of each model's predictions; `columns` has each model's score."""
+    tagged = [df.select(F.lit(name).alias("model"), "label", columns[name].alias("score")) for name, df in by_model.items()]
+    return reduce(DataFrame.unionAll, tagged)

@@ -4,33 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.ml.grid import Search, full_search
-from tidemark.ml.metrics import best_model, binary_metrics, stack_predictions
+from tidemark.ml.adaboost import AdaBoostModel
+from tidemark.ml.grid import Search, Stage, full_search
+from tidemark.ml.metrics import best_model, binary_metrics, score_auc, stack_predictions, stack_scores
 from tidemark.ml.split import hash_split, stratified_folds, stratified_split
+from tidemark.ml.staged import staged_counts
 from tidemark.operators.matrix import LABEL, assemble, feature_columns
 from tidemark.storage import materialize
 
-_EVALUATED = {"recall": "recallByLabel", "precision": "precisionByLabel", "accuracy": "accuracy"}
+_EVALUATED = ("recall", "precision", "accuracy")
 
 
 @dataclass(frozen=True)
 class SearchResult:
-    """A finished search: all settings with their mean score, and the refitted best model."""
+    """A finished search: all settings with their mean score, and the refitted best model.
+
+    `fits` counts the models fitted for it, the refitted one included.
+    """
 
     name: str
     metric: str
     param_maps: list[dict]
     scores: list[float]
     best: Model
+    fits: int
 
     def ranked(self) -> list[tuple[dict[str, str], float]]:
         """(params, score), best first; ties keep grid order."""
@@ -38,6 +44,12 @@ class SearchResult:
         return sorted(zip(named, self.scores), key=lambda s: -s[1])
 
 
+def _score(cells: tuple[int, int, int, int], metric: str) -> float:
+    tp, fp, fn, tn = cells
+    part, whole = {"recall": (tp, tp + fn), "precision": (tp, tp + fp), "accuracy": (tp + tn, tp + fp + fn + tn)}[metric]
+    return part / whole if whole else 0.0
+
+
 def fit_grid_search(
     train: DataFrame,
     searches: Sequence[Search] | None = None,
@@ -45,26 +57,35 @@ def fit_grid_search(
     folds: int = 3,
     parallelism: int = 2,
 ) -> list[SearchResult]:
-    """Search each grid with stratified folds. `train` has user_id, label and features."""
+    """Search each grid with stratified folds. `train` has user_id, label and features.
+
+    Settings that differ only in the number of trees share one fit a fold, of the largest
+    number; the others are scored from its first trees (see `staged`).
+    """
     if metric not in _EVALUATED:
         raise ValueError(f"metric must be one of {sorted(_EVALUATED)}, not {metric!r}")
-    evaluator = MulticlassClassificationEvaluator(metricName=_EVALUATED[metric], metricLabel=1.0)
     # Every fit reads this table; files outlive the executors that wrote them.
     folded = materialize(stratified_folds(train, "label", folds), "folds").persist(StorageLevel.MEMORY_AND_DISK)
     results = []
     for search in searches or full_search():
-        validator = CrossValidator(
-            estimator=search.estimator,
-            estimatorParamMaps=search.param_maps(),
-            evaluator=evaluator,
-            numFolds=folds,
-            foldCol="fold",
-            parallelism=parallelism,
-        )
-        fitted: CrossValidatorModel = validator.fit(folded)
-        results.append(
-            SearchResult(search.name, metric, search.param_maps(), list(fitted.avgMetrics), fitted.bestModel)
-        )
+        estimator, stages = search.estimator, search.stages()
+
+        def score(job: tuple[Stage, int], estimator=estimator) -> list[tuple[int, int, int, int]]:
+            stage, fold = job
+            model = estimator.fit(folded.where(F.col("fold") != fold), stage.largest())
+            return staged_counts(model, folded.where(F.col("fold") == fold), stage.counts)
+
+        jobs = [(stage, fold) for stage in stages for fold in range(folds)]
+        with ThreadPool(parallelism) as pool:
+            found = pool.map(inheritable_thread_target(train.sparkSession)(score), jobs)
+        maps = search.param_maps()
+        scores = [0.0] * len(maps)
+        for (stage, _), cells in zip(jobs, found, strict=True):
+            for at, cell in zip(stage.places, cells, strict=True):
+                scores[at] += _score(cell, metric) / folds
+        # Sums of equal scores may differ in their last digit; ties keep grid order.
+        best = maps[max(range(len(maps)), key=lambda i: (round(scores[i], 12), -i))]
+        results.append(SearchResult(search.name, metric, maps, scores, estimator.fit(folded, best), len(jobs) + 1))
     folded.unpersist()
     return results
 
@@ -85,10 +106,38 @@ def predict_and_score(models: dict[str, Model], test: DataFrame) -> DataFrame:
     return binary_metrics(stack_predictions({name: m.transform(test) for name, m in models.items()}))
 
 
-def fit_logistic(train: DataFrame) -> LogisticRegressionModel:
+def score_column(model: Model) -> Column:
+    """What orders a model's predictions: the weighted vote, or the probability of label 1."""
+    return F.col("rawScore") if isinstance(model, AdaBoostModel) else vector_to_array("probability")[1]
+
+
+def score_areas(models: dict[str, Model], test: DataFrame) -> DataFrame:
+    """`score_auc` of each model on the test rows: the area under its scores, not its 0/1 predictions."""
+    scored = {name: m.transform(test) for name, m in models.items()}
+    return score_auc(stack_scores(scored, {name: score_column(m) for name, m in models.items()}))
+
+
+def fit_logistic(train: DataFrame, tolerance: float = 1e-6, rounds: int = 100) -> LogisticRegressionModel:
     """L2-penalised logistic regression, penalty 1 summed over rows, features unscaled."""
     strength = 1.0 / train.count()
-    return LogisticRegression(regParam=strength, elasticNetParam=0.0, standardization=False).fit(train)
+    return LogisticRegression(
+        regParam=strength, elasticNetParam=0.0, standardization=False, tol=tolerance, maxIter=rounds
+    ).fit(train)
+
+
+def logistic_gradient(model: LogisticRegressionModel, train: DataFrame, features: Sequence[str]) -> DataFrame:
+    """item, gradient: the slope of the penalised loss, summed over rows, along each coefficient.
+
+    All of it is zero at the optimum. One pass adds up the rows' slopes.
+    """
+    off = vector_to_array("probability")[1] - F.col("label")
+    x = vector_to_array("features")
+    scored = model.transform(train).select(off.alias("off"), x.alias("x"))
+    sums = [F.sum(F.col("off") * F.col("x")[i]) + F.lit(float(c)) for i, c in enumerate(model.coefficients.toArray())]
+    names = ["intercept", *[f"coefficient:{n}" for n in features]]
+    row = scored.agg(*[s.alias(f"g{i}") for i, s in enumerate([F.sum("off"), *sums])])
+    items = [F.struct(F.lit(n).alias("item"), F.col(f"g{i}").alias("gradient")) for i, n in enumerate(names)]
+    return row.select(F.inline(F.array(*items)))
 
 
 def logistic_report(
@@ -113,6 +162,7 @@ class Evaluation:
     results: list[SearchResult]
     report: DataFrame
     scores: DataFrame
+    areas: DataFrame
     best_name: str
     best: Model
 
@@ -147,4 +197,4 @@ def train_and_evaluate(
     models = {r.name: r.best for r in results}
     scores = predict_and_score(models, test)
     best_name = best_model(scores, metric).first()["model"]
-    return Evaluation(results, grid_report(spark, results), scores, best_name, models[best_name])
+    return Evaluation(results, grid_report(spark, results), scores, score_areas(models, test), best_name, models[best_name])
