@@ -93,8 +93,8 @@ def test_odd_rows(spark, tool, odd_docs, make_docs):
     got = sorted(((r["doc_id"], r["ids"], r["decoded"]) for r in both.collect()), key=str)
     want = [(r["doc_id"], tool.encode(r["text"] or "")) for r in docs.collect()]
     assert got == sorted(((i, ids, tool.decode(ids)) for i, ids in want), key=str)
-    none = pieces.with_ids_digest(pieces.decode(pieces.encode(make_docs([]), PATH), PATH), PATH)
-    assert none.columns == ["doc_id", "decoded", "n_tokens", "ids_sha256"] and none.count() == 0
+    none = pieces.with_digests(pieces.decode(pieces.encode(make_docs([]), PATH), PATH), PATH)
+    assert none.columns == ["doc_id", "decoded", "n_tokens", "ids_sha256", "decoded_sha256"] and none.count() == 0
 
 
 def test_decode_takes_any_rows(spark, tool):

@@ -34,7 +34,7 @@ from tidemark.storage import fresh_path, materialize
 
 SPACE_MARK = "▁".encode()
 #: A slice ends after so many distinct chunks, or chunks in all.
-SLICE_CHUNKS, SLICE_PLACES = 400_000, 8_000_000
+SLICE_CHUNKS, SLICE_PLACES = 600_000, 12_000_000
 #: Tiers of a slice's chunks by the binary logarithm of their count there.
 TIERS = 32
 #: Distinct chunks whose ids a task of the table remembers at a time.
@@ -352,23 +352,26 @@ def ids_digest(ids: np.ndarray, decimal: list[str]) -> str:
     return held.hexdigest()
 
 
-def with_ids_digest(rows: DataFrame, path: str) -> DataFrame:
-    """`rows` with n_tokens and ids_sha256 in the place of their ids."""
+def with_digests(rows: DataFrame, path: str) -> DataFrame:
+    """`rows` with n_tokens, ids_sha256 and decoded_sha256 in the place of their ids.
+
+    The digests are those of the ids in decimal, joined by commas, and of the text that
+    `decode` gives for them.
+    """
     kept = [f for f in rows.schema if f.name != "ids"]
-    kind = StructType.fromDDL("n_tokens bigint, ids_sha256 string")
-    whole = StructType([*kept, *kind])
+    whole = StructType([*kept, *StructType.fromDDL("n_tokens bigint, ids_sha256 string, decoded_sha256 string")])
     schema = to_arrow_schema(whole)
-    size = len(model(path).pieces)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decimal = [str(i) for i in range(size)]
+        tool = decoder(path)
+        decimal = [str(i) for i in range(len(tool.sizes))]
         for batch in batches:
             lists = batch.column("ids")
             flat = lists.flatten().to_numpy(zero_copy_only=False)
             sizes = [n or 0 for n in lists.value_lengths().to_pylist()]
-            ends = np.cumsum([0, *sizes]).tolist()
-            digests = [ids_digest(flat[a:b], decimal) for a, b in pairwise(ends)]
-            columns = [*(batch.column(f.name) for f in kept), pa.array(sizes, pa.int64()), pa.array(digests)]
+            ids = [ids_digest(flat[a:b], decimal) for a, b in pairwise(np.cumsum([0, *sizes]).tolist())]
+            texts = [sha256(t.encode()).hexdigest() for t in tool.texts(flat.astype(np.int64), sizes)]
+            columns = [*(batch.column(f.name) for f in kept), *map(pa.array, (sizes, ids, texts))]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     return map_batches(rows, run, whole)

@@ -123,9 +123,7 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
 
 def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = pieces.encode(_table(spark, folder, "documents"), model)
-    digests = pieces.with_ids_digest(pieces.decode(encoded, model), model)
-    return digests.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return pieces.with_digests(pieces.encode(_table(spark, folder, "documents"), model), model)
 
 
 def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
