@@ -151,13 +151,13 @@ def links(distinct: DataFrame, max_bits: int = 2, pair_cell: int = PAIR_CELL) ->
     if max_bits % 2:
         raise ValueError("max_bits must be even")
     radius = max_bits // 2
-    # A fingerprint enters dozens of cells: small rows, so their number decides the tasks.
+    # A fingerprint enters dozens of cells: small rows, so their number decides the tasks. They are
+    # written, as Spark's estimate of their size leaves out how they multiply, and it would broadcast them.
     tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = distinct.select("fp").repartition(tasks, "fp")
-    cells = spread.select("fp", F.explode(_around(grid_point(F.col("fp")), radius)).alias("cell"))
+    cells = materialize(spread.select("fp", F.explode(_around(grid_point(F.col("fp")), radius)).alias("cell")), "cells")
     shared = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
-    # Spark's estimates leave out how rows multiply here, so it is told not to broadcast them.
-    busy = materialize(cells.hint("merge").join(shared, "cell"), "cells")
+    busy = materialize(cells.join(shared, "cell"), "busy-cells")
     few = busy.where(F.col("n") <= pair_cell)
     pairs = (
         few.alias("a")
@@ -171,7 +171,7 @@ def links(distinct: DataFrame, max_bits: int = 2, pair_cell: int = PAIR_CELL) ->
         grid_point(F.col("mid")) == F.col("cell")
     )
     centre = named.groupBy("mid").agg(F.min("fp").alias("v"))
-    stars = named.hint("merge").join(centre, "mid").where("fp <> v").select(F.col("fp").alias("u"), "v")
+    stars = named.join(centre, "mid").where("fp <> v").select(F.col("fp").alias("u"), "v")
     return pairs.unionByName(stars)
 
 
