@@ -265,6 +265,8 @@ def all_oracles() -> dict[str, str]:
             SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY date, rid) AS pos, gameId FROM sess""",
         "event_value_delta": """SELECT user_id, event_id AS rid,
             round(value - lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id), 6) AS delta FROM events""",
+        "row_positions": f"""WITH {SUBS} SELECT user_id, rid AS order_id, row_number() OVER (ORDER BY rid) - 1 AS position
+            FROM subs""",
         "tsv_texts": """SELECT doc_id, text, '  ' || lang || ' ' AS spaced, CASE WHEN doc_id % 3 = 0 THEN '' WHEN doc_id % 3 = 1
             THEN NULL ELSE '"' || source || '"' END AS odd FROM documents""",
         "union_files": f"WITH {DEMO} SELECT * FROM demo_all",

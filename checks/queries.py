@@ -314,6 +314,17 @@ def assembled_matrix(spark: SparkSession, folder: str) -> DataFrame:
 # --- files ----------------------------------------------------------------
 
 
+@query
+def row_positions(spark: SparkSession, folder: str) -> DataFrame:
+    """Positions in a table of several text files, each cut into many tasks."""
+    rows = samples.subscriptions(spark, folder).withColumnRenamed("rid", "order_id")
+    path = fresh_path(spark, "ordered-files")
+    files = rows.repartitionByRange(4, "order_id").sortWithinPartitions("order_id")
+    files.write.option("header", True).csv(path)
+    numbered = read_table(spark, "subscriptions", Dataset(path))
+    return numbered.select("user_id", F.col("order_id").cast("bigint").alias("order_id"), F.col("rid").alias("position"))
+
+
 @query
 def tsv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     rows = samples.subscriptions(spark, folder)

@@ -157,3 +157,41 @@ def test_texts_survive_tab_separated_files(spark, tmp_path):
     df = spark.createDataFrame(list(enumerate(values)), "i int, t string")
     path = write_table(df, str(tmp_path / "t"))
     assert sorted(read_back(spark, path, df.schema).collect()) == sorted(df.collect())
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Sets the size of a task's piece of a file."""
+    options = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+
+    def cut(size):
+        for option in options:
+            spark.conf.set(option, size)
+
+    yield cut
+    for option in options:
+        spark.conf.unset(option)
+
+
+@pytest.mark.parametrize("format", ["csv", "parquet"])
+def test_positions_hold_under_any_partitioning(spark, tmp_path, small_splits, format):
+    rows = spark.range(3000).selectExpr("id % 50 AS user_id", "date'2020-01-01' AS date", "'free' AS state", "1 AS workout_day", "1 AS gameplay_day", "id")
+    paths = [str(tmp_path / n) for n in "ba"]
+    rows.where("id < 2000").repartitionByRange(3, "id").sortWithinPartitions("id").write.option("header", True).option(
+        "parquet.block.size", 2048
+    ).format(format).save(paths[0])
+    rows.where("id >= 2000").coalesce(1).sortWithinPartitions("id").write.option("header", True).format(format).save(paths[1])
+    tasks = []
+    for size in ("100m", "2k"):
+        small_splits(size)
+        df = read_table(spark, "subscriptions", Dataset(tuple(paths), format=format))
+        tasks.append(spark.read.option("header", True).format(format).load(paths[0]).rdd.getNumPartitions())
+        got = [(int(r["id"]), r["rid"]) for r in df.collect()]
+        assert sorted(got) == [(i, i) for i in range(3000)]
+    assert tasks[1] > tasks[0]
+
+
+def test_positions_of_no_rows(spark, tmp_path):
+    path = str(tmp_path / "none")
+    spark.range(0).selectExpr("id AS user_id", "date'2020-01-01' AS date", "'a' AS state", "1 AS workout_day", "1 AS gameplay_day").write.parquet(path)
+    assert read_table(spark, "subscriptions", Dataset(path, format="parquet")).count() == 0

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.prep import first_rows
+from tidemark.sources.positions import with_positions
 
 _id = T.StructField("user_id", T.LongType())
 
@@ -104,10 +105,10 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 
 
 def with_row_id(df: DataFrame, row_id: str | None) -> DataFrame:
-    """Make the row number column ``rid``.
+    """Make the row number column ``rid``, of `row_id` or else generated.
 
-    Without a column of its own a table gets generated numbers. They follow
-    the file order of one read and change when the files are laid out anew.
+    Generated numbers follow the row order of one read; tables read from files get stable
+    ones in `read_table`.
     """
     if row_id is None:
         return df if "rid" in df.columns else df.withColumn("rid", F.monotonically_increasing_id())
@@ -130,13 +131,17 @@ def read_table(
 
     Text files are read as strings with a header and cast by name, so column
     order does not matter and a list column of single numbers stays text. All files
-    of one path share one header; a file with another one is an error.
+    of one path share one header; a file with another one is an error. Ordered tables
+    without a row number column, or one called ``rid``, are numbered by file name and place in the file.
     """
     paths = [dataset.path] if isinstance(dataset.path, str) else list(dataset.path)
     parts = [conform(_raw(spark, dataset, path), table) for path in paths]
-    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    if table in ORDERED:
-        df = with_row_id(df, dataset.row_id)
+    if table in ORDERED and dataset.row_id is None and not any("rid" in part.columns for part in parts):
+        df = with_positions(parts)
+    else:
+        df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        if table in ORDERED:
+            df = with_row_id(df, dataset.row_id)
     if row_limit:
         order = ["user_id", "date", "rid"] if table in ORDERED else SCHEMAS[table].fieldNames()
         df = first_rows(df, order, row_limit)
