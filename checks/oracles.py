@@ -265,6 +265,18 @@ def all_oracles() -> dict[str, str]:
             SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY date, rid) AS pos, gameId FROM sess""",
         "event_value_delta": """SELECT user_id, event_id AS rid,
             round(value - lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id), 6) AS delta FROM events""",
+        "tables_by_user": f"""WITH {SUBS}, {HISTORY}
+            SELECT user_id, n_rows, last_date, best_lpi
+            FROM (SELECT user_id, count(*) AS n_rows, max(date) AS last_date FROM subs GROUP BY user_id)
+            JOIN (SELECT user_id, max(lpi) AS best_lpi FROM sess GROUP BY user_id) USING (user_id)""",
+        "game_index": f"""WITH {PLAY}, {GAMES} SELECT game_id, CAST(row_number() OVER (ORDER BY game_id) - 1 AS int) AS index
+            FROM (SELECT DISTINCT game_id FROM counts)""",
+        "indexed_game_vectors": f"""WITH {PLAY}, {GAMES},
+            ix AS (SELECT game_id, row_number() OVER (ORDER BY game_id) - 1 AS i, count(*) OVER () AS n
+              FROM (SELECT DISTINCT game_id FROM counts))
+            SELECT user_id, CAST(max(n) AS int) AS size, string_agg(CAST(i AS varchar), ' ' ORDER BY i) AS places,
+              string_agg(CAST(CAST(round(proportion * 1000000) AS bigint) AS varchar), ' ' ORDER BY i) AS millionths
+            FROM props JOIN ix USING (game_id) GROUP BY user_id""",
         "row_positions": f"""WITH {SUBS} SELECT user_id, rid AS order_id, row_number() OVER (ORDER BY rid) - 1 AS position
             FROM subs""",
         "tsv_texts": """SELECT doc_id, text, '  ' || lang || ' ' AS spaced, CASE WHEN doc_id % 3 = 0 THEN '' WHEN doc_id % 3 = 1

@@ -19,6 +19,7 @@ from tidemark.operators.matrix import feature_columns
 from tidemark.operators.quantiles import impute_median
 from tidemark.plans.jobs import FeatureTables, matrix_job
 from tidemark.sources import samples
+from tidemark.sources.byuser import read_by_user, write_by_user
 from tidemark.sources.tables import Dataset, read_back, read_table, write_table
 from tidemark.storage import fresh_path, materialize
 
@@ -266,6 +267,24 @@ def game_matrix(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(wide, *[f"game_{g}" for g in GAMES])
 
 
+@query
+def game_index(spark: SparkSession, folder: str) -> DataFrame:
+    return gamemix.game_index(samples.plays(spark, folder))
+
+
+@query
+def indexed_game_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Sparse vectors by dense index, written out as text for comparison."""
+    plays = samples.plays(spark, folder)
+    rows = gamemix.sparse_vectors(plays, gamemix.game_index(plays))
+    return gamemix.vector_entries(rows).select(
+        "user_id",
+        "size",
+        F.array_join(F.col("indices").cast("array<string>"), " ").alias("places"),
+        F.array_join(F.transform("values", lambda x: F.round(x * 1_000_000).cast("bigint").cast("string")), " ").alias("millionths"),
+    )
+
+
 @query
 def game_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """Sparse rows, written out as text for comparison."""
@@ -325,6 +344,21 @@ def row_positions(spark: SparkSession, folder: str) -> DataFrame:
     return numbered.select("user_id", F.col("order_id").cast("bigint").alias("order_id"), F.col("rid").alias("position"))
 
 
+@query
+def tables_by_user(spark: SparkSession, folder: str) -> DataFrame:
+    """Two tables stored by user, each reduced per user and joined."""
+    order = ["user_id", "date", "rid"]
+    activity = write_by_user(samples.subscriptions(spark, folder), fresh_path(spark, "activity"), BUCKETS, order)
+    history = write_by_user(samples.history_sessions(spark, folder), fresh_path(spark, "history"), BUCKETS, order)
+    return user_totals(read_by_user(spark, activity), read_by_user(spark, history))
+
+
+def user_totals(activity: DataFrame, history: DataFrame) -> DataFrame:
+    days = activity.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rows"), F.max("date").alias("last_date"))
+    best = history.groupBy("user_id").agg(F.max("lpi").alias("best_lpi"))
+    return days.join(best, "user_id")
+
+
 @query
 def tsv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     rows = samples.subscriptions(spark, folder)

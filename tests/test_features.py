@@ -1,6 +1,8 @@
 import datetime as dt
 
 import pytest
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.linalg import SparseVector
 
 from tests.conftest import by_user
 from tidemark.config import JobConfig
@@ -156,3 +158,37 @@ def test_other_demographics_columns_are_named_to_stay(spark):
     df = spark.createDataFrame([(1, 20, "m", "en", "x")], "user_id bigint, age int, gender string, language string, note string")
     assert prep.demographic_features(df).columns == ["user_id", "age", "is_male"]
     assert prep.demographic_features(df, ["note"]).columns == ["user_id", "age", "is_male", "note"]
+
+
+def test_sparse_vectors_feed_pyspark_ml(spark):
+    plays = spark.range(4000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 1 ELSE id % 50 END AS user_id", "cast(pmod(xxhash64(id), 900) * 7 AS int) AS game_id"
+    )
+    index = gamemix.game_index(plays)
+    rows = gamemix.sparse_vectors(plays, index)
+    places = {r.game_id: r["index"] for r in index.collect()}
+    assert sorted(places.values()) == list(range(len(places))) and sorted(places, key=places.get) == sorted(places)
+    want = {}
+    for r in gamemix.game_proportions(plays).collect():
+        want.setdefault(r.user_id, {})[places[r.game_id]] = r.proportion
+    for r in rows.collect():
+        assert isinstance(r.features, SparseVector) and r.features.size == len(places)
+        assert dict(zip(r.features.indices.tolist(), r.features.values.tolist())) == want.pop(r.user_id)
+    assert not want
+    model = KMeans(k=3, seed=1, maxIter=2).fit(rows)
+    assert model.transform(rows).select("prediction").distinct().count() <= 3
+    few = index.where("index < 5")
+    with pytest.raises(Exception, match="not in the index"):
+        gamemix.sparse_vectors(plays, few)
+    none = plays.limit(0)
+    assert gamemix.sparse_vectors(none, gamemix.game_index(none)).count() == 0
+
+
+def test_game_index_in_many_ranges(spark):
+    plays = spark.range(5000).selectExpr("id % 7 AS user_id", "cast(id * 3 AS int) AS game_id")
+    spark.conf.set("spark.sql.shuffle.partitions", 11)
+    try:
+        got = {r.game_id: r["index"] for r in gamemix.game_index(plays).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert got == {3 * i: i for i in range(5000)}

@@ -3,11 +3,14 @@
 import re
 
 import pytest
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
-from checks.queries import all_queries
+from checks.queries import all_queries, user_totals
 from tests.conftest import SAMPLES
 from tidemark.operators import prep, sessions, subscriptions
 from tidemark.sources import samples
+from tidemark.sources.byuser import read_by_user, write_by_user
 from tidemark.sources.tables import Dataset, read_table
 
 FOLDER = f"{SAMPLES}/sf0.001"
@@ -57,3 +60,21 @@ def test_no_python_and_no_pairing_in_the_plan(spark, name):
     text = plan(all_queries()[name](spark, FOLDER))
     for forbidden in ("EvalPython", "InPandas", "InArrow", "CartesianProduct", "NestedLoop"):
         assert forbidden not in text
+
+
+def test_tables_by_user_need_no_exchange(spark, tmp_path):
+    paths = []
+    for name, rows in (("a", samples.subscriptions(spark, FOLDER)), ("h", samples.history_sessions(spark, FOLDER))):
+        paths.append(write_by_user(rows, str(tmp_path / name), 6, ["user_id", "date", "rid"], max_rows=20))
+    activity, history = (read_by_user(spark, p) for p in paths)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(user_totals(activity, history))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in text and text.count("Bucketed: true") == 2
+    ordered = W.partitionBy("user_id").orderBy("date", "rid")
+    assert "Exchange" not in plan(activity.select("user_id", F.lag("date").over(ordered)))
+    # Users of more than 20 rows are in several files of that size, all others in one.
+    assert activity.count() == samples.subscriptions(spark, FOLDER).count()
+    assert activity.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= 20

@@ -1,11 +1,14 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from tests.conftest import by_user, day
 from tidemark import storage
 from tidemark.config import JobConfig
 from tidemark.plans import jobs
+from tidemark.sources.byuser import read_by_user, write_by_user
 from tidemark.sources.tables import SCHEMAS, Dataset, load, read_back, read_table, write_table
 
 
@@ -195,3 +198,15 @@ def test_positions_of_no_rows(spark, tmp_path):
     path = str(tmp_path / "none")
     spark.range(0).selectExpr("id AS user_id", "date'2020-01-01' AS date", "'a' AS state", "1 AS workout_day", "1 AS gameplay_day").write.parquet(path)
     assert read_table(spark, "subscriptions", Dataset(path, format="parquet")).count() == 0
+
+
+def test_a_heavy_user_is_spread_over_files(spark, tmp_path):
+    rows = spark.range(4000).selectExpr("CASE WHEN id % 2 = 0 THEN 7 WHEN id % 9 = 0 THEN NULL ELSE id % 40 END AS user_id", "id AS rid")
+    path = write_by_user(rows, str(tmp_path / "t"), 5, ["user_id", "rid"], max_rows=300)
+    back = read_by_user(spark, path)
+    assert back.columns == ["user_id", "rid"]
+    assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
+    files = back.where("user_id = 7").groupBy(F.input_file_name()).count()
+    assert files.count() >= 7 and files.agg(F.max("count")).first()[0] <= 300
+    with pytest.raises(AnalysisException):
+        write_by_user(rows, path, 5)

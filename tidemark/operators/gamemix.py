@@ -7,10 +7,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tidemark.functions.columns import int_list
+from tidemark.operators.ranges import totals_before
+from tidemark.storage import fresh_path, materialize
 
 
 def single_plays(df: DataFrame) -> DataFrame:
@@ -88,3 +92,48 @@ def game_vectors(df: DataFrame) -> DataFrame:
     """
     entries = F.array_sort(F.collect_list(F.struct("game_id", "proportion")))
     return game_proportions(df).groupBy("user_id").agg(F.map_from_entries(entries).alias("proportions"))
+
+
+def game_index(df: DataFrame) -> DataFrame:
+    """game_id, index: the games of the table numbered from 0 in order, without gaps.
+
+    The catalogue may be of any size: games are numbered within ranges of it, plus the number
+    of games in the ranges before.
+    """
+    games = single_plays(df).select("game_id").where("game_id is not null").distinct()
+    numbered = totals_before(games.withColumn("one", F.lit(1).cast("bigint")), ["game_id"], {"index": "one"})
+    return materialize(numbered.select("game_id", F.col("index").cast("int")), "game-index")
+
+
+def sparse_vectors(df: DataFrame, index: DataFrame) -> DataFrame:
+    """user_id, features: a user's proportions as a sparse ML vector over the `game_index`.
+
+    For catalogues past the limit of a pivot. All vectors have the size of the index; plays of
+    games outside of it are an error. Written: vectors are a stored type, which the files carry
+    without a Python function. A user's vector has an entry per game of theirs.
+    """
+    size = index.agg((F.coalesce(F.max("index"), F.lit(-1)) + 1).alias("size"))
+    message = F.concat(F.lit("a game is not in the index: "), F.col("game_id").cast("string"))
+    known = F.coalesce("index", F.raise_error(message).cast("int"))
+    entries = game_proportions(df).join(index, "game_id", "left").select("user_id", known.alias("index"), "proportion")
+    listed = entries.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("index", "proportion"))).alias("entries"))
+    # One row: the size of the index.
+    vectors = listed.crossJoin(F.broadcast(size)).select(
+        "user_id",
+        F.struct(
+            F.lit(0).cast("tinyint").alias("type"),
+            F.col("size"),
+            F.col("entries.index").alias("indices"),
+            F.col("entries.proportion").alias("values"),
+        ).alias("features"),
+    )
+    path = fresh_path(df.sparkSession, "game-vectors")
+    vectors.write.parquet(path)
+    schema = StructType([vectors.schema["user_id"], StructField("features", VectorUDT())])
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
+def vector_entries(vectors: DataFrame) -> DataFrame:
+    """user_id, size, indices and values of sparse vectors, for those who need no ML type."""
+    parts = F.unwrap_udt("features")
+    return vectors.select("user_id", parts["size"].alias("size"), parts["indices"].alias("indices"), parts["values"].alias("values"))
