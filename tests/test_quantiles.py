@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from tidemark.operators import quantiles
 from tidemark.operators.quantiles import exact_medians, impute_median
 
 
@@ -82,3 +83,36 @@ def test_close_values_leave_a_bounded_last_window(spark):
 def test_nan_is_filled_like_null(spark):
     rows = spark.createDataFrame([(1.0,), (3.0,), (None,), (float("nan"),)], "v double")
     assert sorted(r["v"] for r in impute_median(rows, ["v"]).collect()) == [1.0, 2.0, 2.0, 3.0]
+
+
+@pytest.mark.parametrize("margins,scans", [((0.005, 0.05, 0.5), 1), ((1e-12, 0.5), 2)])
+@pytest.mark.parametrize("one_task", [0, 1_000_000])
+def test_two_scans_unless_a_bracket_is_widened(spark, monkeypatch, margins, scans, one_task):
+    """More distinct values than the sketch holds; brackets ordered by one task or in ranges."""
+    seen = []
+    second = quantiles._inside_brackets
+
+    def counted(df, brackets):
+        found = second(df, brackets)
+        seen.append({c: found.where(F.col("name") == c).count() for c in brackets})
+        return found
+
+    monkeypatch.setattr(quantiles, "_MARGINS", margins)
+    monkeypatch.setattr(quantiles, "_ONE_TASK", one_task)
+    monkeypatch.setattr(quantiles, "_inside_brackets", counted)
+    df = spark.range(60_000).select(
+        (F.pmod(F.xxhash64("id"), F.lit(10**9)) / 1000).alias("x"), F.exp(F.randn(3) * 5).alias("y"), F.lit(None).cast("double").alias("z")
+    ).repartition(6).persist()
+    row = exact_medians(df, ["x", "y", "z"]).first()
+    table = df.toPandas()
+    assert (row.x, row.y, row.z) == (np.median(table["x"]), np.median(table["y"]), None)
+    assert len(seen) == scans
+    if scans == 1:
+        assert max(seen[0].values()) < 0.03 * 60_000
+    df.unpersist()
+
+
+def test_infinite_values_have_a_place(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(-inf,), (-inf,), (1.0,), (2.0,), (inf,)], "x double")
+    assert exact_medians(df, ["x"]).first().x == 1.0
