@@ -210,3 +210,23 @@ def test_a_heavy_user_is_spread_over_files(spark, tmp_path):
     assert files.count() >= 7 and files.agg(F.max("count")).first()[0] <= 300
     with pytest.raises(AnalysisException):
         write_by_user(rows, path, 5)
+
+
+def test_scratch_tables_go_and_results_stay(spark):
+    kept = storage.fresh_path(spark, "kept")
+    with pytest.raises(ZeroDivisionError):
+        with storage.scratch(spark, "failed") as failed:
+            storage.materialize(spark.range(3), "x")
+            raise ZeroDivisionError
+    with storage.scratch(spark, "work") as work:
+        inner = storage.materialize(spark.range(5), "inner")
+        assert all(f.startswith(("file:", "/")) and work.split(":")[-1] in f for f in inner.inputFiles())
+        with storage.scratch(spark, "nested") as nested:
+            storage.materialize(spark.range(2), "y")
+            assert nested.startswith(work)
+        inner.write.parquet(kept)
+    assert spark.read.parquet(kept).count() == 5
+    for gone in (failed, work):
+        with pytest.raises(AnalysisException):
+            spark.read.parquet(gone)
+    assert not storage.fresh_path(spark, "after").startswith(work)

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,8 +37,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that no other call returns."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder (or the current `scratch`) that no other call returns."""
+    return f"{_scratch.get() or shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """Tables written inside are removed at the end.
+
+    For steps whose outcome is written too, to a path taken before: nothing that is read later may
+    depend on the tables of the scratch.
+    """
+    path = fresh_path(spark, label)
+    token = _scratch.set(path)
+    try:
+        yield path
+    finally:
+        _scratch.reset(token)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
