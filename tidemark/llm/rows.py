@@ -22,7 +22,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.llm.common import map_batches
 from tidemark.llm.warc import place
-from tidemark.storage import fresh_path, materialize
+from tidemark.storage import materialize
 
 #: Rows of one file whose kept numbers are one list; a task holds a few such lists.
 BLOCK = 1 << 20
@@ -54,13 +54,11 @@ def free_names(df: DataFrame, *wanted: str) -> tuple[str, ...]:
     return tuple(out)
 
 
-def write_places(places: DataFrame) -> str:
-    """Write (file, row) in one folder for each file and block of its rows; its path."""
-    path = fresh_path(places.sparkSession, "kept-rows")
+def write_places(places: DataFrame, path: str) -> None:
+    """Write (file, row) to `path`, in one folder for each file and block of its rows."""
     part = F.concat_ws("-", "file", F.floor(F.col("row") / BLOCK).cast("string"))
     listed = places.select("row", part.alias("part"))
     listed.repartition("part").write.partitionBy("part").parquet(path)
-    return path
 
 
 @lru_cache(maxsize=8)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import map_slices, raw_texts
 from tidemark.llm.components import component_roots
 from tidemark.llm.rows import free_names, keep_places, placed, write_places
-from tidemark.storage import materialize
+from tidemark.storage import fresh_path, materialize, scratch
 
 SEED = 42
 #: Low bit of each two-bit segment.
@@ -212,14 +212,17 @@ def drop_near_copies(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2)
     Only ids, fingerprints and places are shuffled. The texts are read a second time,
     and each task keeps the rows listed for its files.
     """
-    names = free_names(docs, "near_file", "near_row")
+    spark, names = docs.sparkSession, free_names(docs, "near_file", "near_row")
     numbered = placed(docs, names)
-    prints = materialize(fingerprints(numbered, shingle_words, ["doc_id", *names]), "fingerprints").select(
-        "doc_id", F.col(names[0]).alias("file"), F.col(names[1]).alias("row"), "fp"
-    )
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "file", "row"))
-    distinct = materialize(prints.groupBy("fp").agg(first.alias("first")), "distinct")
-    roots = component_roots(links(distinct.select("fp"), max_bits))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    stay = rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
-    return keep_places(numbered, names, write_places(stay.select("first.file", "first.row")))
+    kept = fresh_path(spark, "kept-rows")
+    with scratch(spark, "near-copies"):
+        prints = materialize(fingerprints(numbered, shingle_words, ["doc_id", *names]), "fingerprints").select(
+            "doc_id", F.col(names[0]).alias("file"), F.col(names[1]).alias("row"), "fp"
+        )
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "file", "row"))
+        distinct = materialize(prints.groupBy("fp").agg(first.alias("first")), "distinct")
+        roots = component_roots(links(distinct.select("fp"), max_bits))
+        rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+        stay = rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+        write_places(stay.select("first.file", "first.row"), kept)
+    return keep_places(numbered, names, kept)
