@@ -150,6 +150,19 @@ _FEATURES = ("workout_day", "gameplay_day", "prior_churn_count", *_SESSION_COLUM
 _MATRIX_ROWS = f"""WITH {MATRIX} SELECT user_id, churned, prior_churn_count, age, is_male,
   {_round('workout_day', 'gameplay_day', *_SESSION_COLUMNS, *_GV)} FROM m3"""
 
+_GAME_MATRIX = (f"WITH {PLAY}, {GAMES} SELECT user_id, "
+    + ", ".join(f"round(coalesce(max(CASE WHEN game_id = {g} THEN proportion END), 0.0), 6) AS game_{g}" for g in range(100))
+    + " FROM props GROUP BY user_id")
+
+_FUNNEL = f"""WITH {MATRIX}
+  SELECT 1 AS step, 'subs' AS side, count(DISTINCT user_id) AS users FROM subs_features
+  UNION ALL SELECT 1, 'sessions', count(DISTINCT user_id) FROM session_features
+  UNION ALL SELECT 2, 'matrix', count(DISTINCT user_id) FROM m1
+  UNION ALL SELECT 2, 'variety', count(DISTINCT user_id) FROM variety
+  UNION ALL SELECT 3, 'matrix', count(DISTINCT user_id) FROM m2
+  UNION ALL SELECT 3, 'demographics', count(DISTINCT user_id) FROM demo
+  UNION ALL SELECT 4, 'matrix', count(DISTINCT user_id) FROM m3"""
+
 # Hash rank of users within their label, as in the stratified split.
 SPLIT = f"""{SUBS},
 {CHURN},
@@ -242,20 +255,14 @@ def all_oracles() -> dict[str, str]:
         "game_counts": f"WITH {PLAY}, {GAMES} SELECT * FROM counts",
         "game_totals": f"WITH {PLAY}, {GAMES} SELECT user_id, max(total_plays) AS total_plays FROM props GROUP BY user_id",
         "game_proportions": f"WITH {PLAY}, {GAMES} SELECT user_id, game_id, plays, total_plays, {_round('proportion')} FROM props",
-        "game_matrix": f"WITH {PLAY}, {GAMES} SELECT user_id, "
-        + ", ".join(f"round(coalesce(max(CASE WHEN game_id = {g} THEN proportion END), 0.0), 6) AS game_{g}" for g in range(100))
-        + " FROM props GROUP BY user_id",
+        "game_matrix": _GAME_MATRIX,
+        "games_from_files": _GAME_MATRIX,
         "game_vectors": f"""WITH {PLAY}, {GAMES} SELECT user_id,
             string_agg(game_id || ':' || CAST(round(proportion * 1000000) AS bigint), ' ' ORDER BY game_id) AS millionths
             FROM props GROUP BY user_id""",
-        "join_funnel": f"""WITH {MATRIX}
-            SELECT 1 AS step, 'subs' AS side, count(DISTINCT user_id) AS users FROM subs_features
-            UNION ALL SELECT 1, 'sessions', count(DISTINCT user_id) FROM session_features
-            UNION ALL SELECT 2, 'matrix', count(DISTINCT user_id) FROM m1
-            UNION ALL SELECT 2, 'variety', count(DISTINCT user_id) FROM variety
-            UNION ALL SELECT 3, 'matrix', count(DISTINCT user_id) FROM m2
-            UNION ALL SELECT 3, 'demographics', count(DISTINCT user_id) FROM demo
-            UNION ALL SELECT 4, 'matrix', count(DISTINCT user_id) FROM m3""",
+        "join_funnel": _FUNNEL,
+        "matrix_job_funnel": _FUNNEL,
+        "matrix_job_rows": _MATRIX_ROWS,
         "data_matrix": _MATRIX_ROWS,
         "matrix_from_files": _MATRIX_ROWS,
         "assembled_matrix": f"""WITH {MATRIX} SELECT user_id, churned AS label, 17 AS n,

@@ -17,7 +17,7 @@ from tidemark.ml.metrics import best_model, binary_metrics, score_auc
 from tidemark.operators import gamemix, matrix, prep, sessions, subscriptions, variety
 from tidemark.operators.matrix import feature_columns
 from tidemark.operators.quantiles import impute_median
-from tidemark.plans.jobs import FeatureTables, matrix_job
+from tidemark.plans.jobs import FeatureTables, game_matrix_job, matrix_job
 from tidemark.sources import samples
 from tidemark.sources.byuser import read_by_user, write_by_user
 from tidemark.sources.tables import Dataset, read_back, read_table, write_table
@@ -304,6 +304,18 @@ def join_funnel(spark: SparkSession, folder: str) -> DataFrame:
     return features(spark, folder).funnel()
 
 
+@query
+def matrix_job_funnel(spark: SparkSession, folder: str) -> DataFrame:
+    """The funnel as the matrix job leaves it, without a pass of its own."""
+    return features(spark, folder).matrix_and_funnel()[1]
+
+
+@query
+def matrix_job_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The matrix from the same table of users as its funnel."""
+    return _rounded_matrix(features(spark, folder).matrix_and_funnel()[0])
+
+
 @query
 def data_matrix(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded_matrix(features(spark, folder).matrix())
@@ -408,6 +420,16 @@ def matrix_from_files(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded_matrix(matrix_job(spark, registry, config))
 
 
+@query
+def games_from_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The game matrix job from a comma-separated file of sessions, games all of the catalogue."""
+    path = fresh_path(spark, "sessions-csv")
+    samples.play_sessions(spark, folder).write.option("header", True).csv(path)
+    config = JobConfig(intermediates=fresh_path(spark, "intermediates"), intermediates_format="parquet")
+    wide = game_matrix_job(spark, {"sessions": Dataset(path, row_id="rid")}, GAMES, config)
+    return rounded(wide, *[f"game_{g}" for g in GAMES])
+
+
 # --- splits and metrics ---------------------------------------------------
 
 

@@ -1,14 +1,15 @@
 """The physical plans we count on at scale."""
 
 import re
+from dataclasses import fields
 
 import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from checks.queries import all_queries, user_totals
+from checks.queries import all_queries, features, user_totals
 from tests.conftest import SAMPLES
-from tidemark.operators import prep, sessions, subscriptions
+from tidemark.operators import matrix, prep, sessions, subscriptions
 from tidemark.sources import samples
 from tidemark.sources.byuser import read_by_user, write_by_user
 from tidemark.sources.tables import Dataset, read_table
@@ -78,3 +79,14 @@ def test_tables_by_user_need_no_exchange(spark, tmp_path):
     # Users of more than 20 rows are in several files of that size, all others in one.
     assert activity.count() == samples.subscriptions(spark, FOLDER).count()
     assert activity.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= 20
+
+
+def test_matrix_and_funnel_read_each_table_once(spark, tmp_path):
+    tables = features(spark, FOLDER)
+    written = {}
+    for field in fields(tables):
+        getattr(tables, field.name).write.parquet(str(tmp_path / field.name))
+        written[field.name] = spark.read.parquet(str(tmp_path / field.name))
+    users = matrix.user_table(**written)
+    assert plan(users).count("FileScan") == 4
+    assert shuffles(users) == 1

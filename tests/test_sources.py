@@ -1,4 +1,5 @@
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from tests.conftest import by_user, day
 from tidemark import storage
 from tidemark.config import JobConfig
-from tidemark.plans import jobs
+from tidemark.plans import jobs, restart
 from tidemark.sources.byuser import read_by_user, write_by_user
 from tidemark.sources.tables import SCHEMAS, Dataset, load, read_back, read_table, write_table
 
@@ -128,6 +129,82 @@ def test_matrix_from_csv_files(spark, tmp_path, registry, format):
         assert written == {"intermed_demograph", "intermed_gameid", "intermed_gamevar", "intermed_subs", "final_matrix"}
 
 
+@pytest.fixture
+def kept(tmp_path):
+    return JobConfig(intermediates=str(tmp_path / "kept"))
+
+
+def folders(tmp_path):
+    """{table: its data folders}"""
+    return {p.name: sorted(d.name for d in p.iterdir() if d.name.startswith("data-")) for p in (tmp_path / "kept").iterdir()}
+
+
+def test_a_killed_job_resumes(spark, tmp_path, registry, kept, monkeypatch):
+    written = []
+
+    def dies(df, path, format):
+        if len(written) == 2:
+            # Half a table, and then the end.
+            df.limit(1).write.parquet(path)
+            raise KeyboardInterrupt
+        written.append(path)
+        return write_table(df, path, format)
+
+    monkeypatch.setattr(restart, "write_table", dies)
+    with pytest.raises(KeyboardInterrupt):
+        jobs.matrix_job(spark, registry, kept)
+    before = folders(tmp_path)
+    assert sorted(map(len, before.values())) == [1, 1, 1]
+    monkeypatch.setattr(restart, "write_table", lambda *a: written.append(a[1]) or write_table(*a))
+    matrix = jobs.matrix_job(spark, registry, kept)
+    assert len(written) == 5 and sorted(r.user_id for r in matrix.collect()) == [1, 3]
+    whole = {p.split("/")[-2] for p in written[:2]}
+    after = folders(tmp_path)
+    assert all(after[t] == before[t] for t in whole) and len(after) == 5
+    assert jobs.matrix_job(spark, registry, kept).count() == 2 and len(written) == 5
+
+
+def test_other_options_or_input_are_built_anew(spark, tmp_path, registry, kept):
+    assert jobs.subscriptions_job(spark, registry, kept).where("user_id = 1").first().churned == 1
+    other = replace(kept, churn_threshold=500)
+    assert jobs.subscriptions_job(spark, registry, other).where("user_id = 1").first().churned == 0
+    assert len(folders(tmp_path)["intermed_subs"]) == 2
+    put(tmp_path, "subscriptions.csv", REGISTRY_TEXT["subscriptions"] + "9,2020-01-01,subs,1,2\n")
+    assert jobs.subscriptions_job(spark, registry, kept).count() == 4
+    assert len(folders(tmp_path)["intermed_subs"]) == 3
+    games = [jobs.game_matrix_job(spark, registry, g, kept).columns for g in ([1, 2, 3], None, [1, 2, 3, 4], [1, 2, 3])]
+    assert [len(g) for g in games] == [4, 4, 5, 4] and len(folders(tmp_path)["knn_matrix"]) == 3
+
+
+def test_forgotten_versions_go(spark, tmp_path, registry, kept):
+    jobs.variety_job(spark, registry, kept)
+    jobs.variety_job(spark, registry, replace(kept, null_policy="skip"))
+    folder = f"{kept.intermediates}/intermed_gamevar"
+    mark = restart.fingerprint(spark, "variety", kept, {"variety": registry["variety"]})
+    assert restart.forget(spark, folder, [mark]) == 2
+    assert restart.finished(spark, folder, mark) and jobs.variety_job(spark, registry, kept).count() == 3
+    assert restart.forget(spark, f"{folder}-none", []) == 0
+
+
+def test_two_writers_of_one_table(spark, tmp_path, registry, kept):
+    folder, schema = f"{kept.intermediates}/x", spark.range(1).schema
+    restart.publish(spark, folder, "m", "data-1", schema, "parquet")
+    restart.publish(spark, folder, "m", "data-2", schema, "parquet")
+    assert restart.finished(spark, folder, "m")[0].endswith("data-1")
+    assert not [p for p in (tmp_path / "kept" / "x").iterdir() if "writing" in p.name]
+
+
+def test_matrix_and_funnel_of_one_pass(spark, registry):
+    tables = jobs.all_features(spark, registry)
+    rows, funnel = tables.matrix_and_funnel()
+    assert rows.columns == tables.matrix().columns
+    assert sorted(rows.collect()) == sorted(tables.matrix().collect())
+    assert sorted(funnel.collect()) == sorted(tables.funnel().collect())
+    twice = replace(tables, demographics=tables.demographics.unionAll(tables.demographics))
+    with pytest.raises(Exception, match="more than one row"):
+        twice.matrix_and_funnel()
+
+
 def test_game_matrix_from_csv_files(spark, registry):
     wide = jobs.game_matrix_job(spark, registry, [1, 2, 3])
     assert by_user(wide, "game_1", "game_2", "game_3")[3] == (0.0, 0.0, 1.0)

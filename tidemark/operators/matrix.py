@@ -39,6 +39,31 @@ def once_per_user(df: DataFrame) -> DataFrame:
     return df.withColumn("_place", place).withColumn("user_id", unique).select(*names)
 
 
+_TABLES = ("subs", "sessions", "variety", "demographics")
+
+
+def _funnel_counts(users: DataFrame) -> DataFrame:
+    """step, side, users from one row per user with a flag for each table."""
+    subs, sess, var, demo = (F.col(n) for n in _TABLES)
+    stages = [
+        (1, "subs", subs),
+        (1, "sessions", sess),
+        (2, "matrix", subs & sess),
+        (2, "variety", var),
+        (3, "matrix", subs & sess & var),
+        (3, "demographics", demo),
+        (4, "matrix", subs & sess & var & demo),
+    ]
+    counts = users.agg(*[F.count_if(c).alias(f"c{i}") for i, (_, _, c) in enumerate(stages)])
+    rows = F.array(
+        *[
+            F.struct(F.lit(step).alias("step"), F.lit(side).alias("side"), F.col(f"c{i}").alias("users"))
+            for i, (step, side, _) in enumerate(stages)
+        ]
+    )
+    return counts.select(F.inline(rows))
+
+
 def join_funnel(
     subscriptions: DataFrame, sessions: DataFrame, variety: DataFrame, demographics: DataFrame
 ) -> DataFrame:
@@ -47,7 +72,7 @@ def join_funnel(
     One pass: users are tagged with the tables they occur in, so no join is
     repeated to count it. Columns: step, side, users.
     """
-    tables = {"subs": subscriptions, "sessions": sessions, "variety": variety, "demographics": demographics}
+    tables = dict(zip(_TABLES, (subscriptions, sessions, variety, demographics)))
     tagged = reduce(
         DataFrame.unionAll,
         [
@@ -60,24 +85,50 @@ def join_funnel(
         .groupBy("user_id")
         .agg(*[F.max(n).alias(n) for n in tables])
     )
-    subs, sess, var, demo = (F.col(n) for n in tables)
-    stages = [
-        (1, "subs", subs),
-        (1, "sessions", sess),
-        (2, "matrix", subs & sess),
-        (2, "variety", var),
-        (3, "matrix", subs & sess & var),
-        (3, "demographics", demo),
-        (4, "matrix", subs & sess & var & demo),
-    ]
-    counts = users.agg(*[F.count_if(c).alias(f"c{i}") for i, (_, _, c) in enumerate(stages)])
-    rows = F.array(
-        *[
-            F.struct(F.lit(step).alias("step"), F.lit(side).alias("side"), F.col(f"c{i}").alias("users"))
-            for i, (step, side, _) in enumerate(stages)
-        ]
+    return _funnel_counts(users)
+
+
+def user_table(
+    subscriptions: DataFrame, sessions: DataFrame, variety: DataFrame, demographics: DataFrame
+) -> DataFrame:
+    """One row per user of any table: a flag for each table, and all their columns.
+
+    The matrix is the rows with all flags, the funnel counts flags, so both come from one pass
+    over the four tables. Counters kept while the joins run would do the same, but count a task twice
+    that runs again after an executor is lost. A user listed twice in a table is an error.
+    """
+    tables = dict(zip(_TABLES, (subscriptions, sessions, variety, demographics)))
+    features = [(name, c) for name, t in tables.items() for c in t.columns if c != "user_id"]
+    tagged = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [
+            t.where(F.col("user_id").isNotNull()).select(
+                "user_id", F.lit(name).alias("_table"), *[F.col(c).alias(f"{name}.{c}") for c in t.columns if c != "user_id"]
+            )
+            for name, t in tables.items()
+        ],
     )
-    return counts.select(F.inline(rows))
+    rows = {n: F.count_if(F.col("_table") == n) for n in tables}
+    users = tagged.groupBy("user_id").agg(
+        *[n.alias(name) for name, n in rows.items()],
+        *[F.max(f"`{name}.{c}`").alias(f"{name}.{c}") for name, c in features],
+    )
+    message = F.concat(F.lit("a user has more than one row: "), F.col("user_id").cast("string"))
+    once = reduce(lambda a, b: a & b, [F.col(n) <= 1 for n in tables])
+    checked = F.when(once, F.col("user_id")).otherwise(F.raise_error(message).cast(users.schema["user_id"].dataType))
+    return users.withColumn("user_id", checked).withColumns({n: F.col(n) == 1 for n in tables})
+
+
+def matrix_of_users(users: DataFrame) -> DataFrame:
+    """`data_matrix` from the `user_table`."""
+    everywhere = reduce(lambda a, b: a & b, [F.col(n) for n in _TABLES])
+    features = [c for c in users.columns if "." in c]
+    return users.where(everywhere).select("user_id", *[F.col(f"`{c}`").alias(c.partition(".")[2]) for c in features])
+
+
+def funnel_of_users(users: DataFrame) -> DataFrame:
+    """`join_funnel` from the `user_table`."""
+    return _funnel_counts(users)
 
 
 def repeated_users(df: DataFrame) -> DataFrame:

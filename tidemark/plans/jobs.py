@@ -2,22 +2,24 @@
 
 Every job takes a registry (logical table -> Dataset) and a JobConfig. With a folder
 in ``config.intermediates`` each table is written there once and later steps read the
-files. Without one the jobs are lazy, except that subscription features write their
+files, as do later runs with the same options and input files. Without one the jobs are lazy, except that subscription features write their
 per-user table to the shared folder before they take medians of it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.config import JobConfig
 from tidemark.operators import gamemix, matrix, prep, sessions, subscriptions, variety
-from tidemark.sources.tables import Dataset, load, read_back, write_table
+from tidemark.plans import restart
+from tidemark.sources.tables import SCHEMAS, Dataset, load
 
 Registry = Mapping[str, Dataset]
+from tidemark.storage import materialize
 
 # Table names of the written intermediates.
 INTERMEDIATES = {
@@ -30,33 +32,54 @@ INTERMEDIATES = {
 }
 
 
-def keep_intermediate(df: DataFrame, table: str, config: JobConfig) -> DataFrame:
-    """Write the table and continue from the files, if the config asks for it."""
+def keep_intermediate(
+    spark: SparkSession,
+    registry: Registry,
+    table: str,
+    config: JobConfig,
+    build: Callable[[], DataFrame],
+    inputs: Sequence[str] | None = None,
+    chosen: Mapping[str, object] | None = None,
+) -> DataFrame:
+    """`build()`, or with a folder for intermediates the files of it, written unless a run before has done so.
+
+    `inputs` are the registered tables that it depends on, by default the one of its own name, and
+    `chosen` further options.
+    """
     if config.intermediates is None:
-        return df
-    path = f"{config.intermediates.rstrip('/')}/{INTERMEDIATES[table]}"
-    write_table(df, path, config.intermediates_format)
-    return read_back(df.sparkSession, path, df.schema, config.intermediates_format)
+        return build()
+    folder = f"{config.intermediates.rstrip('/')}/{INTERMEDIATES[table]}"
+    used = {name: registry[name] for name in inputs or [table] if name in registry}
+    mark = restart.fingerprint(spark, table, config, used, chosen)
+    return restart.keep(spark, folder, mark, build, config.intermediates_format)[0]
 
 
 def demographics_job(spark: SparkSession, registry: Registry, config: JobConfig = JobConfig()) -> DataFrame:
-    rows = load(spark, registry, "demographics", config.row_limit)
-    return keep_intermediate(prep.demographic_features(rows), "demographics", config)
+    def build() -> DataFrame:
+        return prep.demographic_features(load(spark, registry, "demographics", config.row_limit))
+
+    return keep_intermediate(spark, registry, "demographics", config, build)
 
 
 def sessions_job(spark: SparkSession, registry: Registry, config: JobConfig = JobConfig()) -> DataFrame:
-    rows = load(spark, registry, "sessions", config.row_limit)
-    return keep_intermediate(sessions.session_features(rows, config), "sessions", config)
+    def build() -> DataFrame:
+        return sessions.session_features(load(spark, registry, "sessions", config.row_limit), config)
+
+    return keep_intermediate(spark, registry, "sessions", config, build)
 
 
 def variety_job(spark: SparkSession, registry: Registry, config: JobConfig = JobConfig()) -> DataFrame:
-    rows = load(spark, registry, "variety", config.row_limit)
-    return keep_intermediate(variety.variety_features(rows, config), "variety", config)
+    def build() -> DataFrame:
+        return variety.variety_features(load(spark, registry, "variety", config.row_limit), config)
+
+    return keep_intermediate(spark, registry, "variety", config, build)
 
 
 def subscriptions_job(spark: SparkSession, registry: Registry, config: JobConfig = JobConfig()) -> DataFrame:
-    rows = load(spark, registry, "subscriptions", config.row_limit)
-    return keep_intermediate(subscriptions.subscription_features(rows, config), "subscriptions", config)
+    def build() -> DataFrame:
+        return subscriptions.subscription_features(load(spark, registry, "subscriptions", config.row_limit), config)
+
+    return keep_intermediate(spark, registry, "subscriptions", config, build)
 
 
 @dataclass(frozen=True)
@@ -74,6 +97,12 @@ class FeatureTables:
     def funnel(self) -> DataFrame:
         return matrix.join_funnel(self.subscriptions, self.sessions, self.variety, self.demographics)
 
+    def matrix_and_funnel(self) -> tuple[DataFrame, DataFrame]:
+        """Both from one written table of users, so that each of the four tables is computed once."""
+        users = matrix.user_table(self.subscriptions, self.sessions, self.variety, self.demographics)
+        users = materialize(users, "users")
+        return matrix.matrix_of_users(users), matrix.funnel_of_users(users)
+
 
 def all_features(spark: SparkSession, registry: Registry, config: JobConfig = JobConfig()) -> FeatureTables:
     return FeatureTables(
@@ -85,7 +114,10 @@ def all_features(spark: SparkSession, registry: Registry, config: JobConfig = Jo
 
 
 def matrix_job(spark: SparkSession, registry: Registry, config: JobConfig = JobConfig()) -> DataFrame:
-    return keep_intermediate(all_features(spark, registry, config).matrix(), "matrix", config)
+    def build() -> DataFrame:
+        return all_features(spark, registry, config).matrix()
+
+    return keep_intermediate(spark, registry, "matrix", config, build, list(SCHEMAS))
 
 
 def game_matrix_job(
@@ -95,5 +127,8 @@ def game_matrix_job(
     config: JobConfig = JobConfig(),
     values: Sequence[str] = ("proportion",),
 ) -> DataFrame:
-    rows = load(spark, registry, "sessions", config.row_limit)
-    return keep_intermediate(gamemix.game_matrix(rows, games, values), "game_matrix", config)
+    def build() -> DataFrame:
+        return gamemix.game_matrix(load(spark, registry, "sessions", config.row_limit), games, values)
+
+    chosen = {"games": None if games is None else list(games), "values": list(values)}
+    return keep_intermediate(spark, registry, "game_matrix", config, build, ["sessions"], chosen)

@@ -11,15 +11,13 @@ from __future__ import annotations
 
 import argparse
 import json
-from dataclasses import fields
 
 from pyspark.sql import SparkSession
 
 from tidemark.config import JobConfig
 from tidemark.ml import grid, search
-from tidemark.plans.jobs import FeatureTables, all_features, keep_intermediate
+from tidemark.plans.jobs import all_features, keep_intermediate
 from tidemark.sources.tables import SCHEMAS, Dataset
-from tidemark.storage import materialize
 
 # A trial run: one mid-grid setting per classifier.
 QUICK = {
@@ -48,13 +46,6 @@ def searches(kind: str) -> list[grid.Search]:
     ]
 
 
-def written_once(tables: FeatureTables, config: JobConfig) -> FeatureTables:
-    """The per-user tables as files, for the funnel and the matrix to share."""
-    if config.intermediates is not None:
-        return tables
-    return FeatureTables(**{f.name: materialize(getattr(tables, f.name), f.name) for f in fields(tables)})
-
-
 def run(
     spark: SparkSession,
     registry: dict[str, Dataset],
@@ -64,11 +55,9 @@ def run(
     parallelism: int = 2,
 ) -> search.Evaluation:
     """Features, funnel, matrix, search and scores; prints the reports."""
-    tables = written_once(all_features(spark, registry, config), config)
-    tables.funnel().orderBy("step").show()
-    matrix = keep_intermediate(tables.matrix(), "matrix", config)
-    if config.intermediates is None:
-        matrix = materialize(matrix, "matrix")
+    matrix, funnel = all_features(spark, registry, config).matrix_and_funnel()
+    funnel.orderBy("step").show()
+    matrix = keep_intermediate(spark, registry, "matrix", config, lambda rows=matrix: rows, list(SCHEMAS))
     outcome = search.train_and_evaluate(spark, matrix, chosen, metric, parallelism=parallelism)
     outcome.report.where("rank = 1").show(truncate=False)
     outcome.scores.show()
