@@ -284,6 +284,27 @@ def all_oracles() -> dict[str, str]:
             SELECT user_id, CAST(max(n) AS int) AS size, string_agg(CAST(i AS varchar), ' ' ORDER BY i) AS places,
               string_agg(CAST(CAST(round(proportion * 1000000) AS bigint) AS varchar), ' ' ORDER BY i) AS millionths
             FROM props JOIN ix USING (game_id) GROUP BY user_id""",
+        "good_rows": f"""WITH {SUBS} SELECT * FROM subs
+            WHERE rid % 17 <> 0 AND rid % 11 <> 0 AND rid % 13 <> 0 AND rid % 19 <> 0""",
+        "rejected_rows": f"""WITH {SUBS}, told AS (
+              SELECT rid, concat_ws('; ', CASE WHEN rid % 17 = 0 THEN 'user_id: missing' END,
+                CASE WHEN rid % 11 = 0 THEN 'date: not a date: soon' END,
+                CASE WHEN rid % 13 = 0 THEN 'workout_day: not a whole number: day ' || workout_day END,
+                CASE WHEN rid % 19 = 0 THEN 'gameplay_day: not a whole number: 2.5' END) AS reasons
+              FROM subs)
+            SELECT * FROM told WHERE reasons <> ''""",
+        "funnel_from_sketches": f"""WITH {SUBS},
+            a AS (SELECT DISTINCT user_id FROM subs WHERE date BETWEEN DATE '1995-01-01' AND DATE '2024-01-10'),
+            b AS (SELECT DISTINCT user_id FROM events WHERE CAST(ts AS date) BETWEEN DATE '1995-01-01' AND DATE '2024-01-10'),
+            d AS (SELECT DISTINCT c_custkey AS user_id FROM customer),
+            m AS (SELECT user_id FROM a INTERSECT SELECT user_id FROM b)
+            SELECT 1 AS step, 'subs' AS side, count(*) AS users FROM a
+            UNION ALL SELECT 1, 'sessions', count(*) FROM b
+            UNION ALL SELECT 2, 'matrix', count(*) FROM m
+            UNION ALL SELECT 2, 'variety', count(*) FROM b
+            UNION ALL SELECT 3, 'matrix', count(*) FROM m
+            UNION ALL SELECT 3, 'demographics', count(*) FROM d
+            UNION ALL SELECT 4, 'matrix', count(*) FROM (SELECT user_id FROM m INTERSECT SELECT user_id FROM d)""",
         "row_positions": f"""WITH {SUBS} SELECT user_id, rid AS order_id, row_number() OVER (ORDER BY rid) - 1 AS position
             FROM subs""",
         "tsv_texts": """SELECT doc_id, text, '  ' || lang || ' ' AS spaced, CASE WHEN doc_id % 3 = 0 THEN '' WHEN doc_id % 3 = 1

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -17,9 +18,11 @@ from tidemark.ml.metrics import best_model, binary_metrics, score_auc
 from tidemark.operators import gamemix, matrix, prep, sessions, subscriptions, variety
 from tidemark.operators.matrix import feature_columns
 from tidemark.operators.quantiles import impute_median
+from tidemark.operators.sketches import daily_sketches, sketched_funnel
 from tidemark.plans.jobs import FeatureTables, game_matrix_job, matrix_job
 from tidemark.sources import samples
 from tidemark.sources.byuser import read_by_user, write_by_user
+from tidemark.sources.checked import Checked, read_checked
 from tidemark.sources.tables import Dataset, read_back, read_table, write_table
 from tidemark.storage import fresh_path, materialize
 
@@ -420,6 +423,48 @@ def matrix_from_files(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded_matrix(matrix_job(spark, registry, config))
 
 
+def _with_defects(spark: SparkSession, folder: str) -> Checked:
+    """Activity rows as text, some without a user, with a day that is none, or with words for numbers."""
+    rows = samples.subscriptions(spark, folder)
+    rid = F.col("rid")
+    broken = rows.select(
+        F.when(rid % 17 != 0, F.col("user_id")).alias("user_id"),
+        F.when(rid % 11 == 0, "soon").otherwise(F.col("date").cast("string")).alias("date"),
+        "state",
+        F.when(rid % 13 == 0, F.concat(F.lit("day "), "workout_day")).otherwise(F.col("workout_day").cast("string")).alias("workout_day"),
+        F.when(rid % 19 == 0, "2.5").otherwise(F.concat("gameplay_day", F.lit(".0"))).alias("gameplay_day"),
+        "rid",
+    )
+    path = fresh_path(spark, "defects")
+    broken.write.option("header", True).csv(path)
+    return read_checked(spark, "subscriptions", Dataset(path, row_id="rid"))
+
+
+@query
+def good_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _with_defects(spark, folder).good
+
+
+@query
+def rejected_rows(spark: SparkSession, folder: str) -> DataFrame:
+    rejected = _with_defects(spark, folder).rejected
+    rid = F.get_json_object("raw", "$.rid").cast("bigint")
+    return rejected.select(rid.alias("rid"), F.array_join("reasons", "; ").alias("reasons"))
+
+
+@query
+def funnel_from_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """Users of the raw tables in a span of days, from a stored sketch per table and day."""
+    tables = [
+        daily_sketches(samples.subscriptions(spark, folder), "subs", "date"),
+        daily_sketches(samples.plays(spark, folder), "sessions", "at"),
+        daily_sketches(samples.event_values(spark, folder), "variety", "date"),
+        daily_sketches(samples.demographics(spark, folder), "demographics"),
+    ]
+    stored = materialize(reduce(DataFrame.unionAll, tables), "sketches")
+    return sketched_funnel(stored, "1995-01-01", "2024-01-10")
+
+
 @query
 def games_from_files(spark: SparkSession, folder: str) -> DataFrame:
     """The game matrix job from a comma-separated file of sessions, games all of the catalogue."""

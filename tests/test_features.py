@@ -1,12 +1,15 @@
 import datetime as dt
+from functools import reduce
 
 import pytest
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.linalg import SparseVector
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tests.conftest import by_user
 from tidemark.config import JobConfig
-from tidemark.operators import gamemix, matrix, prep, variety
+from tidemark.operators import gamemix, matrix, prep, sketches, variety
 
 GV = ("gv_max", "gv_avg", "gv_std_dev")
 
@@ -192,3 +195,29 @@ def test_game_index_in_many_ranges(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", 4)
     assert got == {3 * i: i for i in range(5000)}
+
+
+def test_sketched_funnel_is_within_its_bound(spark):
+    """Small sketches over days, against exact counts; and exact where they hold all users."""
+    ids = spark.range(30_000).selectExpr("id AS user_id", "date_add(date'2024-01-01', cast(id % 20 AS int)) AS day")
+    tables = {
+        "subs": ids.unionAll(ids.where("user_id % 5 = 0")),
+        "sessions": ids.where("user_id % 2 = 0"),
+        "variety": ids.where("user_id % 3 <> 0").unionByName(ids.limit(5).withColumn("user_id", F.lit(None).cast("bigint"))),
+        "demographics": ids.where("user_id < 20000"),
+    }
+    for lg_size, exact in ((10, False), (16, True)):
+        parts = [sketches.daily_sketches(t, n, None if n == "demographics" else "day", lg_size) for n, t in tables.items()]
+        stored = reduce(DataFrame.unionAll, parts).persist()
+        assert stored.count() == 20 + 10 + 20 + 1
+        for first, last in ((None, None), ("2024-01-03", "2024-01-12")):
+            spans = {n: t if n == "demographics" else t.where(f"day BETWEEN '{first or '2000-01-01'}' AND '{last or '2100-01-01'}'") for n, t in tables.items()}
+            want = {(r.step, r.side): r.users for r in matrix.join_funnel(*spans.values()).collect()}
+            got = {(r.step, r.side): r.users for r in sketches.sketched_funnel(stored, first, last, lg_size).collect()}
+            bound = 0 if exact else sketches.relative_error(lg_size) * 30_000
+            assert got.keys() == want.keys() and all(abs(got[k] - want[k]) <= bound for k in want)
+        stored.unpersist()
+    empty = sketches.sketched_funnel(sketches.daily_sketches(ids.limit(0), "subs", "day"))
+    assert [r.users for r in empty.collect()] == [0] * 7
+    with pytest.raises(ValueError):
+        sketches.daily_sketches(ids, "people")

@@ -10,6 +10,7 @@ from tidemark import storage
 from tidemark.config import JobConfig
 from tidemark.plans import jobs, restart
 from tidemark.sources.byuser import read_by_user, write_by_user
+from tidemark.sources.checked import read_checked, reason_counts
 from tidemark.sources.tables import SCHEMAS, Dataset, load, read_back, read_table, write_table
 
 
@@ -307,3 +308,59 @@ def test_scratch_tables_go_and_results_stay(spark):
         with pytest.raises(AnalysisException):
             spark.read.parquet(gone)
     assert not storage.fresh_path(spark, "after").startswith(work)
+
+
+def test_rejected_rows_have_their_reasons(spark, tmp_path):
+    text = (
+        "userId,date,lpi,hour,gameId,extra\n"
+        "1,2020-01-01,1.5,9,1,a\n"
+        "2,2020-01-02,NaN,\"9,10\",\"1,2\",b\n"
+        "3,2020-01-03\n"
+        "4,2020-13-01,x,9,1,c\n"
+        ",2020-01-04,2,9,1,d\n"
+        "5,2020-01-05,2,\"9,ten\",1,e\n"
+        "6,,2,9,1,f\n"
+        "7,2020-01-07,2,9,1,g,more\n"
+        "8.0,2020-01-08 10:00:00,,9,1,\n"
+    )
+    found = read_checked(spark, "sessions", Dataset(put(tmp_path, "s.csv", text)))
+    good = {r.user_id: tuple(r)[1:] for r in found.good.collect()}
+    assert found.good.columns == ["user_id", "date", "lpi", "hour", "gameId", "extra", "rid"]
+    assert good == {
+        1: (day("2020-01-01"), 1.5, "9", "1", "a", 0),
+        2: (day("2020-01-02"), None, "9,10", "1,2", "b", 1),
+        8: (day("2020-01-08"), None, "9", "1", None, 8),
+    }
+    rejected = {r["at"]: r.reasons for r in found.rejected.collect()}
+    fields = "the line has another number of fields than the header"
+    assert rejected == {
+        2: [fields],
+        3: ["date: not a date: 2020-13-01", "lpi: not a number: x"],
+        4: ["user_id: missing"],
+        5: ["hour: not a list of whole numbers: 9,ten"],
+        6: ["date: missing"],
+        7: [fields],
+    }
+    raw = {r["at"]: r.raw for r in found.rejected.collect()}
+    assert raw[2] == "3,2020-01-03" and '"lpi":"x"' in raw[3]
+    counts = {r.reason: r.rows for r in reason_counts(found.rejected).collect()}
+    assert counts == {fields: 2, "date: not a date": 1, "lpi: not a number": 1, "user_id: missing": 1,
+                      "hour: not a list of whole numbers": 1, "date: missing": 1}
+
+
+@pytest.mark.parametrize("table", ["demographics", "variety", "sessions", "subscriptions"])
+def test_checked_reads_good_files_as_ever(spark, registry, table):
+    found = read_checked(spark, table, registry[table])
+    assert found.rejected.count() == 0
+    plain = read_table(spark, table, registry[table])
+    assert found.good.columns == plain.columns and sorted(map(str, found.good.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_checked_typed_files(spark, tmp_path):
+    path = str(tmp_path / "v")
+    spark.sql("SELECT 1 AS userId, 3L AS weekOfYear, cast('NaN' AS double) AS lpi, 4 AS gameVariety UNION ALL SELECT NULL, 1, 1, 1").write.parquet(path)
+    found = read_checked(spark, "variety", Dataset(path, format="parquet"))
+    assert [tuple(r) for r in found.good.collect()] == [(1, 3, None, 4.0)]
+    assert [r.reasons for r in found.rejected.collect()] == [["user_id: missing"]]
+    with pytest.raises(ValueError, match="lacks columns"):
+        read_checked(spark, "sessions", Dataset(path, format="parquet"))

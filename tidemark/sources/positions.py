@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,13 +25,12 @@ def _metadata(name: str):
 def _placed(df: DataFrame, part: int) -> tuple[DataFrame, bool]:
     """Rows with their file, block and number there, and whether the number counts from the file's start."""
     whole = df.select("*", F.lit(part).alias("_part"), _metadata("file_path").alias("_file"))
-    try:
+    if "row_index" in df.select("_metadata").schema["_metadata"].dataType.fieldNames():
         # Columnar files number their rows.
         return whole.select("*", F.lit(0).cast("bigint").alias("_block"), _metadata("row_index").alias("_number")), True
-    except AnalysisException:
-        # Text files tell where a task's piece of them begins. Generated ids rise within a piece.
-        start = _metadata("file_block_start").alias("_block")
-        return whole.select("*", start, F.monotonically_increasing_id().alias("_number")), False
+    # Text files tell where a task's piece of them begins. Generated ids rise within a piece.
+    start = _metadata("file_block_start").alias("_block")
+    return whole.select("*", start, F.monotonically_increasing_id().alias("_number")), False
 
 
 def with_positions(parts: Sequence[DataFrame], column: str = "rid") -> DataFrame:
