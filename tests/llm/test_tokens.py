@@ -103,3 +103,25 @@ def test_odd_rows(odd_docs, make_docs):
     )
     none = make_docs([])
     assert tokencount.count_tokens(none, PIECE).count() == packing.pack(none, WORD).count() == 0
+
+
+def test_marks_after_capitals_equal_the_library():
+    """Marks that compose with a small letter and not with its capital, and random ones."""
+    from tokenizers import Tokenizer
+
+    rng = random.Random(8)
+    tool, encoder = Tokenizer.from_file(WORD), packing.WordEncoder(WORD)
+    marks = [chr(c) for c in range(0x300, 0x370)] + ["᷄", "⃗", "︠"]
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZÀßİıſKÅΣς"
+    rest = [" ", ".", ",", "'s", "-", "!", "7", "\n", "×", "ʾ", "가", "中", " the "]
+    texts = ["J̌", "T̈", "W̊", "Y̊", "H̱", "J̌. T̈, W̊!"]
+    for _ in range(20_000):
+        parts = []
+        for _ in range(rng.randrange(1, 8)):
+            parts += [rng.choice(letters), *rng.choices(marks, k=rng.choice((0, 0, 1, 2))), rng.choice(["", "", *rest])]
+        texts.append("".join(parts))
+    for start in range(0, len(texts), 500):
+        part = texts[start : start + 500]
+        found = encoder.encode([t.encode() for t in part], 2)
+        for own, whole in zip(found, tool.encode_batch(part, add_special_tokens=False), strict=True):
+            assert np.frombuffer(own, "<u2").tolist() == [*whole.ids, 2]

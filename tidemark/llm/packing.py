@@ -109,7 +109,9 @@ class WordEncoder:
         # Special strings are told by their case.
         if any(m in low for m in self.marks):
             return text.split()
-        if self.lowers:
+        # Some marks (lead bytes CC and CD) compose with small letters only, and the
+        # tokenizer composes before it lower-cases.
+        if self.lowers and not (b"\xcc" in text or b"\xcd" in text):
             text = low
         return pieces(text, self.parted) if self.parted == [b".", b","] else text.split()
 
