@@ -27,7 +27,7 @@ from tidemark.llm.common import map_slices, raw_texts
 from tidemark.storage import materialize
 
 #: Words looked up first, and all that a worker remembers, each in two generations.
-COMMON_WORDS, KNOWN_WORDS = 16_384, 350_000
+COMMON_WORDS, KNOWN_WORDS = 16_384, 200_000
 #: Longer words are not remembered.
 MAX_WORD_BYTES = 48
 SIGNS = string.punctuation.encode()
