@@ -115,6 +115,75 @@ def test_pairs_without_margins_are_learned():
     assert (machine.slot[:40] >= 0).all()
 
 
+@pytest.fixture(scope="module")
+def real_terms(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id % 3 = 0").orderBy("doc_id")
+    return [toxicity.term_buckets((r["text"] or "").encode()) for r in rows.select("doc_id", "text").collect()]
+
+
+def test_a_planted_pair_in_real_texts(real_terms):
+    """Both words are as common in either label, among 20,000 other buckets; only the pair tells."""
+    rng = np.random.default_rng(3)
+    labels = rng.integers(0, 2, len(real_terms))
+    sets = []
+    for own, label in zip(real_terms, labels, strict=True):
+        first, second = rng.random() < 0.5, rng.random() < 0.5
+        planted = ([7, 13] if first else []) if label else ([7] if second else [13])
+        sets.append(np.array(sorted(set(own.tolist()) - {7, 13} | set(planted)), np.int32))
+    assert len(np.unique(np.concatenate(sets))) > 20_000
+    apart = np.arange(len(sets)) % 5 == 0
+    learn = [s for s, a in zip(sets, apart, strict=True) if not a]
+    held = [s for s, a in zip(sets, apart, strict=True) if a]
+
+    def accuracy(**options):
+        machine = toxicity.fit(learn, labels[~apart], np.ones(len(learn)), **options)
+        return np.mean((machine.score(held) >= 0.5) == labels[apart]), machine
+
+    with_pairs, machine = accuracy()
+    without, _ = accuracy(pairs=False)
+    assert with_pairs > 0.95 and with_pairs - without > 0.3
+    # Only terms of pairs that stand out have vectors.
+    assert set(np.flatnonzero(np.abs(machine.vectors).sum(1)).tolist()) >= set(machine.slot[[7, 13]].tolist())
+
+
+def test_strong_pairs_equal_brute_force():
+    rng = np.random.default_rng(6)
+    places = [np.flatnonzero(rng.random(30) < 0.4) for _ in range(800)]
+    miss = np.array([0.5 if (3 in p) == (4 in p) else -0.5 for p in places]) * rng.random(800)
+    found, effects = toxicity.strong_pairs(places, miss, np.full(800, 0.25))
+    want = {}
+    holds = np.array([[i in p for p in places] for i in range(30)])
+    for i in range(30):
+        for j in range(i):
+            both = holds[i] & holds[j]
+            if both.sum() >= toxicity.PAIR_DOCS:
+                rest = miss[both] - miss[holds[i]].mean() - miss[holds[j]].mean() + miss.mean()
+                if abs(rest.sum()) > toxicity.PAIR_SIGMA * np.sqrt((rest**2).sum()):
+                    want[j, i] = np.clip(rest.sum() / (0.25 * both.sum() + 1), -4, 4)
+    got = {tuple(p): e for p, e in zip(found.tolist(), effects.tolist(), strict=True)}
+    assert (3, 4) in want and got == pytest.approx(want)
+    vectors = toxicity.starting_vectors(np.array([[3, 4]]), np.array([2.0]), 30, 8)
+    assert vectors[3] @ vectors[4] == pytest.approx(2.0, abs=1e-5)
+    opposed = toxicity.starting_vectors(np.array([[0, 1], [1, 2]]), np.array([1.5, -1.0]), 30, 8)
+    assert (opposed[0] @ opposed[1], opposed[1] @ opposed[2]) == pytest.approx((1.5, -1.0), abs=1e-5)
+    none, _ = toxicity.strong_pairs([np.arange(3)] * 5, np.zeros(5), np.ones(5))
+    assert none.shape == (0, 2)
+
+
+def test_settings_are_chosen_within_the_learning_rows(real_terms, monkeypatch):
+    rng = np.random.default_rng(4)
+    labels = rng.integers(0, 2, 600)
+    seen = []
+    whole = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda sets, *a, **k: seen.append((len(sets), k)) or whole(sets, *a, **k, steps=20))
+    toxicity.fit_chosen(real_terms[:600], labels, np.ones(600))
+    assert [k.get("pairs") for _, k in seen[:4]] == [False, False, False, True]
+    assert {n for n, _ in seen[:4]} == {seen[0][0]} and 400 < seen[0][0] < 600 and seen[4][0] == 600
+    seen.clear()
+    toxicity.fit_chosen(real_terms[:12], labels[:12], np.ones(12))
+    assert seen == [(12, {})]
+
+
 def test_toxic_words_are_learned(spark, make_docs):
     rows = [(i, f"some plain words {i % 7} " + ("you idiot moron" if i % 4 == 0 else "of course"), "en") for i in range(400)]
     labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(0, 400, 2)] + [(3, None)], "doc_id long, toxic int")
