@@ -54,6 +54,74 @@ def test_context_finds_what_stands_like_the_seeds(make_docs):
     assert all(rows[i]["spans"] == rows[i]["base"] != [] for i in range(20))
 
 
+def brute_trusted(edges, rounds, min_support, min_confidence, min_patterns):
+    """The rounds of the graph, pattern by pattern and instance by instance."""
+    score = {i: float(seed or shaped) for _, i, _, seed, shaped in edges}
+    mean: dict = {}
+    for _ in range(rounds):
+        confidence = {}
+        for p in {e[0] for e in edges}:
+            own = [(w, score[i]) for q, i, w, _, _ in edges if q == p]
+            if sum(x >= min_confidence for _, x in own) >= min_support:
+                confidence[p] = sum(w * x for w, x in own) / (sum(w for w, _ in own) + 1)
+        mean = {}
+        for i in score:
+            own = [(w, confidence[p]) for p, j, w, _, _ in edges if j == i and p in confidence]
+            if len(own) >= min_patterns:
+                mean[i] = sum(w * c for w, c in own) / sum(w for w, _ in own)
+        score = {i: 1.0 if any(j == i and (s or h) for _, j, _, s, h in edges) else mean.get(i, 0.0) for i in score}
+    return {i for i, m in mean.items() if m >= min_confidence and not any(j == i and s for _, j, _, s, _ in edges)}
+
+
+@pytest.mark.parametrize("rounds,support,confidence,kinds", [(1, 2, 0.5, 1), (3, 3, 0.4, 2), (4, 1, 0.3, 2)])
+def test_trusted_instances_equal_brute_force(spark, rounds, support, confidence, kinds):
+    rng = random.Random(rounds)
+    nature = {f"i{n}": rng.choice([(True, False), (False, True), (False, False), (False, False)]) for n in range(40)}
+    pairs = {(f"p{rng.randrange(12)}", f"i{rng.randrange(40)}") for _ in range(140)}
+    edges = [(p, i, rng.randrange(1, 4), *nature[i]) for p, i in sorted(pairs)]
+    df = spark.createDataFrame(edges, "pattern string, instance string, weight int, seed boolean, shaped boolean")
+    got = {r["instance"] for r in personal.trusted_instances(df, rounds, support, confidence, kinds).collect()}
+    want = brute_trusted(edges, rounds, support, confidence, kinds)
+    assert got == want and want
+
+
+def test_what_one_round_finds_seeds_the_next(make_docs):
+    """Tokens known from beside e-mail addresses make the context of others trusted."""
+    rows = [(i, f"write to agent{i}@example.com now please", "en") for i in range(20)]
+    rows += [(100 + i, f"write to AKQX{i}77ZZ now please", "en") for i in range(6)]
+    rows += [(200 + i, f"my badge number AKQX{i}77ZZ is here", "en") for i in range(6)]
+    rows += [(300, "my badge number ZZTOP99 is here", "en"), (301, "some other thing ZZTOP98 of it", "en")]
+    found = {r["doc_id"]: r["spans"] for r in personal.personal_data(make_docs(rows)).collect()}
+    assert found[300] and not found[301]
+    once = personal.materialize(personal.read_rows(make_docs(rows), ["doc_id"]), "sights")
+    first = {r["doc_id"] for r in once.join(personal.found_spans(once, rounds=1), "_row").collect()}
+    assert 300 not in first and {100, 200} <= first
+
+
+def test_secrets_in_a_constant_context(make_docs):
+    """No base format ever stands there; shape alone is no span, nor is a number that the formats refuse."""
+    rng = random.Random(4)
+    rows = [(i, f'some words token = "{rng.getrandbits(160):040x}" and more', "en") for i in range(30)]
+    rows += [(100, 'some words token = "Zx81-kk4-Lm99" and more', "en"), (101, f"commit {rng.getrandbits(160):040x} done", "en")]
+    rows += [(102, 'some words token = "4041894974608796" and more', "en")]
+    found = {r["doc_id"]: r["spans"] for r in personal.personal_data(make_docs(rows)).collect()}
+    assert all(found[i] for i in range(30)) and found[100]
+    assert not found[101] and not found[102]
+
+
+def test_secrets_of_the_samples(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows = personal.personal_data(docs).join(docs.select("doc_id", "text"), "doc_id").collect()
+    planted, caught, other = 0, 0, 0
+    for r in rows:
+        spans = {(s["start"], s["end"]) for s in r["spans"]}
+        own = {m.span(1) for m in re.finditer(r'token = "([0-9a-f]+)"', r["text"] or "")}
+        planted += len(own)
+        caught += len(own & spans)
+        other += sum(s["kind"] == len(personal.KINDS) and (s["start"], s["end"]) not in own for s in r["spans"])
+    assert planted > 100 and caught >= 0.9 * planted and other <= 0.1 * planted
+
+
 def test_masking(make_docs):
     docs = make_docs([(i, f"write to agent{i}@example.com now please", "en") for i in range(20)] + [(50, "plain", "en")])
     rows = {r["doc_id"]: r for r in personal.mask(docs).collect()}

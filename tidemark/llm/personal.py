@@ -1,10 +1,11 @@
 """Personal data: fixed formats, and identifiers that stand where those stand.
 
-Base spans follow four fixed formats. Their surroundings (the one or two items before,
-the item after) are lexical patterns, and tokens of other formats that look like
-identifiers have such surroundings too. A graph of patterns and instances is scored in
-rounds: a pattern is as good as its instances, an instance as its patterns, seeds stay
-at one. Tokens that trusted patterns vouch for become further spans.
+Base spans follow four fixed formats, and some tokens have the shape of a secret; both are
+seeds. Their surroundings (the one or two items before, the item after) are lexical patterns, and
+tokens of other formats that look like identifiers have such surroundings too. A graph of patterns and
+instances is scored in rounds: a pattern is as good as its instances, an instance as its
+patterns, seeds stay at one. Tokens that trusted patterns vouch for become further spans, those
+of a secret's shape among them: shape alone is not enough.
 """
 
 from __future__ import annotations
@@ -37,13 +38,20 @@ _NOT_DIGIT = re.compile(r"[^0-9]")
 _TOKEN = re.compile(r"[A-Za-z0-9_-]{6,}")
 _TOKEN_CHAR = re.compile(r"[A-Za-z0-9_-]")
 _DIGIT = re.compile(r"[0-9]")
+_LETTER = re.compile(r"[A-Za-z]")
 MIN_DIGITS = 2
+#: Shapes of secrets. Long hexadecimal runs, and the prefixes that issuers of keys give them.
+SECRET = re.compile(
+    r"(?=[^a-fA-F]*[a-fA-F])(?:[0-9a-f]{32,}|[0-9A-F]{32,})|(?:AKIA|ASIA)[A-Z0-9]{16}|gh[opusr]_[A-Za-z0-9]{36,}"
+    r"|github_pat_[A-Za-z0-9_]{36,}|glpat-[A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}|[sr]k_(?:live|test)_[A-Za-z0-9]{16,}"
+    r"|AIza[A-Za-z0-9_-]{35}|SG_[A-Za-z0-9_-]{20,}"
+)
 _ITEM = re.compile(r"\w+|[^\w\s]")
 #: Characters looked at on either side of an instance.
 CONTEXT_CHARS = 40
 
 SPANS = "array<struct<start:bigint,kind:int,end:bigint>>"
-SIGHTS = "array<struct<start:bigint,end:bigint,instance:string,seed:boolean,patterns:array<string>>>"
+SIGHTS = "array<struct<start:bigint,end:bigint,instance:string,seed:boolean,shaped:boolean,patterns:array<string>>>"
 
 
 def _luhn(digits: str) -> bool:
@@ -102,7 +110,10 @@ def patterns(text: str, start: int, end: int) -> list[str]:
 def sights(
     text: str, base: list[tuple[int, int, int]], regions: list[re.Match]
 ) -> list[dict[str, object]]:
-    """Seeds and identifier-like tokens of a text, with their patterns."""
+    """Seeds and identifier-like tokens of a text, with their patterns.
+
+    Tokens without a letter are none: the formats have looked at all digits.
+    """
     places = [(s, e, True) for s, _, e in base]
     last, i, top = 0, 0, -1
     for region in regions:
@@ -115,7 +126,7 @@ def sights(
         if not token:
             continue
         last = token.end()
-        if len(token[0]) - len(_DIGIT.sub("", token[0])) < MIN_DIGITS:
+        if len(token[0]) - len(_DIGIT.sub("", token[0])) < MIN_DIGITS or not _LETTER.search(token[0]):
             continue
         while i < len(base) and base[i][0] < last:
             top = max(top, base[i][2])
@@ -125,7 +136,7 @@ def sights(
     return [
         {
             "start": s, "end": e, "instance": hashlib.sha1(text[s:e].encode()).hexdigest(), "seed": seed,
-            "patterns": patterns(text, s, e),
+            "shaped": not seed and SECRET.fullmatch(text, s, e) is not None, "patterns": patterns(text, s, e),
         }
         for s, e, seed in places
     ]
@@ -161,18 +172,19 @@ def read_rows(docs: DataFrame, keep: list[str]) -> DataFrame:
 def trusted_instances(
     edges: DataFrame, rounds: int, min_support: int, min_confidence: float, min_patterns: int
 ) -> DataFrame:
-    """Instances (no seeds) that trusted patterns vouch for.
+    """Instances that trusted patterns vouch for, base spans left out.
 
-    `edges` has a row per (pattern, instance) with their common sights `weight` and
-    whether the instance is a `seed`. Each round, a pattern's confidence is the mean score
+    `edges` has a row per (pattern, instance) with their common sights `weight`, whether the
+    instance is a `seed` of a base format, and whether it is `shaped` like a secret, which makes it a seed
+    too, but one that patterns have yet to vouch for. Each round, a pattern's confidence is the mean score
     of its sights with one failure added, and it needs `min_support` different instances
     that score `min_confidence`; an instance's score is the mean confidence of its
     supported patterns, of which it needs `min_patterns`. So what one round finds supports
     the patterns of the next.
     """
     edges = materialize(edges, "edges")
-    seeded = F.col("seed").cast("double")
-    scored = edges.withColumn("score", seeded)
+    known = F.col("seed") | F.col("shaped")
+    scored = edges.withColumn("score", known.cast("double"))
     good = F.col("score") >= min_confidence
     for _ in range(rounds):
         confidence = (
@@ -191,9 +203,9 @@ def trusted_instances(
             "scores",
         )
         scored = edges.join(judged, "instance", "left").withColumn(
-            "score", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("mean", F.lit(0.0)))
+            "score", F.when(known, 1.0).otherwise(F.coalesce("mean", F.lit(0.0)))
         )
-    return scored.where(~F.col("seed") & good).select("instance").distinct()
+    return scored.where(~F.col("seed") & (F.col("mean") >= min_confidence)).select("instance").distinct()
 
 
 def found_spans(
@@ -202,9 +214,9 @@ def found_spans(
     """(_row, _found): the further spans of rows that have any."""
     seen = rows.select("_row", F.explode("_sights").alias("s")).select("_row", "s.*")
     edges = (
-        seen.select("instance", "seed", F.explode("patterns").alias("pattern"))
+        seen.select("instance", "seed", "shaped", F.explode("patterns").alias("pattern"))
         .groupBy("pattern", "instance")
-        .agg(F.count("*").alias("weight"), F.max("seed").alias("seed"))
+        .agg(F.count("*").alias("weight"), F.max("seed").alias("seed"), F.max("shaped").alias("shaped"))
     )
     # A text seen as a seed somewhere is one everywhere.
     seeds = edges.groupBy("instance").agg(F.max("seed").alias("seed"))
