@@ -57,3 +57,49 @@ def test_odd_rows(odd_docs, make_docs):
 def test_no_python_in_the_plan(make_docs):
     plan = quality.features(make_docs([(1, "a", "en")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_labelled_rows_of_the_samples(spark):
+    """Most rows labelled bad go, nearly all good ones that the base rule keeps stay."""
+    folder = "/root/testdata/sf0.1"
+    judged = quality.judge(spark.read.parquet(f"{folder}/documents.parquet"))
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")
+    rows = judged.join(labels, "doc_id").groupBy("quality").agg(
+        F.count("*").alias("n"), F.count_if("kept").alias("kept"), F.count_if("base_failed").alias("failed")
+    )
+    found = {r["quality"]: r for r in rows.collect()}
+    assert found[0]["kept"] <= 0.1 * found[0]["n"]
+    assert found[1]["n"] - found[1]["failed"] - found[1]["kept"] <= 0.02 * found[1]["n"]
+
+
+def test_a_document_has_no_part_in_its_reference(spark, make_docs, monkeypatch):
+    """A language of one document is compared with all others, not with itself."""
+    monkeypatch.setattr(quality, "MIN_REFERENCE", 50)
+    prose = [(i, "the house of the river and the stone " * 3 + f"w{i}", "en") for i in range(20)]
+    alone = (100, "ZZ 11 !! ## ZZ 22 ?? ** " * 30, "xx")
+    rows = quality.distances(quality.materialize(quality.features(make_docs([*prose, alone])), "features"))
+    far = {r["doc_id"]: r for r in rows.collect()}
+    assert far[100]["char_distance"] > 0.5 and far[3]["char_distance"] < 0.1
+    whole = quality.references(quality.features(make_docs(prose))).first()
+    own = quality.features(make_docs(prose[:1])).first()
+    assert [a - b for a, b in zip(whole["chars_ref"], own["chars"])] != whole["chars_ref"]
+
+
+def test_limits_of_small_languages_are_pooled(spark, monkeypatch):
+    monkeypatch.setattr(quality, "MIN_JUDGED", 100)
+    rows = [("en", i / 1000, True, 0.1, True) for i in range(100, 300)] + [("fr", 0.9, True, 0.5, False)]
+    rows += [("de", 0.2, False, 0.2, False)]
+    names = "lang string, char_distance double, char_judged boolean, word_distance double, word_judged boolean"
+    got = {r["lang"]: (r["char_limit"], r["word_limit"]) for r in quality.limits(spark.createDataFrame(rows, names)).collect()}
+    # Median 0.199 and upper quartile 0.249, by steps of 0.001.
+    assert got["en"] == pytest.approx((0.199 + 25 * 0.050 + 0.001, 0.1 + 4 * 0.025 + 0.001), abs=2e-3)
+    assert got["fr"][0] == got["de"][0] == pytest.approx(0.2 + 25 * 0.05 + 0.001, abs=0.03)
+    assert quality.limits(spark.createDataFrame([], names)).count() == 0
+
+
+def test_rows_do_not_shuffle_by_language(spark, make_docs):
+    docs = make_docs([(i, "the house of the river " * 20, "en") for i in range(50)])
+    features = quality.materialize(quality.features(docs), "features")
+    text = quality.distances(features)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+    assert "Python" not in text and "Arrow" not in text

@@ -77,7 +77,9 @@ FROM page JOIN first USING (h) JOIN named USING (h)
 """
 
 
-def quality_rules(common: list[str], max_char: float, max_word: float, min_chars: int, min_words: int) -> str:
+def quality_rules(
+    common: list[str], least: dict[str, int], spreads: dict[str, int], least_spreads: dict[str, int], min_judged: int, min_words: int
+) -> str:
     listed = ", ".join(f"'{w}'" for w in common)
     kept = {
         "symbol": "[^#*$%&|<>]+",
@@ -94,12 +96,24 @@ def quality_rules(common: list[str], max_char: float, max_word: float, min_chars
         both = part.format("p", "q") + " + " + part.format("q", "p")
         return f"""
           SELECT doc_id, sqrt(greatest(sum({both}) / 2, 0)) AS distance FROM (
-            SELECT d.doc_id, d.n / greatest(d.total, 1) AS p, r.n / greatest(r.total, 1) AS q
-            FROM (SELECT *, sum(n) OVER (PARTITION BY doc_id) AS total FROM {histogram}) AS d
-            JOIN (SELECT *, sum(n) OVER (PARTITION BY lang) AS total FROM {histogram}_ref) AS r USING (lang, class)
+            SELECT doc_id, n / greatest(sum(n) OVER d, 1) AS p, rest / greatest(sum(rest) OVER d, 1) AS q
+            FROM {histogram}_rest WINDOW d AS (PARTITION BY doc_id)
           ) GROUP BY doc_id
         """
 
+    def limit(half: str, key: str) -> str:
+        return f"""
+          SELECT {key} any_value(total) AS total, (min(bin) FILTER (WHERE below * 2 >= total) + {spreads[half]} * greatest(
+            min(bin) FILTER (WHERE below * 4 >= 3 * total) - min(bin) FILTER (WHERE below * 2 >= total), {least_spreads[half]}) + 1)
+            * 0.001 AS cap
+          FROM (
+            SELECT {key} bin, sum(count(*)) OVER (PARTITION BY {key or '1,'} 1 ORDER BY bin) AS below,
+              sum(count(*)) OVER (PARTITION BY {key or '1,'} 1) AS total
+            FROM (SELECT lang, CAST(floor({half}_distance / 0.001) AS bigint) AS bin FROM far WHERE {half}_judged)
+            GROUP BY {key} bin
+          ) {"GROUP BY lang" if key else ""}
+        """
+
     return f"""
 WITH doc AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS t FROM documents),
 cut AS (
@@ -131,31 +145,53 @@ chars AS (
   ) ON lower, upper, digit, plain, symbol, space, beyond INTO NAME class VALUE n
 ),
 chars_ref AS (SELECT lang, class, sum(n) AS n FROM chars GROUP BY 1, 2),
+chars_all AS (SELECT class, sum(n) AS n FROM chars GROUP BY 1),
+sizes AS (
+  SELECT doc_id, sum(n_words) OVER (PARTITION BY lang) - n_words < {min_words} AS few FROM base
+),
+chars_rest AS (
+  SELECT doc_id, c.n, CASE WHEN few THEN a.n ELSE r.n END - c.n AS rest
+  FROM chars c JOIN sizes USING (doc_id) JOIN chars_ref r USING (lang, class) JOIN chars_all a USING (class)
+),
 listed AS (
   SELECT doc_id, lang, class, CAST(len(list_filter(known, lambda x: x = class)) AS BIGINT) AS n
   FROM base, (SELECT unnest([{listed}]) AS class)
 ),
-known AS (SELECT doc_id, sum(n) AS k FROM listed GROUP BY 1),
-words AS (
-  SELECT * FROM listed UNION ALL
-  SELECT doc_id, lang, '', greatest(n_words - k, 0) FROM base JOIN known USING (doc_id)
+listed_ref AS (SELECT lang, class, sum(n) AS n FROM listed GROUP BY 1, 2),
+listed_all AS (SELECT class, sum(n) AS n FROM listed GROUP BY 1),
+listed_rest AS (
+  SELECT doc_id, c.n, CASE WHEN few THEN a.n ELSE r.n END - c.n AS rest
+  FROM listed c JOIN sizes USING (doc_id) JOIN listed_ref r USING (lang, class) JOIN listed_all a USING (class)
+),
+words_of AS (
+  SELECT doc_id, n_words, CASE WHEN few THEN sum(n_words) OVER () ELSE sum(n_words) OVER (PARTITION BY lang) END - n_words AS others
+  FROM base JOIN sizes USING (doc_id)
 ),
-words_ref AS (
-  SELECT lang, class, sum(n) AS n FROM listed GROUP BY 1, 2 UNION ALL
-  SELECT lang, '', greatest(sum(n_words) - sum(k), 0) FROM base JOIN known USING (doc_id) GROUP BY 1
+words_rest AS (
+  SELECT doc_id, n, rest FROM listed_rest UNION ALL
+  SELECT doc_id, greatest(any_value(n_words) - sum(n), 0), greatest(any_value(others) - sum(rest), 0)
+  FROM words_of JOIN listed_rest USING (doc_id) GROUP BY doc_id
 ),
 char_far AS ({distance("chars")}),
 word_far AS ({distance("words")}),
-judged AS (
-  SELECT base.*, char_far.distance AS c, word_far.distance AS d,
+far AS (
+  SELECT base.*, char_far.distance AS char_distance, word_far.distance AS word_distance,
+    n_chars >= {least["char"]} AS char_judged, n_words >= {least["word"]} AS word_judged,
     n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
   FROM base JOIN char_far USING (doc_id) JOIN word_far USING (doc_id)
-)
+),
+char_own AS ({limit("char", "lang,")}),
+word_own AS ({limit("word", "lang,")}),
+char_pool AS ({limit("char", "")}),
+word_pool AS ({limit("word", "")})
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND NOT (n_chars >= {min_chars} AND c > {max_char}) AND NOT (n_words >= {min_words} AND d > {max_word})
-    AS kept,
-  round(c, 6) AS char_distance, round(d, 6) AS word_distance
-FROM judged
+  NOT base_failed
+    AND NOT (char_judged AND char_distance > coalesce(char_own.cap, char_pool.cap, 1.0))
+    AND NOT (word_judged AND word_distance > coalesce(word_own.cap, word_pool.cap, 1.0)) AS kept,
+  round(char_distance, 6) AS char_distance, round(word_distance, 6) AS word_distance
+FROM far LEFT JOIN char_own ON far.lang = char_own.lang AND char_own.total >= {min_judged}
+  LEFT JOIN word_own ON far.lang = word_own.lang AND word_own.total >= {min_judged}
+  LEFT JOIN char_pool ON true LEFT JOIN word_pool ON true
 """
 
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.storage import materialize
@@ -31,8 +31,15 @@ COMMON_WORDS = (
 WINDOW = 5
 #: A document is judged by its characters from so many on, by its words from so many on.
 MIN_CHARS, MIN_WORDS = 500, 80
-#: Jensen-Shannon distances (base 2) that a document may have from its language.
-MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.25, 0.5
+#: Jensen-Shannon distances (base 2) are counted in steps. A limit lies so many spreads above the median, a
+#: spread being the way to the upper quartile, of so many steps at least.
+BIN = 0.001
+SPREADS = {"char": 25, "word": 4}
+LEAST_SPREADS = {"char": 4, "word": 25}
+#: Judged documents and words that a language needs for limits and a reference of its own.
+MIN_JUDGED, MIN_REFERENCE = 200, 10_000
+#: Languages up to so many are broadcast.
+MAX_BROADCAST = 1000
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -110,11 +117,63 @@ CLASSES = 7
 
 
 def references(rows: DataFrame) -> DataFrame:
-    """Both histograms of each language, summed over all its documents."""
-    def total(name: str, size: int) -> Column:
-        return F.array(*[F.sum(F.col(name)[i]) for i in range(size)]).alias(f"{name}_ref")
+    """Both histograms of each language, and of all languages, summed over all documents: a row per language."""
+    sizes = {"chars": CLASSES, "common": len(COMMON_WORDS) + 1}
 
-    return rows.groupBy("lang").agg(total("chars", CLASSES), total("common", len(COMMON_WORDS) + 1))
+    def totals(suffix: str, source: str) -> list[Column]:
+        return [F.array(*[F.sum(F.col(f"{n}{source}")[i]) for i in range(k)]).alias(f"{n}{suffix}") for n, k in sizes.items()]
+
+    own = materialize(rows.groupBy("lang").agg(*totals("_ref", "")), "references")
+    return own.crossJoin(F.broadcast(own.agg(*totals("_all", "_ref"))))
+
+
+def with_languages(rows: DataFrame, languages: DataFrame) -> DataFrame:
+    """`rows` with the columns of their language.
+
+    Few languages are broadcast, after they are counted, so that rows of a common one need not meet in one task.
+    """
+    few = languages.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST
+    return rows.join(F.broadcast(languages) if few else languages, "lang")
+
+
+def limits(far: DataFrame) -> DataFrame:
+    """lang, char_limit, word_limit: the distances that a document of a language may have.
+
+    A limit is the median of the distances of all documents that are long enough to be judged, and so many
+    times the way from there to the upper quartile (LEAST_SPREADS at least). Quantiles are read from counts per BIN,
+    so that no distances are ordered. Languages of fewer than MIN_JUDGED documents take the limits of all languages.
+    """
+    halves = F.array(
+        *[
+            F.struct(F.lit(h).alias("half"), F.when(F.col(f"{h}_judged"), F.floor(F.col(f"{h}_distance") / BIN)).alias("bin"))
+            for h in ("char", "word")
+        ]
+    )
+    counts = far.select("lang", F.inline(halves)).where("bin is not null").groupBy("lang", "half", "bin").agg(F.count("*").alias("n"))
+    counts = materialize(counts, "distance-counts")
+    whole = counts.groupBy("half", "bin").agg(F.sum("n").alias("n"))
+
+    def quantiles(table: DataFrame, key: list[str]) -> DataFrame:
+        order = Window.partitionBy(*key).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+        placed = table.withColumns({"below": F.sum("n").over(order), "total": F.sum("n").over(Window.partitionBy(*key))})
+        found = placed.groupBy(*key).agg(
+            F.min(F.when(F.col("below") * 2 >= F.col("total"), F.col("bin"))).alias("middle"),
+            F.min(F.when(F.col("below") * 4 >= 3 * F.col("total"), F.col("bin"))).alias("upper"),
+            F.max("total").alias("total"),
+        )
+        word = F.col("half") == "word"
+        spread = F.greatest(F.col("upper") - F.col("middle"), F.when(word, LEAST_SPREADS["word"]).otherwise(LEAST_SPREADS["char"]))
+        times = F.when(word, SPREADS["word"]).otherwise(SPREADS["char"])
+        return found.select(*key, ((F.col("middle") + times * spread + 1) * BIN).alias("limit"), "total")
+
+    def pick(half: str) -> Column:
+        return F.max(F.when(F.col("half") == half, F.col("limit"))).alias(f"{half}_limit")
+
+    own = quantiles(counts, ["lang", "half"]).where(F.col("total") >= MIN_JUDGED).groupBy("lang").agg(pick("char"), pick("word"))
+    pooled = quantiles(whole, ["half"]).agg(*[pick(h).alias(f"{h}_pooled") for h in ("char", "word")])
+    named = far.select("lang").distinct().join(own, "lang", "left").crossJoin(F.broadcast(pooled))
+    chosen = [F.coalesce(f"{h}_limit", f"{h}_pooled", F.lit(1.0)).alias(f"{h}_limit") for h in ("char", "word")]
+    return materialize(named.select("lang", *chosen), "limits")
 
 
 def shares(counts: Column, total: Column) -> Column:
@@ -150,33 +209,46 @@ def word_shares(counts: Column) -> Column:
     return let(counts, body)
 
 
-def judge(
-    docs: DataFrame,
-    max_char_distance: float = MAX_CHAR_DISTANCE,
-    max_word_distance: float = MAX_WORD_DISTANCE,
-    min_chars: int = MIN_CHARS,
-    min_words: int = MIN_WORDS,
-) -> DataFrame:
-    """The base counts, both distances and the verdict of every row of `docs`.
+def distances(rows: DataFrame) -> DataFrame:
+    """`rows` without their histograms, with the distances from the reference of their language.
 
-    References are the histograms of all documents of a language; documents without one
-    are a language of their own. A document fails by the base rule (few words, or many
-    in repeated windows), or if it is long enough and further from its language than
-    allowed. A missing text is empty, has no words and fails. Repeated rows are judged
-    each and counted each; other columns are ignored; an empty table gives an empty one.
+    A document has no part in its own reference. A language of fewer than MIN_REFERENCE words beside
+    the document is compared with the pooled reference of all languages.
     """
-    rows = materialize(features(docs), "features")
-    known = references(rows)
-    both = rows.join(known, "lang").select(
-        "*",
-        distance(char_shares(F.col("chars")), char_shares(F.col("chars_ref"))).alias("char_distance"),
-        distance(word_shares(F.col("common")), word_shares(F.col("common_ref"))).alias("word_distance"),
+    k = len(COMMON_WORDS)
+    few = (F.get("common_ref", F.lit(k)) - F.get("common", F.lit(k))) < MIN_REFERENCE
+
+    def rest(name: str) -> Column:
+        reference = F.when(few, F.col(f"{name}_all")).otherwise(F.col(f"{name}_ref"))
+        return F.zip_with(reference, F.col(name), lambda a, b: a - b)
+
+    both = with_languages(rows, materialize(references(rows), "references"))
+    kept = [c for c in rows.columns if c not in ("chars", "common")]
+    return both.select(
+        *kept,
+        distance(char_shares(F.col("chars")), char_shares(rest("chars"))).alias("char_distance"),
+        distance(word_shares(F.col("common")), word_shares(rest("common"))).alias("word_distance"),
+        (F.col("n_chars") >= MIN_CHARS).alias("char_judged"),
+        (F.col("n_words") >= MIN_WORDS).alias("word_judged"),
     )
+
+
+def judge(docs: DataFrame) -> DataFrame:
+    """The base counts, both distances and the verdict of every row of `docs`.
+
+    References are the histograms of all other documents of a language (see `distances`), and limits come
+    from the spread of all distances in it (see `limits`); documents without a language are one of their
+    own. A document fails by the base rule (few words, or many in repeated windows), or if it is long
+    enough and further from its language than allowed. A missing text is empty, has no words and fails.
+    Repeated rows are judged each and counted each; other columns are ignored; an empty table gives an
+    empty one.
+    """
+    far = materialize(distances(materialize(features(docs), "features")), "distances")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    odd = ((F.col("n_chars") >= min_chars) & (F.col("char_distance") > max_char_distance)) | (
-        (F.col("n_words") >= min_words) & (F.col("word_distance") > max_word_distance)
+    odd = (F.col("char_judged") & (F.col("char_distance") > F.col("char_limit"))) | (
+        F.col("word_judged") & (F.col("word_distance") > F.col("word_limit"))
     )
-    return both.select(
+    return with_languages(far, limits(far)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
         (~failed & ~odd).alias("kept"), F.round("char_distance", 6).alias("char_distance"),
         F.round("word_distance", 6).alias("word_distance"),

@@ -160,10 +160,11 @@ def llm_oracles() -> dict[str, str]:
         "op3_benchmark_decontamination": oracles.LEAKS,
         "op5_quality_rules": oracles.quality_rules(
             quality.COMMON_WORDS,
-            quality.MAX_CHAR_DISTANCE,
-            quality.MAX_WORD_DISTANCE,
-            quality.MIN_CHARS,
-            quality.MIN_WORDS,
+            {"char": quality.MIN_CHARS, "word": quality.MIN_WORDS},
+            quality.SPREADS,
+            quality.LEAST_SPREADS,
+            quality.MIN_JUDGED,
+            quality.MIN_REFERENCE,
         ),
         "op7_warc": oracles.CAPTURES,
         "op11_hard_negatives": oracles.HARD_NEGATIVES,
