@@ -11,22 +11,30 @@ stay out of the array.
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_batches, map_slices, raw_texts, slices
-from tidemark.storage import materialize
+from tidemark.llm.rows import free_names, keep_places, placed, write_places
+from tidemark.operators.ranges import totals_before
+from tidemark.storage import fresh_path, materialize
 
-#: Bytes of benchmark text that are looked up, and broadcast, at a time.
-BLOCK_BYTES = 16 << 20
+#: Benchmark words that are looked up, and broadcast, at a time; an item is not parted.
+BLOCK_WORDS = 1 << 21
 #: Runs of ASCII letters and digits and of anything outside ASCII.
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
+#: The place of items without a name among the names.
+NAMELESS = -1
+
 MATCHES = "array<struct<item_id:string,start:bigint,n_words:bigint>>"
 SPANS = "array<struct<start:bigint,end:bigint>>"
 
@@ -36,13 +44,13 @@ def words(text: bytes) -> list[bytes]:
 
 
 class Probe:
-    """All windows of a block of benchmark items, ready for look-up."""
+    """All windows of a block of benchmark items, ready for look-up. Items without a name hit too."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int):
         self.window = window
         self.vocabulary: dict[bytes, int] = {}
-        self.names = sorted({name for name, _ in items})
-        index = {name: i for i, name in enumerate(self.names)}
+        self.names = sorted({name for name, _ in items if name is not None})
+        index = {name: i for i, name in enumerate(self.names)} | {None: NAMELESS}
         found: dict[tuple[int, ...], set[tuple[int, int]]] = {}
         for name, text in items:
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words(text)]
@@ -129,6 +137,10 @@ class Found:
         counts = np.diff(self.probe.first_use)[self.row]
         use = _spread(self.probe.first_use[self.row], counts)
         at, item, lag = np.repeat(self.at, counts), uses[use, 1], uses[use, 2]
+        named = item != NAMELESS
+        at, item, lag, use = at[named], item[named], lag[named], use[named]
+        if not len(at):
+            return out
         order = np.lexsort((at, at - lag, item))
         at, item, lag = at[order], item[order], lag[order]
         fresh = np.ones(len(at), bool)
@@ -148,23 +160,27 @@ class Found:
         return out
 
 
-def probes(benchmark: DataFrame, window: int, block_bytes: int = BLOCK_BYTES) -> list[Probe]:
-    """The benchmark as probes of about `block_bytes` of text each.
+def probes(benchmark: DataFrame, window: int, block_words: int = BLOCK_WORDS) -> Iterator[tuple[bool, Probe]]:
+    """The benchmark as probes of about `block_words` words each, one after the other: (the only one, probe).
 
-    Items are read block by block. Items without an id or words take no part.
+    Items are numbered by running word counts and written with the block they fall in. Only one block
+    at a time is at the driver, and so is its probe, if the caller lets go of those before. Items
+    without words take no part, repeated rows one part; rows of one id may be in several blocks.
     """
-    rows = benchmark.select(F.col("item_id").cast("string").alias("name"), "text").dropna()
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-total // block_bytes)
-    found = []
-    for i in range(blocks):
-        block = rows.where(F.pmod(F.xxhash64("name"), F.lit(blocks)) == i) if blocks > 1 else rows
-        found.append(Probe([(r["name"], r["text"].encode()) for r in block.toLocalIterator()], window))
-    return found
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    size = F.size(F.regexp_extract_all(lower, F.lit(WORD.pattern.decode()), F.lit(0))).cast("bigint")
+    rows = benchmark.select(F.col("item_id").cast("string").alias("name"), "text").where("text is not null").distinct()
+    rows = rows.withColumn("size", size).where("size > 0")
+    before = totals_before(rows, ["name", "text"], {"before": "size"})
+    blocks = materialize(before.select("name", "text", F.floor(F.col("before") / block_words).alias("block")), "benchmark")
+    numbers = [r["block"] for r in blocks.select("block").distinct().orderBy("block").toLocalIterator()]
+    for number in numbers:
+        block = blocks.where(F.col("block") == number).collect()
+        yield len(numbers) == 1, Probe([(r["name"], r["text"].encode()) for r in block], window)
 
 
-def _scan(docs: DataFrame, probe: Probe, keep: list[str]) -> DataFrame:
-    held = docs.sparkSession.sparkContext.broadcast(probe)
+def _scan(docs: DataFrame, held: Broadcast, keep: list[str]) -> DataFrame:
+    """`keep` with n_words, hits and matches of every row of `docs` for the broadcast probe `held`."""
 
     def make():
         probe = held.value
@@ -198,49 +214,77 @@ def covered(hits: Column) -> Column:
     )
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, n_words, n_hit, hits, matches, contaminated) of every row of `docs`.
 
     A window is `window` consecutive words of an item, or all of a shorter item. `hits`
     are the spans of words inside occurrences of any window, `matches` the longest
-    verbatim match per item with its word position. Texts that are missing, empty or
-    without words have no words and no hits. Repeated rows are judged each; columns of
-    other names are ignored; an empty benchmark or table gives no hits or no rows.
+    verbatim match per item (and block) with its word position. Items without an id hit like others, but
+    are in no match. Texts that are missing, empty or without words have no words and no hits.
+    Repeated rows are judged each; columns of other names are ignored; an empty benchmark or
+    table gives no hits or no rows.
     """
-    blocks = probes(benchmark, window, block_bytes) or [Probe([], window)]
-    if len(blocks) == 1:
-        found = _scan(docs, blocks[0], ["doc_id"])
-    else:
-        rows = materialize(
-            docs.select("doc_id", "text", F.monotonically_increasing_id().alias("_row")), "numbered"
-        )
-        parts = [_scan(rows, b, ["_row", "doc_id"]) for b in blocks]
-        every = parts[0]
-        for part in parts[1:]:
-            every = every.unionByName(part)
-        # One row per block and document at most, so the lists are bounded.
-        found = every.groupBy("_row").agg(
-            F.min("doc_id").alias("doc_id"),
-            F.min("n_words").alias("n_words"),
-            F.flatten(F.collect_list("hits")).alias("hits"),
-            F.flatten(F.collect_list("matches")).alias("matches"),
-        )
+    context = docs.sparkSession.sparkContext
+    parts: list[DataFrame] = []
+    names = free_names(docs, "leak_file", "leak_row")
+    for only, probe in probes(benchmark, window, block_words):
+        held = context.broadcast(probe)
+        if only:
+            return _judged(_scan(docs, held, ["doc_id"]))
+        numbered = placed(docs, names) if not parts else numbered
+        parts.append(materialize(_scan(numbered, held, [*names, "doc_id"]), "leaks"))
+        held.unpersist()
+    if not parts:
+        return _judged(_scan(docs, context.broadcast(Probe([], window)), ["doc_id"]))
+    # One row per block and document, so the lists are bounded.
+    found = reduce(DataFrame.unionByName, parts).groupBy(*names).agg(
+        F.min("doc_id").alias("doc_id"),
+        F.min("n_words").alias("n_words"),
+        F.flatten(F.collect_list("hits")).alias("hits"),
+        F.flatten(F.collect_list("matches")).alias("matches"),
+    )
+    return _judged(found)
+
+
+def _judged(found: DataFrame) -> DataFrame:
     return found.withColumn("n_hit", covered(F.col("hits"))).select(
         "doc_id", "n_words", "n_hit", "hits", "matches", (F.size("hits") > 0).alias("contaminated")
     )
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of `docs` that hold no window of `benchmark`, with all their columns."""
-    for probe in probes(benchmark, window, block_bytes):
-        held = docs.sparkSession.sparkContext.broadcast(probe)
-
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            for piece in slices(batches, "text"):
-                found = Found([words(t) for t in raw_texts(piece)], held.value)
-                sums = np.concatenate([[0], np.cumsum(found.hit)])
-                clean = sums[found.starts[1:]] == sums[found.starts[:-1]]
-                yield piece.filter(pa.array(clean))
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of `docs` that hold no window of `benchmark`, with all their columns.
 
-        docs = map_batches(docs, run, docs.schema)
-    return docs
+    Rows of missing, empty or wordless texts stay, and repeated rows are judged each. Items without an id count
+    like others; items without words hit nothing, and an empty benchmark drops nothing. An empty table
+    gives an empty one; columns may have any names. Texts are never moved: with more than one block, the
+    rows that each block hits are listed by their place in the files, and one more scan leaves them out.
+    """
+    spark = docs.sparkSession
+    names, hit = free_names(docs, "leak_file", "leak_row"), []
+    for only, probe in probes(benchmark, window, block_words):
+        held = spark.sparkContext.broadcast(probe)
+        if only:
+            return map_batches(docs, _without_hits(held), docs.schema)
+        numbered = placed(docs, names) if not hit else numbered
+        leaked = _scan(numbered, held, list(names)).where(F.size("hits") > 0).select(
+            F.col(names[0]).alias("file"), F.col(names[1]).alias("row")
+        )
+        hit.append(materialize(leaked, "leaked"))
+        held.unpersist()
+    if not hit:
+        return docs
+    listed = fresh_path(spark, "leaked-rows")
+    write_places(reduce(DataFrame.unionByName, hit).distinct(), listed)
+    return keep_places(numbered, names, listed, keep=False)
+
+
+def _without_hits(held: Broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches, "text"):
+            found = Found([words(t) for t in raw_texts(piece)], held.value)
+            sums = np.concatenate([[0], np.cumsum(found.hit)])
+            clean = sums[found.starts[1:]] == sums[found.starts[:-1]]
+            yield piece.filter(pa.array(clean))
+
+    return run

@@ -12,7 +12,7 @@ def _words(text: str) -> str:
 
 LEAKS = f"""
 WITH doc AS (SELECT doc_id, {_words("text")} AS w FROM documents),
-item AS (SELECT CAST(item_id AS VARCHAR) AS item, {_words("text")} AS w FROM benchmark WHERE item_id IS NOT NULL),
+item AS (SELECT CAST(item_id AS VARCHAR) AS item, {_words("text")} AS w FROM benchmark),
 sized AS (SELECT item, w, least(10, len(w)) AS size FROM item WHERE len(w) > 0),
 spot AS (SELECT item, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM sized),
 win AS (SELECT DISTINCT item, size, array_to_string(w[i:i + size - 1], ' ') AS s FROM spot),
@@ -22,12 +22,13 @@ place AS (
 ),
 seen AS (SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS s FROM place),
 found AS (SELECT doc_id, item, size, i FROM seen JOIN win USING (size, s)),
+-- Items without an id hit; only their name is left out.
 hit AS (
   SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM found) GROUP BY 1
 ),
 named AS (
   SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
-  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY 1
+  FROM (SELECT DISTINCT doc_id, item FROM found WHERE item IS NOT NULL) GROUP BY 1
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(named.n, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,

@@ -57,7 +57,7 @@ def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     found = decontaminate.leaks(
         _table(spark, folder, "documents"), _table(spark, folder, "benchmark"), window=10
     )
-    items = F.array_sort(F.col("matches.item_id"))
+    items = F.array_sort(F.array_distinct(F.col("matches.item_id")))
     return found.select(
         "doc_id",
         "n_words",

@@ -71,8 +71,11 @@ def _rows_of(path: str, part: str) -> np.ndarray:
     return np.sort(np.concatenate(lists)) if lists else np.empty(0, np.int64)
 
 
-def keep_places(df: DataFrame, names: tuple[str, str], path: str) -> DataFrame:
-    """The rows of `df` (see `placed`) whose places are listed in `path`, without the columns `names`."""
+def keep_places(df: DataFrame, names: tuple[str, str], path: str, keep: bool = True) -> DataFrame:
+    """The rows of `df` (see `placed`) whose places are listed in `path`, without the columns `names`.
+
+    Without `keep` it is the rows whose places are not listed.
+    """
     schema = StructType([f for f in df.schema if f.name not in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,7 +91,7 @@ def keep_places(df: DataFrame, names: tuple[str, str], path: str) -> DataFrame:
                     at = np.searchsorted(listed, rows[here])
                     at[at == len(listed)] = 0
                     kept[here] = listed[at] == rows[here] if len(listed) else False
-            out = batch.filter(pa.array(kept))
+            out = batch.filter(pa.array(kept == keep))
             yield pa.RecordBatch.from_arrays([out.column(f.name) for f in schema], [f.name for f in schema])
 
     return map_batches(df, run, schema)
