@@ -71,6 +71,19 @@ def test_every_stratum_is_sampled(spark):
     assert stratified(rows, "kind", F.xxhash64("id"), 300).select("kind").distinct().count() == 1300
 
 
+def test_a_sample_is_bounded_as_a_whole(spark, monkeypatch):
+    from tidemark.llm import common
+
+    monkeypatch.setattr(common, "FULL_STRATA", 10)
+    rows = spark.range(50_000).selectExpr("id", "id % 5000 as kind")
+    for per, most in ((20, 200), (300, 3000)):
+        got = stratified(rows, "kind", F.xxhash64("id"), per).count()
+        assert 0.7 * most < got < 1.3 * most
+    few = stratified(rows.selectExpr("id", "id % 4 as kind"), "kind", F.xxhash64("id"), 100)
+    assert all(60 < r["count"] < 140 for r in few.groupBy("kind").count().collect())
+    assert stratified(rows.limit(0), "kind", F.xxhash64("id"), 5).count() == 0
+
+
 def test_windows_do_not_change_with_the_batch():
     net = langid.fit([("en", b"the words of the text"), ("fr", b"les mots du texte")], steps=3)
     docs = [b"x" * n for n in (0, 1, 63, 64, 65, 1000)]

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.storage import materialize
+
 #: Text bytes a Python worker handles at a time; a longer text is a slice of its own.
 SLICE_BYTES = 2 << 20
 
@@ -108,26 +110,25 @@ def raw_texts(piece: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [t or b"" for t in piece.column(column).cast(pa.binary()).to_pylist()]
 
 
-#: Beyond so many strata each gives fewer rows, but no fewer than the second number.
-FULL_STRATA, LEAST_ROWS = 1000, 30
+#: Beyond so many strata each gives fewer rows, so that the sample is bounded as a whole.
+FULL_STRATA = 1000
 
 
 def stratified(rows: DataFrame, stratum: str, order: Column, per: int) -> DataFrame:
-    """About `per` rows of each value of `stratum`, or all where there are fewer.
+    """About `per` rows of each value of `stratum`, or all where there are fewer; FULL_STRATA * `per` rows at most, or about that.
 
     `order` is a hash; a row is taken if its remainder is low enough for the count of its
     stratum. So nothing is ranked or moved, whatever the table's size and however its
-    rows are spread. Rows with no stratum take no part. Every stratum is in the sample, and their
-    counts reach the driver; beyond FULL_STRATA of them `per` shrinks.
+    rows are spread. Rows with no stratum take no part. Where strata are more than rows wanted, each
+    gives one with the chance that this leaves it. Only the number of strata reaches the driver.
     """
-    spark, wide = rows.sparkSession, 1 << 30
+    wide = 1 << 30
     rows = rows.where(F.col(stratum).isNotNull())
-    counts = rows.groupBy(stratum).count().collect()
-    if len(counts) > FULL_STRATA:
-        per = min(per, max(LEAST_ROWS, per * FULL_STRATA // len(counts)))
-    kind = rows.schema[stratum].dataType.simpleString()
-    shares = spark.createDataFrame(
-        [(c[0], min(wide, per * wide // c[1] + 1)) for c in counts], f"{stratum} {kind}, _share bigint"
-    )
+    counts = materialize(rows.groupBy(stratum).count(), "strata")
+    strata = counts.count()
+    wanted = float(min(per, per * FULL_STRATA / max(strata, 1)))
+    share = F.least(F.lit(wide), F.floor(F.lit(wanted * wide) / F.col("count")) + 1)
+    shares = counts.select(stratum, share.alias("_share"))
     low = F.pmod(order, F.lit(wide))
-    return rows.join(F.broadcast(shares), stratum).where(low < F.col("_share")).select(*rows.columns)
+    few = F.broadcast(shares) if strata <= FULL_STRATA * 10 else shares
+    return rows.join(few, stratum).where(low < F.col("_share")).select(*rows.columns)
