@@ -90,3 +90,14 @@ def test_matrix_and_funnel_read_each_table_once(spark, tmp_path):
     users = matrix.user_table(**written)
     assert plan(users).count("FileScan") == 4
     assert shuffles(users) == 1
+
+
+def test_order_without_heavy_users_is_one_shuffle(spark):
+    rows = samples.history_sessions(spark, FOLDER)
+    light = sessions.lpi_deltas(rows)
+    assert shuffles(light) == 1 and "Join" not in plan(light)
+    heavy = sessions.lpi_deltas(rows, max_rows=5)
+    assert "Join" in plan(heavy)
+    assert sorted(map(str, light.collect())) == sorted(map(str, heavy.collect()))
+    columns = {f.name: f.dataType for f in light.schema}
+    assert columns == {f.name: f.dataType for f in heavy.schema}

@@ -16,6 +16,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.storage import materialize
+
 MAX_SLICE_ROWS = 1_000_000
 
 
@@ -63,10 +65,20 @@ def sequence(
     Keys of up to `max_rows` rows are one window group. Those above are cut at
     block borders, and blocks still too large along `axis`. The slice table
     covers the heavy keys only, with one row per block or slice of them.
+
+    Heavy keys are found first, in a pass over the key columns. Where there are none, a plain
+    window gives the same, with one shuffle of the rows.
     """
+    heavy = materialize(heavy_keys(df, key, max_rows).withColumn("_heavy", F.lit(True)), "heavy-keys")
+    if heavy.isEmpty():
+        whole = W.partitionBy(*key).orderBy(*order)
+        return df.select(
+            *df.columns,
+            F.row_number().over(whole).cast("bigint").alias("pos"),
+            *[F.lag(c).over(whole).alias(f"prev_{c}") for c in carry],
+        )
     group = [*key, "_block"]
     parts = [*group, "_slice"]
-    heavy = heavy_keys(df, key, max_rows).withColumn("_heavy", F.lit(True))
     marked = df.join(heavy, list(key), "left").withColumn("_block", F.when(F.col("_heavy"), block))
     in_heavy = F.col("_block").isNotNull()
     rows = _with_slice(marked, _cuts(marked.where(in_heavy), group, axis, max_rows), group, axis)
