@@ -258,7 +258,12 @@ def predict(docs: DataFrame, net: Network | None, keep: list[str] | None = None)
 
 
 def keep_known(docs: DataFrame, net: Network | None, min_score: float) -> DataFrame:
-    """The rows of `docs` with a language and at least `min_score`, all columns kept."""
+    """The rows of `docs` with a language and at least `min_score`, all columns kept.
+
+    Rows whose text is missing, empty or without a letter have no language and go, as do all rows
+    without a network. Very long texts are read whole; repeated rows are judged each; ids may be
+    missing. An empty table gives an empty one; columns may have any names.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, "text"):
