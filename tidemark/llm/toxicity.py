@@ -104,23 +104,29 @@ def strong_pairs(places: list[np.ndarray], miss: np.ndarray, spread: np.ndarray)
                 yield pairs, (pairs * 0x9E3779B1 >> 7) & (PAIR_BINS - 1), np.concatenate(owners)
                 held, owners, size = [], [], 0
 
-    def sums(pairs: np.ndarray, at: np.ndarray, owner: np.ndarray, size: int) -> np.ndarray:
+    def sums(pairs: np.ndarray, at: np.ndarray, owner: np.ndarray, size: int) -> Iterator[np.ndarray]:
+        """Per place the sum of what the pairs leave unexplained, of its squares, and the number of texts."""
         own = miss[owner] - alone[pairs // len(seen)] - alone[pairs % len(seen)]
-        return np.stack([np.bincount(at, x, size) for x in (own, own * own, np.ones(len(own)))])
+        yield np.bincount(at, own, size)
+        yield np.bincount(at, own * own, size)
+        yield np.bincount(at, minlength=size)
 
     def stands_out(total: np.ndarray, squares: np.ndarray, count: np.ndarray) -> np.ndarray:
         return (count >= PAIR_DOCS) & (np.abs(total) > PAIR_SIGMA * np.sqrt(squares))
 
-    binned = np.zeros((3, PAIR_BINS))
+    # One table of bins at a time, in floats: the driver holds little beside them.
+    binned = np.zeros((3, PAIR_BINS), np.float32)
     for pairs, at, owner in chunks():
-        binned += sums(pairs, at, owner, PAIR_BINS)
+        for table, part in zip(binned, sums(pairs, at, owner, PAIR_BINS), strict=True):
+            table += part
     bins = stands_out(*binned)
+    del binned
     kept = [(pairs[bins[at]], owner[bins[at]]) for pairs, at, owner in chunks()] if bins.any() else []
     if not kept:
         return np.empty((0, 2), np.int64), np.empty(0)
     found, owner = (np.concatenate(x) for x in zip(*kept))
     pairs, at = np.unique(found, return_inverse=True)
-    own = sums(found, at, owner, len(pairs))
+    own = list(sums(found, at, owner, len(pairs)))
     good = np.flatnonzero(stands_out(*own))
     strength = np.abs(own[0][good]) / np.sqrt(own[1][good])
     good = good[np.argsort(-strength, kind="stable")][:MAX_PAIRS]
