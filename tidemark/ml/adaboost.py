@@ -57,7 +57,7 @@ class _AdaBoostParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasMaxIter,
             maxDepth=2,
             featureSubsetStrategy="sqrt",
             variant="SAMME.R",
-            cutInterval=10,
+            cutInterval=5,
             seed=42,
         )
 
@@ -84,7 +84,7 @@ class AdaBoostClassifier(Estimator, _AdaBoostParams):
         maxDepth=2,
         featureSubsetStrategy="sqrt",
         variant="SAMME.R",
-        cutInterval=10,
+        cutInterval=5,
         seed=42,
     ):
         super().__init__()
@@ -114,7 +114,9 @@ class AdaBoostClassifier(Estimator, _AdaBoostParams):
         rate = self.getOrDefault("learningRate")
         interval = self.getOrDefault("cutInterval")
         label = F.col(self.getLabelCol())
-        rows = dataset.select(self.getFeaturesCol(), self.getLabelCol())
+        # Two classes, said once: else every round counts them.
+        classes = {"ml_attr": {"type": "nominal", "vals": ["0", "1"], "name": self.getLabelCol()}}
+        rows = dataset.select(self.getFeaturesCol(), label.alias(self.getLabelCol(), metadata=classes))
         data = materialize(rows.withColumn(_WEIGHT, F.lit(1.0)), "boost-rows")
         trees, factors, votes = [], [], []
         previous = None
