@@ -27,11 +27,11 @@ TERM = re.compile(rb"[a-z\x80-\xff]+")
 #: Texts of the sample that a bucket must be in to be weighed.
 MIN_DOCS = 5
 #: Bins of pairs of terms, texts that a pair must be in, different terms of a text whose pairs count.
-PAIR_BINS, PAIR_DOCS, PAIR_TERMS = 1 << 22, 20, 400
+PAIR_BINS, PAIR_DOCS, PAIR_TERMS = 1 << 21, 20, 400
 #: Standard deviations by which a pair stands out, about once by chance in 10^8 pairs, and pairs with vectors at most.
 PAIR_SIGMA, MAX_PAIRS = 5.5, 256
 #: Pairs handled at a time.
-PAIR_CHUNK = 1 << 20
+PAIR_CHUNK = 1 << 18
 #: Thresholds that `fit_chosen` tries, and rows of either label that it needs on both sides for that.
 THRESHOLDS = (0.1, 0.25, 0.5)
 LEAST_CHOICE = 10
@@ -265,11 +265,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
     chosen = whole.join(F.broadcast(picked), "doc_id").select("doc_id", label, "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     hashed = map_slices(chosen, f"doc_id {kind}, label int, buckets array<int>", make)
-    rows = sorted(hashed.collect(), key=lambda r: (r["doc_id"], r["label"]))
-    ys = np.array([r["label"] for r in rows])
+    rows = hashed.toArrow().sort_by([("doc_id", "ascending"), ("label", "ascending")])
+    ys = rows["label"].to_numpy()
     if len(set(ys.tolist())) < 2:
         return None
-    return fit_chosen([np.array(r["buckets"], np.int32) for r in rows], ys, 1 / np.bincount(ys)[ys])
+    lists = rows["buckets"].combine_chunks()
+    sets = np.split(lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lists.value_lengths().to_numpy())[:-1])
+    return fit_chosen(sets, ys, 1 / np.bincount(ys)[ys])
 
 
 def judge(docs: DataFrame, machine: Machine | None, keep: list[str] | None = None) -> DataFrame:
